@@ -122,12 +122,11 @@ def centered_mean(
 
 def partition_max(df: DataFrame, keys: Sequence[str], value: str, out: str, factor: float = 1.0) -> DataFrame:
     """The group maximum (times ``factor``) on every row, by aggregate and join."""
-    top = df.groupBy(*keys).agg((F.max(value) * F.lit(factor)).alias(out))
-    same = [df[k].eqNullSafe(top[k]) for k in keys]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return df.join(top, cond, "left").select(*[df[c] for c in df.columns], top[out])
+    top = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg((F.max(value) * F.lit(factor)).alias(out))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(top, same, "left").select(*df.columns, out)
 
 
 def back_adjust(
@@ -187,3 +186,24 @@ def sequence_number(
 ) -> DataFrame:
     """Ordinal of each row within its key."""
     return number_rows(df, keys, [as_column(o) for o in order], block, out)
+
+
+def assign_episode(
+    events: DataFrame, episodes: DataFrame, keys: Sequence[str], event_id: str, ts: str,
+    start: str, stop: str, priority: str, bucket_seconds: int = 30 * DAY,
+) -> DataFrame:
+    """The best episode containing each event: smallest ``priority`` expression,
+    then earliest start. Adds the episode's columns and ``priority``.
+
+    Candidates come from a bucketed range join; the choice is an aggregate per
+    event, so a hot key is spread over its events.
+    """
+    from .joins import join_range
+
+    found = join_range(events, episodes, keys, ts, start, stop, closed=True, bucket_seconds=bucket_seconds)
+    found = found.withColumn("priority", F.expr(priority)).filter("priority IS NOT NULL")
+    rest = [c for c in found.columns if c != event_id]
+    best = found.groupBy(event_id).agg(
+        F.min_by(F.struct(*rest), F.struct("priority", start, stop)).alias("_best")
+    )
+    return best.select(event_id, "_best.*")

@@ -34,21 +34,27 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(t: Tables) -> DataFrame`` under a name, with its SQL twin."""
+def query(name: str, sql: str | None = None, dates: tuple[str, ...] = ()):
+    """Register ``fn(t: Tables) -> DataFrame`` under a name, with its SQL twin.
+
+    Columns in ``dates`` are shown as timestamps on both sides, because the two
+    engines hand dates to pandas differently.
+    """
 
     def keep(fn: Callable[[Tables], DataFrame]):
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(prepare_session(spark), folder))
+            df = fn(Tables(prepare_session(spark), folder))
+            return df.withColumns({c: df[c].cast("timestamp_ntz") for c in dates}) if dates else df
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
         _QUERIES[name] = run
         if sql is not None:
-            _ORACLES[name] = sql
+            shown = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates)
+            _ORACLES[name] = f"SELECT * REPLACE ({shown}) FROM ({sql})" if dates else sql
         return fn
 
     return keep
