@@ -137,10 +137,8 @@ def merge_upsert(
     hit = F.col("t").isNotNull() & F.col("s").isNotNull()
     new = F.col("t").isNull()
     if delete_when:
-        gone = F.coalesce(F.expr(delete_when), F.lit(False))
-        both = both.filter(~(hit & gone))
-        if not_matched == "all":
-            both = both.filter(~(new & gone))
+        # a delete of a key the target never had is not an insert either
+        both = both.filter(F.col("s").isNull() | ~F.coalesce(F.expr(delete_when), F.lit(False)))
     if not_matched is None:
         both = both.filter(~new)
 
@@ -208,9 +206,7 @@ def consume_feed(
     names = [c for c in last.columns if c not in ("_change_type", order)]
     source = last.select(*names, "_change_type")
     values = {c: f"s.{c}" for c in names if c not in keys}
-    merged = merge_upsert(target, source, keys, values, values, "s._change_type = 'delete'")
-    # a delete of a key the target never had is not an insert
-    return merged.filter("_change_type IS NULL OR _change_type <> 'delete'").drop("_change_type")
+    return merge_upsert(target, source, keys, values, values, "s._change_type = 'delete'").drop("_change_type")
 
 
 def compact(spark, path: str, out: str, target_mb: int = 256) -> int:

@@ -6,7 +6,7 @@ import importlib
 
 from . import catalog
 
-MODULES = ["core_queries", "analytics_queries"]
+MODULES = ["core_queries", "analytics_queries", "change_queries", "ingest_queries"]
 
 
 def _load() -> None:
