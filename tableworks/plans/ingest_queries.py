@@ -291,8 +291,8 @@ def _(t):
 def _(t):
     out, ckpt = _out(t)
     sessions = R.sessionize_stateful(_stream(t), "user_id", "ts", _GAP, report_online=True)
-    R.upsert_stream(sessions, out, ["user_id"], ckpt, order="start")
-    return ntz(K.read_keyed(t.spark, out).drop("bucket"), "start", "end")
+    R.upsert_stream(sessions, out, ["user_id"], ckpt, order="end")
+    return ntz(K.read_keyed(t.spark, out), "start", "end")
 
 
 @query("stream_from_table", "SELECT event_id, value FROM events WHERE value > 20")
@@ -309,7 +309,7 @@ def _(t):
 def _(t):
     out, ckpt = _out(t)
     R.stream_rollup(_stream(t), "ts", ["event_type"], {"n": F.count(F.lit(1)), "total": F.sum("value")}, out, ckpt)
-    return ntz(K.read_keyed(t.spark, out).drop("bucket"), "window_start").withColumn("total", r("total", 4))
+    return ntz(K.read_keyed(t.spark, out), "window_start").withColumn("total", r("total", 4))
 
 
 @query("join_stream_static", """
@@ -354,11 +354,11 @@ def _(t):
         stream = R.stream_files(t.spark, f"{base}/bronze/{name}", schema)
 
         def merge(current, batch):
-            return H.apply_changes_scd1(current.drop("bucket") if current is not None else None, batch, ["id"], "seq",
+            return H.apply_changes_scd1(current, batch, ["id"], "seq",
                                         "operation = 'DELETE'", ["operation"])
 
         S.foreach_batch_sink(stream, lambda b, i: K.merge_batch(b, i, f"{base}/silver/{name}", ["id"], merge, 8), f"{base}/ckpt2/{name}")
-        return H.live_rows(K.read_keyed(t.spark, f"{base}/silver/{name}").drop("bucket"))
+        return H.live_rows(K.read_keyed(t.spark, f"{base}/silver/{name}"))
 
     done = S.fan_out(raw, sync, workers=2)
     return done["transactions"].join(done["customers"], "id", "left").select("id", "amount", "name")

@@ -122,36 +122,34 @@ class SessionProcessor(StatefulProcessor):
                 merged[-1][2] += clicks
             else:
                 merged.append([first, last, clicks])
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
         self.open.put([tuple(m) for m in merged])
-        for m in merged:
-            self.handle.registerTimer(self._expiry(m))
+        # one timer, for the session due first; a timer that turns out too early closes nothing
+        self.handle.registerTimer(min(map(self._expiry, merged)))
         if self.report_online:
-            yield self._frame(key, merged[-1:], "online")
-        else:
-            yield self._frame(key, [], "online")
+            yield self._frame(key, merged[-1:], closed=False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = timerValues.getCurrentWatermarkInMs()
         spans = [tuple(int(v) for v in s) for s in self.open.get()]
         closed = [s for s in spans if self._expiry(s) <= now]
         kept = [s for s in spans if self._expiry(s) > now]
         if kept:
             self.open.put(kept)
+            self.handle.registerTimer(min(map(self._expiry, kept)))
         else:
             self.open.clear()
-        yield self._frame(key, closed, "offline")
+        if closed:
+            yield self._frame(key, closed, closed=True)
 
     def _expiry(self, span) -> int:
         # rounded up to the millisecond, so that nothing closes early
         return -(-(span[1] + self.gap_us) // 1000)
 
-    def _frame(self, key, spans, status: str) -> pd.DataFrame:
+    def _frame(self, key, spans, closed: bool) -> pd.DataFrame:
         return pd.DataFrame({
             "k": [key[0]] * len(spans), "click_count": [s[2] for s in spans],
-            "first_us": [s[0] for s in spans], "last_us": [s[1] for s in spans], "status": [status] * len(spans),
-        }).astype({"click_count": "int64", "first_us": "int64", "last_us": "int64"})
+            "first_us": [s[0] for s in spans], "last_us": [s[1] for s in spans], "closed": [closed] * len(spans),
+        })
 
     def close(self) -> None:
         pass
@@ -172,27 +170,35 @@ def sessionize_stateful(df: DataFrame, key: str, ts: str, gap_seconds: int, dela
     marked = partial.withColumn("seen", F.timestamp_micros("last_us")).withWatermark("seen", delay)
     out = marked.groupBy("k").transformWithStateInPandas(
         SessionProcessor(gap_us, report_online),
-        f"k {kind}, click_count bigint, first_us bigint, last_us bigint, status string",
+        f"k {kind}, click_count bigint, first_us bigint, last_us bigint, closed boolean",
         "Update" if report_online else "Append", "EventTime",
     )
     return out.select(
         F.col("k").alias(key), "click_count", F.timestamp_micros("first_us").alias("start"),
-        F.timestamp_micros("last_us").alias("end"), "status")
+        F.timestamp_micros("last_us").alias("end"),
+        F.when(F.col("closed"), "offline").otherwise("online").alias("status"))
 
 
 def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, order: str | None = None,
                   mode: str = "update", buckets: int = 16) -> None:
     """Update-or-insert every micro-batch into a keyed table, created by the first one.
 
-    Of several rows per key in a batch the one with the largest ``order`` counts.
+    With ``order`` the row with the largest value counts, stored or new; on a
+    tie the new one.
     """
 
+    def newest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        both = batch.withColumn("_new", F.lit(1))
+        if current is not None:
+            both = both.unionByName(current.withColumn("_new", F.lit(0)))
+        rest = [c for c in batch.columns if c not in keys]
+        return both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "_new")).alias("r")).select(*keys, "r.*")
+
+    def replace(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        return batch if current is None else merge_upsert(current, batch, keys)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if order:
-            rest = [c for c in batch.columns if c not in keys]
-            batch = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
-        merge_batch(batch, batch_id, path, keys,
-                    lambda cur, new: new if cur is None else merge_upsert(cur, new, keys), buckets)
+        merge_batch(batch, batch_id, path, keys, newest if order else replace, buckets)
 
     stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start().awaitTermination()
