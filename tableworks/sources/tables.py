@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,30 +43,40 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
-# A keyed table is a folder ``version=N/bucket=B``. A batch rewrites only the
-# buckets its keys fall into, under its own version; a bucket is read from its
-# newest finished version. A batch that is run again writes the same version.
-
-def _versions(spark: SparkSession, path: str, before: int | None) -> list[int]:
-    """Finished versions, oldest first."""
-    found = []
-    for name in _children(spark, path):
-        if name.startswith("version="):
-            n = int(name.split("=")[1])
-            if (before is None or n < before) and "_SUCCESS" in _children(spark, f"{path}/{name}"):
-                found.append(n)
-    return sorted(found)
-
+# A keyed table is a folder of writes, ``version=N/bucket=B``. A batch rewrites
+# only the buckets its keys fall into, under its own number; a bucket is read
+# from its newest finished write. ``full=N`` replaces everything before it. A
+# batch that is run again writes the same folder.
 
 def _newest_buckets(spark: SparkSession, path: str, before: int | None) -> dict[int, str]:
+    writes = []
+    for name in _children(spark, path):
+        kind, _, number = name.partition("=")
+        if kind in ("version", "full") and (before is None or int(number) < before):
+            writes.append((int(number), kind, name))
     place: dict[int, str] = {}
-    for n in _versions(spark, path, before):
-        for name in _children(spark, f"{path}/version={n}"):
-            if name.startswith("bucket="):
-                place[int(name.split("=")[1])] = f"{path}/version={n}/{name}"
+    for _, kind, name in sorted(writes):
+        inside = _children(spark, f"{path}/{name}")
+        if "_SUCCESS" not in inside:
+            continue
+        if kind == "full":
+            place = {}
+        for child in inside:
+            if child.startswith("bucket="):
+                place[int(child.split("=")[1])] = f"{path}/{name}/{child}"
     return place
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def replace_keyed(df: DataFrame, version: int, path: str, keys: Sequence[str], buckets: int = 32) -> None:
+    """Write ``df`` as the whole new content of a keyed table."""
+    df.withColumn("bucket", bucket_of(keys, buckets)).repartition(buckets, "bucket").write.mode(
+        "overwrite").partitionBy("bucket").parquet(f"{path}/full={version}")
+
+
 def read_keyed(spark: SparkSession, path: str, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
     """The current rows (or those of some buckets); None when nothing is there."""
     place = _newest_buckets(spark, path, before)
@@ -86,7 +96,7 @@ def merge_batch(
     buckets without rows yet. Safe to repeat for the same ``batch_id``.
     """
     spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    bucket = bucket_of(keys, buckets)
     touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
     if not touched:
         return
