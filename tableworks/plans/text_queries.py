@@ -103,10 +103,13 @@ def _pairs(t):
 @query("text_similarity", f"""
     WITH {_PAIRS}, k AS (SELECT *, {_TOKENS.format(c='question')} AS q, {_TOKENS.format(c='answer')} AS a FROM pairs)
     SELECT conv_id, turn, round(len(list_intersect(q, a)) / nullif(len(list_distinct(list_concat(q, a))), 0)::DOUBLE, 6) AS jaccard,
-      round(1 - levenshtein(question, answer) / greatest(length(question), length(answer))::DOUBLE, 6) AS edit FROM k""")
+      round(1 - levenshtein(x, y) / greatest(length(x), length(y))::DOUBLE, 6) AS edit
+    FROM (SELECT *, regexp_replace(lower(question), '[^a-z ]', '', 'g') AS x, regexp_replace(lower(answer), '[^a-z ]', '', 'g') AS y FROM k)""")
 def _(t):
-    return _pairs(t).select("conv_id", "turn", r(X.text_similarity("question", "answer")).alias("jaccard"),
-                            r(X.text_similarity("question", "answer", "levenshtein")).alias("edit"))
+    plain = {c: F.regexp_replace(F.lower(s), "[^a-z ]", "") for c, s in (("x", "question"), ("y", "answer"))}
+    return _pairs(t).withColumns(plain).select(
+        "conv_id", "turn", r(X.text_similarity("question", "answer")).alias("jaccard"),
+        r(X.text_similarity("x", "y", "levenshtein")).alias("edit"))
 
 
 _LANGS = {"english": ["the", "and", "of", "that"], "german": ["der", "und", "die", "das"],
@@ -177,10 +180,8 @@ def _(t):
     SELECT conv_id, turn, round(coalesce(len(list_intersect(q, a)) / nullif(len(a), 0)::DOUBLE, 0), 6) AS "precision",
       round(coalesce(len(list_intersect(q, a)) / nullif(len(q), 0)::DOUBLE, 0), 6) AS recall FROM k""")
 def _(t):
-    lists = _pairs(t).select("conv_id", "turn", F.transform(X.token_set("answer"), lambda w: F.upper(w)).alias("predicted"),
-                             X.token_set("question").alias("truth"))
-    # upper and lower case are not inverse for every letter: compare the plain sets
-    lists = lists.withColumn("predicted", F.transform("predicted", lambda w: F.lower(w)))
+    mixed = F.filter(F.split("answer", X.NOT_WORD), lambda w: w != "")
+    lists = _pairs(t).select("conv_id", "turn", mixed.alias("predicted"), X.token_set("question").alias("truth"))
     return X.extraction_scores(lists, "predicted", "truth").select("conv_id", "turn", r("precision").alias("precision"), r("recall").alias("recall"))
 
 
