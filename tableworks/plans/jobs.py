@@ -315,11 +315,11 @@ def portfolio(prices: DataFrame, news: DataFrame) -> Frames:
 def deal_review(accounts: DataFrame, deals: DataFrame, countries: DataFrame) -> Frames:
     """Accounts with size segment and both regions; deals by day, stage and region; the open total.
 
-    ``accounts``: account_id, hq_country, country, employees; ``deals``: deal_id, account_id, stage, created, closed, amount.
+    ``accounts``: account_id, country_hq, country_local, employees; ``deals``: deal_id, account_id, stage, created, closed, amount.
     """
     acc = P.drop_incomplete(accounts, ["account_id"], ["employees > 0"])
     acc = P.bucketize(acc, "size_segment", [("employees <= 100", "SMB"), ("employees <= 1000", "MM")], "ENT")
-    acc = J.join_twice(acc, countries, "country", {"hq": "hq_country", "local": "country"})
+    acc = J.join_twice(acc, countries, "country", {"hq": "country_hq", "local": "country_local"})
     good = P.drop_incomplete(deals, ["deal_id", "account_id"], ["closed >= created"])
     joined = good.join(acc, "account_id")
     history = A.group_all(joined, {"created": F.col("created"), "stage": "stage", "region": "local_region"}, {"amount": F.sum("amount")})

@@ -6,7 +6,7 @@ import importlib
 
 from . import catalog
 
-MODULES = ["core_queries", "analytics_queries", "change_queries", "ingest_queries", "text_queries", "model_queries"]
+MODULES = ["core_queries", "analytics_queries", "change_queries", "ingest_queries", "text_queries", "model_queries", "job_queries"]
 
 
 def _load() -> None:
