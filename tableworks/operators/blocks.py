@@ -23,11 +23,13 @@ DAY = 86_400
 
 
 class Carry(NamedTuple):
-    """``agg`` summarises one block; ``fold`` (sum, max, min, last, first) joins blocks."""
+    """``agg`` summarises one block; ``fold`` (sum, max, min, last, first) joins
+    the blocks before the own one, or after it with ``later``."""
 
     name: str
     agg: Column
     fold: str
+    later: bool = False
 
 
 _FOLDS = {
@@ -66,19 +68,15 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def carry_in(
-    df: DataFrame, key: str, block: str, carries: Sequence[Carry], later: bool = False
-) -> DataFrame:
-    """Add, per row, each carry folded over the earlier (``later``: following) blocks."""
+def carry_in(df: DataFrame, key: str, block: str, carries: Sequence[Carry]) -> DataFrame:
+    """Add, per row, each carry folded over the earlier (or later) blocks of its key."""
     summary = df.groupBy(key, block).agg(*[c.agg.alias(c.name) for c in carries])
     order = Window.partitionBy(key).orderBy(block)
-    frame = (
-        order.rowsBetween(1, Window.unboundedFollowing)
-        if later
-        else order.rowsBetween(Window.unboundedPreceding, -1)
-    )
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = order.rowsBetween(1, Window.unboundedFollowing)
     folded = summary.select(
-        key, block, *[_FOLDS[c.fold](F.col(c.name)).over(frame).alias(c.name) for c in carries]
+        key, block,
+        *[_FOLDS[c.fold](F.col(c.name)).over(after if c.later else before).alias(c.name) for c in carries],
     )
     return df.join(folded, [key, block], "left")
 
@@ -95,38 +93,39 @@ def number_rows(
     ).drop("_key", "_block", "_before")
 
 
-def previous_row(
+def adjacent_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     block: Column,
-    values: Mapping[str, Column | str],
-    following: bool = False,
+    previous: Mapping[str, Column | str] | None = None,
+    following: Mapping[str, Column | str] | None = None,
 ) -> DataFrame:
-    """``lag`` (``following``: ``lead``) by one row of several values.
+    """``lag`` and ``lead`` by one row of several values, in one scan.
 
     ``order`` columns are ascending and must be unique within a key.
     """
     rank = F.struct(*[F.col(c) for c in order])
-    picked = F.struct(*[as_column(v).alias(n) for n, v in values.items()])
-    cut = (
-        df.withColumn("_key", key_struct(keys))
-        .withColumn("_block", block)
-        .withColumn("_picked", picked)
-    )
-    edge = F.min_by("_picked", rank) if following else F.max_by("_picked", rank)
-    cut = carry_in(
-        cut, "_key", "_block",
-        [Carry("_edge", edge, "first" if following else "last")], later=following,
-    )
+    cut = df.withColumn("_key", key_struct(keys)).withColumn("_block", block)
+    sides = [(n, v) for n, v in (("_back", previous), ("_ahead", following)) if v]
+    for name, values in sides:
+        cut = cut.withColumn(name, F.struct(*[as_column(v).alias(n) for n, v in values.items()]))
+    carries = [
+        Carry("_edge_back", F.max_by("_back", rank), "last")
+        if name == "_back"
+        else Carry("_edge_ahead", F.min_by("_ahead", rank), "first", later=True)
+        for name, _ in sides
+    ]
+    cut = carry_in(cut, "_key", "_block", carries)
     w = Window.partitionBy("_key", "_block").orderBy(*order)
-    near = (F.lead if following else F.lag)("_picked").over(w)
-    # a neighbour struct is never null itself, so coalesce keeps null values apart
-    cut = cut.withColumn("_near", F.coalesce(near, F.col("_edge")))
-    return cut.select(
-        *[F.col(c) for c in df.columns],
-        *[F.col("_near").getField(n).alias(n) for n in values],
-    )
+    out = [F.col(c) for c in df.columns]
+    for name, values in sides:
+        near = (F.lag if name == "_back" else F.lead)(name).over(w)
+        cut = cut.withColumn(f"_near{name}", near)
+        # a neighbour struct is never null itself, so coalesce keeps null values apart
+        found = F.coalesce(F.col(f"_near{name}"), F.col(f"_edge{name}"))
+        out += [found.getField(n).alias(n) for n in values]
+    return cut.select(*out)
 
 
 def running(

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import epoch_micros, previous_row
+from ..session import materialise
+from .blocks import adjacent_rows, epoch_micros
 
 SEQ, DELETED = "_seq", "_deleted"
 START, END = "__START_AT", "__END_AT"
@@ -81,15 +82,16 @@ def apply_changes_scd2(
     rows = rows.groupBy(*keys, sequence_by).agg(
         F.max_by("_row", "_tie").alias("_row"), F.max_by("_gone", "_tie").alias("_gone")
     )
-    rows = previous_row(rows, keys, [sequence_by], block, {
+    # each scan reads its input twice (summary and rows), so cut the lineage before it
+    rows = adjacent_rows(materialise(rows, "changes"), keys, [sequence_by], block, {
         "_prev": F.struct(F.col("_row").alias("r"), F.col("_gone").alias("g"))})
     first = F.col("_prev").isNull()
     same = ~first & (
         (F.col("_gone") & F.col("_prev.g"))
         | (~F.col("_gone") & ~F.col("_prev.g") & F.col("_row").eqNullSafe(F.col("_prev.r")))
     )
-    kept = rows.filter(~same).drop("_prev")
-    kept = previous_row(kept, keys, [sequence_by], block, {END: F.col(sequence_by)}, following=True)
+    kept = materialise(rows.filter(~same).drop("_prev"), "changes")
+    kept = adjacent_rows(kept, keys, [sequence_by], block, following={END: F.col(sequence_by)})
     return kept.filter(~F.col("_gone")).select(*keys, "_row.*", F.col(sequence_by).alias(START), END)
 
 

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 
 def _windows(ts: str, granularities: Sequence[str]) -> Column:
     """One (granularity, window_start) per wanted granularity, such as day, week or month."""
@@ -91,8 +93,10 @@ def drift_metrics(dist: DataFrame, baseline: DataFrame | None = None) -> DataFra
     Gives total variation, L-infinity, Jensen-Shannon distance (base 2),
     chi-square, PSI, and for ordered bins the Kolmogorov-Smirnov distance.
     ``dist`` and ``baseline`` (bin, share) have one row per bin, so the
-    comparison is small whatever the size of the table.
+    comparison is small whatever the size of the table; it is stored once, as
+    it is used several times. A baseline may have up to 1000 bins.
     """
+    dist = materialise(dist, "distribution")
     windows = dist.select("window_start", "total").distinct()
     cur = dist.select("window_start", "bin", F.col("share").alias("p"))
     if baseline is None:
@@ -102,10 +106,13 @@ def drift_metrics(dist: DataFrame, baseline: DataFrame | None = None) -> DataFra
         base = pairs.select("window_start", "base_start").join(base, "base_start").select("window_start", "bin", "q")
         kind = "CONSECUTIVE"
     else:
-        # every window meets the baseline's bins: windows x bins rows
-        bins = baseline.agg(F.collect_list(F.struct("bin", F.col("share").alias("q"))).alias("b")).select("b").scalar()
+        bins = baseline.select("bin", F.col("share").alias("q")).limit(1_001).collect()
+        if len(bins) > 1_000:
+            raise ValueError("baseline has more than 1000 bins")
         pairs = windows
-        base = windows.select("window_start", F.inline(bins))
+        # every window meets every bin of the baseline
+        base = windows.select("window_start", F.inline(F.array(*[
+            F.struct(F.lit(x.bin).alias("bin"), F.lit(x.q).alias("q")) for x in bins])))
         kind = "BASELINE"
     cur = cur.join(pairs.select("window_start"), "window_start", "left_semi").withColumn("q", F.lit(None).cast("double"))
     both = cur.unionByName(base.withColumn("p", F.lit(None).cast("double"))).groupBy("window_start", "bin").agg(

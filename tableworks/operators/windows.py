@@ -7,12 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .blocks import (
     DAY,
+    adjacent_rows,
     as_column,
     epoch_micros,
     number_rows,
-    previous_row,
     rolling_range,
     row_frame,
     running,
@@ -49,7 +50,7 @@ def gap_label(
     block_seconds: int = 30 * DAY,
 ) -> DataFrame:
     """1 when a row starts less than ``days`` after the previous row of the key stopped."""
-    near = previous_row(
+    near = adjacent_rows(
         df, keys, [start, tie], time_block(start, block_seconds), {"_prev_stop": F.col(stop)}
     )
     gap = epoch_micros(start) - epoch_micros("_prev_stop")
@@ -66,14 +67,9 @@ def neighbour_values(
 ) -> DataFrame:
     """``lag`` for positive offsets, ``lead`` for negative ones, of (column, offset)."""
     if all(abs(n) == 1 for _, n in values.values()):
-        out = df
         back = {name: F.col(c) for name, (c, n) in values.items() if n == 1}
         ahead = {name: F.col(c) for name, (c, n) in values.items() if n == -1}
-        if back:
-            out = previous_row(out, keys, order, block, back)
-        if ahead:
-            out = previous_row(out, keys, order, block, ahead, following=True)
-        return out.select(*df.columns, *values)
+        return adjacent_rows(df, keys, order, block, back, ahead).select(*df.columns, *values)
     reach = max(abs(n) for _, n in values.values())
     return row_frame(
         df, keys, [F.col(c) for c in order], block, reach, reach,
@@ -170,6 +166,7 @@ def merge_intervals(
     base = df.withColumn("_s", epoch_micros(start)).withColumn("_e", epoch_micros(stop))
     # ties on (start, stop) are interchangeable, so their order does not matter
     seen = running(base, keys, order, block, {"_seen": ("max", F.col("_e"))}, include_current=False)
+    seen = materialise(seen, "intervals")  # the second scan must not repeat the first
     opens = (F.col("_seen").isNull() | (F.col("_s") > F.col("_seen") + gap_seconds * 1_000_000)).cast("long")
     # "seen" of equal rows may differ, but only the first of them can open
     numbered = running(seen.withColumn("_open", opens), keys, [*order, F.col("_open").desc()], block,

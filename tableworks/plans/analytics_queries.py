@@ -35,13 +35,13 @@ def _(t):
 
 
 @query("sensor_stats", """
-    SELECT event_type, date_trunc('hour', ts) AS window_start, round(avg(value), 6) AS avg_value,
+    SELECT event_type, date_trunc('hour', ts) AS window_start, round(avg(value), 9) AS avg_value,
       round(stddev_pop(value), 6) AS std_value, quantile_disc(value, 0.1) AS p10, quantile_disc(value, 0.6) AS p60,
       quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1, 2""")
 def _(t):
     s = A.sensor_stats(t.events, ["event_type"], "ts", ["value"])
     p = F.col("percentiles_value")
-    return s.select("event_type", "window_start", r("avg_value").alias("avg_value"), r("std_value").alias("std_value"),
+    return s.select("event_type", "window_start", r("avg_value", 9).alias("avg_value"), r("std_value").alias("std_value"),
                     p[0].alias("p10"), p[2].alias("p60"), p[4].alias("p95"))
 
 

@@ -265,7 +265,7 @@ def _(t):
 _GAP = 4 * 3600
 _SESSIONS = f"""SELECT user_id, min(ts) AS start, max(ts) AS "end", count(*) AS click_count FROM (
     SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (
-      SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL {_GAP} SECOND THEN 0 ELSE 1 END AS opens FROM events))
+      SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL {_GAP} SECOND THEN 0 ELSE 1 END AS opens FROM events))
     GROUP BY user_id, s"""
 _CLOSED = f"""SELECT user_id, start, "end", click_count FROM ({_SESSIONS})
     WHERE "end" + INTERVAL {_GAP} SECOND <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)"""

@@ -222,7 +222,7 @@ def _(t):
     WITH e AS (SELECT event_id, user_id, date_trunc('second', ts) AS ts FROM events WHERE event_id % 50 > 0)
     SELECT user_id, min(ts) AS start, max(ts) AS "end", count(*) AS click_count FROM (
       SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (
-        SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL {_GAP} SECOND THEN 0 ELSE 1 END AS opens FROM e))
+        SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL {_GAP} SECOND THEN 0 ELSE 1 END AS opens FROM e))
     GROUP BY user_id, s HAVING max(ts) + INTERVAL {_GAP} SECOND <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM e)""")
 def _(t):
     e = t.events

@@ -70,7 +70,7 @@ def keep_latest_result(stream: DataFrame, out: str, checkpoint: str) -> None:
 def sessionize_window(df: DataFrame, key: str, ts: str, gap_seconds: int, delay: str = "10 minutes") -> DataFrame:
     """Closed sessions with the built-in session window.
 
-    A session ends when the next event of the key is ``gap_seconds`` or more
+    A session ends when the next event of the key is more than ``gap_seconds``
     away. Sessions are merged on the map side before the shuffle (see
     ``session.RUNTIME_CONF``), so a hot key sends few rows.
     """
@@ -117,7 +117,7 @@ class SessionProcessor(StatefulProcessor):
             spans += list(zip(pdf["first_us"].tolist(), pdf["last_us"].tolist(), pdf["clicks"].tolist()))
         merged: list[list[int]] = []
         for first, last, clicks in sorted(spans):
-            if merged and first - merged[-1][1] < self.gap_us:
+            if merged and first - merged[-1][1] <= self.gap_us:
                 merged[-1][1] = max(merged[-1][1], last)
                 merged[-1][2] += clicks
             else:
