@@ -1,7 +1,10 @@
 """Ordered per-key scans that stay balanced when one key holds most rows.
 
 ``Window.partitionBy(key)`` sends a whole key to one task. The functions here
-cut each key into *blocks* along its ordering column and work in three steps:
+first look for keys with more rows than a task should take (one aggregate; the
+list is short by construction, see ``hot_keys``). Without any, a plain window
+over one shuffle does the work. Otherwise the hot keys, and only those, are cut
+into *blocks* along their ordering column:
 
 1. aggregate every (key, block) to one summary row (map-side combined),
 2. fold the summaries over the earlier (or later) blocks of the key: one row
@@ -16,11 +19,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY = 86_400
 
+# rows of one key that one task may take before the key is cut
+TARGET_ROWS = 5_000_000
+# hot keys travel to all tasks; there are never more than this many
+MAX_HOT_KEYS = 10_000
+
 
 class Carry(NamedTuple):
     """``agg`` summarises one block; ``fold`` (sum, max, min, last, first) joins
@@ -54,22 +63,65 @@ def epoch_seconds(col: str | Column) -> Column:
     return F.floor(epoch_micros(col) / F.lit(1_000_000)).cast("long")
 
 
-def time_block(col: str | Column, seconds: int) -> Column:
-    """Number of the fixed-width time block a timestamp falls into."""
-    return F.floor(epoch_micros(col) / F.lit(seconds * 1_000_000)).cast("long")
-
-
-def number_block(col: str | Column, width: float) -> Column:
-    return F.floor(as_column(col) / F.lit(width)).cast("long")
-
-
 def key_struct(keys: Sequence[str]) -> Column:
     """Keys as one struct: equal also where a key is null, so no row is lost."""
     return F.struct(*[F.col(k) for k in keys])
 
 
-def carry_in(df: DataFrame, key: str, block: str, carries: Sequence[Carry]) -> DataFrame:
-    """Add, per row, each carry folded over the earlier (or later) blocks of its key."""
+def hot_keys(cut: DataFrame, target_rows: int | None = None) -> list[Row]:
+    """Keys (column ``_key``) with more than ``target_rows`` rows, with the range of ``_along``.
+
+    At most rows / target_rows keys qualify. Should they be more than
+    ``MAX_HOT_KEYS``, the bound is raised until they fit, so the list is small.
+    """
+    target = target_rows or TARGET_ROWS
+    counts = cut.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_along").alias("_lo"), F.max("_along").alias("_hi"))
+    while True:
+        found = counts.filter(F.col("_n") > target).limit(MAX_HOT_KEYS + 1).collect()
+        if len(found) <= MAX_HOT_KEYS:
+            return found
+        target *= 10
+
+
+def cut_blocks(df: DataFrame, keys: Sequence[str], along: Column, width: float | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_key`` and ``_block``; tells whether any key has several blocks.
+
+    ``along`` is a number that rises with the order. A hot key gets blocks of
+    equal width, as many as its rows need; a given ``width`` is used for all
+    keys instead.
+    """
+    cut = df.withColumn("_key", key_struct(keys)).withColumn("_along", along.cast("double"))
+    if width is not None:
+        block = F.floor(F.col("_along") / F.lit(float(width))).cast("long")
+        return cut.withColumn("_block", F.coalesce(block, F.lit(-(2**62)))).drop("_along"), True
+    hot = hot_keys(cut)
+    if not hot:
+        return cut.withColumn("_block", F.lit(0).cast("long")).drop("_along"), False
+    rows = []
+    for h in hot:
+        pieces = -(-h["_n"] // TARGET_ROWS)
+        lo = h["_lo"] if h["_lo"] is not None else 0.0
+        span = (h["_hi"] - lo) if h["_hi"] is not None else 0.0
+        rows.append((h["_key"], float(lo), max(span / pieces, 1e-9)))
+    schema = T.StructType([
+        T.StructField("_key", cut.schema["_key"].dataType), T.StructField("_lo", T.DoubleType()), T.StructField("_width", T.DoubleType())])
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))  # at most MAX_HOT_KEYS rows
+    joined = cut.join(table, "_key", "left")
+    block = F.floor((F.col("_along") - F.col("_lo")) / F.col("_width")).cast("long")
+    # nulls sort first, and other keys have one block
+    block = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(F.coalesce(block, F.lit(-1)))
+    return joined.withColumn("_block", block.cast("long")).drop("_along", "_lo", "_width"), True
+
+
+def carry_in(df: DataFrame, carries: Sequence[Carry], split: bool = True) -> DataFrame:
+    """Add, per row, each carry folded over the earlier (or later) blocks of its key.
+
+    Without a ``split`` there are no other blocks and every carry is null.
+    """
+    if not split:
+        return df.withColumns({c.name: F.lit(None) for c in carries})
+    key, block = "_key", "_block"
     summary = df.groupBy(key, block).agg(*[c.agg.alias(c.name) for c in carries])
     order = Window.partitionBy(key).orderBy(block)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -82,11 +134,11 @@ def carry_in(df: DataFrame, key: str, block: str, carries: Sequence[Carry]) -> D
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], block: Column, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], along: Column, out: str, width: float | None = None
 ) -> DataFrame:
-    """``row_number`` per key. ``block`` must rise with the first order column."""
-    cut = df.withColumn("_key", key_struct(keys)).withColumn("_block", block)
-    cut = carry_in(cut, "_key", "_block", [Carry("_before", F.count(F.lit(1)), "sum")])
+    """``row_number`` per key. ``along`` is a number that rises with the first order column."""
+    cut, split = cut_blocks(df, keys, along, width)
+    cut = carry_in(cut, [Carry("_before", F.count(F.lit(1)), "sum")], split)
     inside = F.row_number().over(Window.partitionBy("_key", "_block").orderBy(*order))
     return cut.withColumn(
         out, inside.cast("long") + F.coalesce(F.col("_before"), F.lit(0))
@@ -97,16 +149,17 @@ def adjacent_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column,
+    along: Column,
     previous: Mapping[str, Column | str] | None = None,
     following: Mapping[str, Column | str] | None = None,
+    width: float | None = None,
 ) -> DataFrame:
     """``lag`` and ``lead`` by one row of several values, in one scan.
 
     ``order`` columns are ascending and must be unique within a key.
     """
     rank = F.struct(*[F.col(c) for c in order])
-    cut = df.withColumn("_key", key_struct(keys)).withColumn("_block", block)
+    cut, split = cut_blocks(df, keys, along, width)
     sides = [(n, v) for n, v in (("_back", previous), ("_ahead", following)) if v]
     for name, values in sides:
         cut = cut.withColumn(name, F.struct(*[as_column(v).alias(n) for n, v in values.items()]))
@@ -116,7 +169,7 @@ def adjacent_rows(
         else Carry("_edge_ahead", F.min_by("_ahead", rank), "first", later=True)
         for name, _ in sides
     ]
-    cut = carry_in(cut, "_key", "_block", carries)
+    cut = carry_in(cut, carries, split)
     w = Window.partitionBy("_key", "_block").orderBy(*order)
     out = [F.col(c) for c in df.columns]
     for name, values in sides:
@@ -132,9 +185,10 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    block: Column,
+    along: Column,
     outputs: Mapping[str, tuple[str, Column]],
     include_current: bool = True,
+    width: float | None = None,
 ) -> DataFrame:
     """Running sum, max, min or last from the start of the key.
 
@@ -142,7 +196,7 @@ def running(
     off, the frame ends one row before the current one. ``last`` needs an
     ascending order.
     """
-    cut = df.withColumn("_key", key_struct(keys)).withColumn("_block", block)
+    cut, split = cut_blocks(df, keys, along, width)
     aggs = {"sum": F.sum, "max": F.max, "min": F.min}
     names = list(outputs)
     for i, name in enumerate(names):
@@ -156,7 +210,7 @@ def running(
             else aggs[fold](f"_in{i}")
         )
         carries.append(Carry(f"_carry{i}", agg, fold))
-    cut = carry_in(cut, "_key", "_block", carries)
+    cut = carry_in(cut, carries, split)
     w = (
         Window.partitionBy("_key", "_block")
         .orderBy(*order)
@@ -186,19 +240,54 @@ def rolling_range(
     ts: str,
     seconds: int,
     outputs: Mapping[str, tuple[str, str]],
-    block_seconds: int = DAY,
+    block_seconds: float | None = None,
 ) -> DataFrame:
     """Aggregates over ``[t - seconds, t]`` per key, both ends included.
 
-    ``outputs`` maps a name to (sum | count | min | max | avg, column). A window
-    is the head of its own block, the whole blocks between, and the tail of the
-    block where it begins. For the tail each row is sent once more, shifted by
-    ``seconds``: a shifted copy at or after the current time is still inside.
-    No subtraction, so the result does not drift, and a block can be far shorter
-    than the window. ``seconds`` must be a multiple of ``block_seconds``.
+    ``outputs`` maps a name to (sum | count | min | max | avg, column). Keys
+    that fit one task use a plain range window; hot keys are cut finer than
+    the window where their rows need it (see ``_rolling_blocks``).
+    ``block_seconds``, a divisor of ``seconds``, forces that for all keys.
+    """
+    if block_seconds is not None:
+        return _rolling_blocks(df, keys, ts, seconds, outputs, round(seconds / block_seconds))
+    cut = df.withColumn("_key", key_struct(keys)).withColumn("_along", epoch_micros(ts).cast("double"))
+    hot = hot_keys(cut)
+    cold = cut
+    if hot:
+        schema = T.StructType([T.StructField("_key", cut.schema["_key"].dataType)])
+        table = F.broadcast(df.sparkSession.createDataFrame([(h["_key"],) for h in hot], schema))  # at most MAX_HOT_KEYS rows
+        cold = cut.join(table, "_key", "left_anti")
+        busiest = max(h["_n"] / max(h["_hi"] - h["_lo"], 1.0) for h in hot if h["_lo"] is not None)
+        pieces = _divisor(seconds * 1_000_000, busiest * seconds * 1_000_000 / TARGET_ROWS)
+        hot_part = _rolling_blocks(
+            cut.join(table, "_key", "left_semi").select(*df.columns), keys, ts, seconds, outputs, pieces)
+    w = Window.partitionBy("_key").orderBy("_t").rangeBetween(-seconds * 1_000_000, 0)
+    agg = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
+    plain = cold.withColumn("_t", epoch_micros(ts)).withColumns(
+        {name: agg[fn](c).over(w) for name, (fn, c) in outputs.items()}
+    ).select(*df.columns, *outputs)
+    return plain.unionByName(hot_part) if hot else plain
+
+
+def _divisor(span: int, wanted: float) -> int:
+    """The smallest divisor of ``span`` of the form 2^i 5^j that is at least ``wanted``."""
+    fits = sorted(2**i * 5**j for i in range(20) for j in range(10) if span % (2**i * 5**j) == 0)
+    return next((f for f in fits if f >= wanted), fits[-1])
+
+
+def _rolling_blocks(
+    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, outputs: Mapping[str, tuple[str, str]], pieces: int
+) -> DataFrame:
+    """Rolling aggregates with ``pieces`` blocks per window.
+
+    A window is the head of its own block, the whole blocks between, and the
+    tail of the block where it begins. For the tail each row is sent once more,
+    shifted by the window length: a shifted copy at or after the current time
+    is still inside. No subtraction, so the result does not drift.
     """
-    if seconds % block_seconds:
-        raise ValueError("seconds must be a multiple of block_seconds")
+    if seconds * 1_000_000 % pieces:
+        raise ValueError("blocks must divide the window")
     base: dict[str, tuple[str, str]] = {}
     for name, (fn, col) in outputs.items():
         if fn == "avg":
@@ -208,8 +297,8 @@ def rolling_range(
             base[f"_v_{name}"] = (fn, col)
     agg = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
     join = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-    width = block_seconds * 1_000_000
     span = seconds * 1_000_000
+    width = span // pieces
     inputs = sorted({c for _, c in base.values()})
 
     own = df.withColumn("_key", key_struct(keys)).withColumn("_t", epoch_micros(ts))
@@ -218,7 +307,7 @@ def rolling_range(
         *[agg[fn](c).alias(n) for n, (fn, c) in base.items()]
     )
     # blocks wholly inside the window, seen from each block that has rows
-    whole = Window.partitionBy("_key").orderBy("_block").rangeBetween(1 - seconds // block_seconds, -1)
+    whole = Window.partitionBy("_key").orderBy("_block").rangeBetween(1 - pieces, -1)
     middle = totals.select(
         "_key", "_block",
         *[join[fn](F.col(n)).over(whole).alias(f"{n}_mid") for n, (fn, _) in base.items()],
@@ -226,7 +315,7 @@ def rolling_range(
     ghosts = own.select(
         "_key",
         (F.col("_t") + span).alias("_t"),
-        (F.col("_block") + seconds // block_seconds).alias("_block"),
+        (F.col("_block") + pieces).alias("_block"),
         *[F.col(c).alias(f"_g_{c}") for c in inputs],
         F.lit(True).alias("_ghost"),
     )
@@ -263,11 +352,12 @@ def row_frame(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    block: Column,
+    along: Column,
     before: int,
     after: int,
     outputs: Mapping[str, Callable[[WindowSpec], Column]],
-    segment_rows: int = 100_000,
+    segment_rows: int = 1_000_000,
+    width: float | None = None,
 ) -> DataFrame:
     """Window results that reach ``before`` rows back and ``after`` rows ahead.
 
@@ -277,7 +367,7 @@ def row_frame(
     """
     if max(before, after) >= segment_rows:
         raise ValueError("frame longer than a segment")
-    numbered = number_rows(df, keys, order, block, "_rn").withColumn("_key", key_struct(keys))
+    numbered = number_rows(df, keys, order, along, "_rn", width).withColumn("_key", key_struct(keys))
     place = F.pmod(F.col("_rn"), F.lit(segment_rows))
     home = F.floor(F.col("_rn") / segment_rows)
     spread = numbered.withColumn("_home", home).withColumn(

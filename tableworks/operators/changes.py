@@ -62,15 +62,15 @@ def live_rows(state: DataFrame) -> DataFrame:
 
 
 def apply_changes_scd2(
-    changes: DataFrame, keys: Sequence[str], sequence_by: str, block: Column,
+    changes: DataFrame, keys: Sequence[str], sequence_by: str, along: Column,
     delete_when: str | None = None, except_columns: Sequence[str] = (), tie: str | None = None,
 ) -> DataFrame:
     """History rows with ``__START_AT`` / ``__END_AT`` from a change log.
 
     A row closes when the next different row starts or the key is deleted;
     repeats of the same values are merged. Of several changes with one
-    sequence the largest ``tie`` counts. ``block`` is the block number of
-    ``sequence_by`` (see ``blocks``), which keeps hot keys spread out.
+    sequence the largest ``tie`` counts. ``along`` is ``sequence_by`` as a
+    number (``blocks.epoch_micros`` for times), by which hot keys are cut.
     """
     deleted = F.coalesce(F.expr(delete_when), F.lit(False)) if delete_when else F.lit(False)
     hidden = {*keys, sequence_by, *except_columns}
@@ -83,7 +83,7 @@ def apply_changes_scd2(
         F.max_by("_row", "_tie").alias("_row"), F.max_by("_gone", "_tie").alias("_gone")
     )
     # each scan reads its input twice (summary and rows), so cut the lineage before it
-    rows = adjacent_rows(materialise(rows, "changes"), keys, [sequence_by], block, {
+    rows = adjacent_rows(materialise(rows, "changes"), keys, [sequence_by], along, {
         "_prev": F.struct(F.col("_row").alias("r"), F.col("_gone").alias("g"))})
     first = F.col("_prev").isNull()
     same = ~first & (
@@ -91,13 +91,13 @@ def apply_changes_scd2(
         | (~F.col("_gone") & ~F.col("_prev.g") & F.col("_row").eqNullSafe(F.col("_prev.r")))
     )
     kept = materialise(rows.filter(~same).drop("_prev"), "changes")
-    kept = adjacent_rows(kept, keys, [sequence_by], block, following={END: F.col(sequence_by)})
+    kept = adjacent_rows(kept, keys, [sequence_by], along, following={END: F.col(sequence_by)})
     return kept.filter(~F.col("_gone")).select(*keys, "_row.*", F.col(sequence_by).alias(START), END)
 
 
 def update_scd2(
     history: DataFrame, log: DataFrame, new_changes: DataFrame, keys: Sequence[str], sequence_by: str,
-    block: Column, **options,
+    along: Column, **options,
 ) -> DataFrame:
     """History after new (also late) changes: only the touched keys are recomputed.
 
@@ -105,7 +105,7 @@ def update_scd2(
     late row may split a span that was merged before, and only the log knows.
     """
     touched = new_changes.select(*keys).distinct()
-    again = apply_changes_scd2(log.join(touched, list(keys), "left_semi"), keys, sequence_by, block, **options)
+    again = apply_changes_scd2(log.join(touched, list(keys), "left_semi"), keys, sequence_by, along, **options)
     return history.join(touched, list(keys), "left_anti").unionByName(again)
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import merge_batch, read_keyed, replace_keyed
-from .blocks import DAY
 from .changes import merge_upsert
 from .clean import hash_share
 from .joins import join_asof
@@ -73,7 +72,7 @@ class Lookup:
 
 
 def training_set(labels: DataFrame, lookups: Sequence[Lookup], functions: Mapping[str, str] | None = None,
-                 exclude: Sequence[str] = (), block_seconds: int = DAY) -> DataFrame:
+                 exclude: Sequence[str] = ()) -> DataFrame:
     """Labels with looked-up features (plain or point-in-time) and on-demand expressions."""
     out = labels
     for item in lookups:
@@ -90,8 +89,7 @@ def training_set(labels: DataFrame, lookups: Sequence[Lookup], functions: Mappin
                                       *([F.col(item.tie).alias("_ftie")] if item.tie else []),
                                       *[F.col(f).alias(n) for f, n in names.items()])
             out = join_asof(out, right, list(item.keys), item.label_ts, "_fts", list(names.values()),
-                            tie="_ftie" if item.tie else None, lookback_seconds=item.lookback_seconds,
-                            block_seconds=block_seconds).drop("_fts")
+                            tie="_ftie" if item.tie else None, lookback_seconds=item.lookback_seconds).drop("_fts")
     for name, expression in (functions or {}).items():
         out = out.withColumn(name, F.expr(expression))
     return out.drop(*exclude)

@@ -93,11 +93,11 @@ def join_range(
 def join_asof(
     labels: DataFrame, features: DataFrame, keys: Sequence[str], ts: str, feature_ts: str,
     columns: Sequence[str], tie: str | None = None, lookback_seconds: int | None = None,
-    direction: str = "backward", block_seconds: int = DAY,
+    direction: str = "backward",
 ) -> DataFrame:
     """Latest feature row at or before (``forward``: first at or after) each label time.
 
-    Both inputs are stacked and scanned once in time order, in blocks, so
+    Both inputs are stacked and scanned once in time order, hot keys in blocks, so
     neither label x feature pairs nor whole keys meet in one task. ``tie``
     breaks equal feature times (largest wins). Adds ``columns`` and
     ``feature_ts``; all null when nothing qualifies.
@@ -119,9 +119,8 @@ def join_asof(
         F.struct(*labels.columns).alias("_row"),
     )
     both = rows.unionByName(feats, allowMissingColumns=True)
-    block = F.floor(F.col("_t") / F.lit(block_seconds * MICROS)).cast("long")
     seen = running(
-        both, keys, [F.col("_t"), F.col("_kind"), F.col("_tie")], block, {"_last": ("last", F.col("_feat"))}
+        both, keys, [F.col("_t"), F.col("_kind"), F.col("_tie")], F.col("_t"), {"_last": ("last", F.col("_feat"))}
     ).filter("_kind = 1")
     hit = F.col("_last")
     if lookback_seconds is not None:
@@ -133,13 +132,13 @@ def join_asof(
     )
 
 
-def next_end(starts: DataFrame, ends: DataFrame, keys: Sequence[str], start: str, end: str, block_seconds: int = 30 * DAY) -> DataFrame:
+def next_end(starts: DataFrame, ends: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """The smallest ``end`` at or after each ``start`` of the same key; rows without one are dropped.
 
     Same as an inequality join followed by a minimum, without forming the pairs.
     """
     return join_asof(
-        starts, ends.select(*keys, end), keys, start, end, [], direction="forward", block_seconds=block_seconds
+        starts, ends.select(*keys, end), keys, start, end, [], direction="forward"
     ).filter(F.col(end).isNotNull())
 
 

@@ -300,15 +300,15 @@ def build_prompt(df: DataFrame, template: str, fields: Sequence[str], out: str =
     return df.withColumn(out, F.concat(*parts))
 
 
-def concat_capped(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, text: str, cap: int,
+def concat_capped(df: DataFrame, keys: Sequence[str], order: Sequence[str], along: Column, text: str, cap: int,
                   separator: str = " ", out: str = "joined") -> DataFrame:
     """Texts of a group joined in order, cut after ``cap`` characters.
 
-    Only rows that begin before the cap are collected (a running length in
-    blocks tells which), so a group never gathers more than the result needs.
+    Only rows that begin before the cap are collected (a running length tells
+    which), so a group never gathers more than the result needs.
     """
     clean = df.filter(F.col(text).isNotNull())
-    placed = running(clean, keys, [F.col(c) for c in order], block,
+    placed = running(clean, keys, [F.col(c) for c in order], along,
                      {"_at": ("sum", F.length(text) + len(separator))}, include_current=False)
     placed = placed.filter(F.coalesce("_at", F.lit(0)) < cap)
     piece = F.struct(*order, F.substring(text, 1, cap).alias("_t"))

@@ -17,7 +17,6 @@ from .blocks import (
     rolling_range,
     row_frame,
     running,
-    time_block,
 )
 
 
@@ -47,12 +46,9 @@ def gap_label(
     tie: str,
     days: float,
     label: str = "is_repeat",
-    block_seconds: int = 30 * DAY,
 ) -> DataFrame:
     """1 when a row starts less than ``days`` after the previous row of the key stopped."""
-    near = adjacent_rows(
-        df, keys, [start, tie], time_block(start, block_seconds), {"_prev_stop": F.col(stop)}
-    )
+    near = adjacent_rows(df, keys, [start, tie], epoch_micros(start), {"_prev_stop": F.col(stop)})
     gap = epoch_micros(start) - epoch_micros("_prev_stop")
     within = gap < F.lit(int(days * DAY * 1_000_000))
     return near.withColumn(label, F.coalesce(within, F.lit(False)).cast("int")).drop("_prev_stop")
@@ -62,24 +58,24 @@ def neighbour_values(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column,
+    along: Column,
     values: Mapping[str, tuple[str, int]],
 ) -> DataFrame:
     """``lag`` for positive offsets, ``lead`` for negative ones, of (column, offset)."""
     if all(abs(n) == 1 for _, n in values.values()):
         back = {name: F.col(c) for name, (c, n) in values.items() if n == 1}
         ahead = {name: F.col(c) for name, (c, n) in values.items() if n == -1}
-        return adjacent_rows(df, keys, order, block, back, ahead).select(*df.columns, *values)
+        return adjacent_rows(df, keys, order, along, back, ahead).select(*df.columns, *values)
     reach = max(abs(n) for _, n in values.values())
     return row_frame(
-        df, keys, [F.col(c) for c in order], block, reach, reach,
+        df, keys, [F.col(c) for c in order], along, reach, reach,
         {name: lambda w, c=c, n=n: F.lag(c, n).over(w) for name, (c, n) in values.items()},
     )
 
 
 def rolling_totals(
     df: DataFrame, keys: Sequence[str], ts: str, seconds: int,
-    outputs: Mapping[str, tuple[str, str]], block_seconds: int = DAY,
+    outputs: Mapping[str, tuple[str, str]], block_seconds: float | None = None,
 ) -> DataFrame:
     """Sum, count, mean, min, max over the last ``seconds`` by event time."""
     return rolling_range(df, keys, ts, seconds, outputs, block_seconds)
@@ -103,12 +99,12 @@ def rolling_days(
 
 
 def centered_mean(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], along: Column,
     columns: Mapping[str, str], reach: int = 7,
 ) -> DataFrame:
     """Moving average over ``reach`` rows on each side."""
     return row_frame(
-        df, keys, [F.col(c) for c in order], block, reach, reach,
+        df, keys, [F.col(c) for c in order], along, reach, reach,
         {
             out: lambda w, c=c: F.avg(c).over(w.rowsBetween(-reach, reach))
             for out, c in columns.items()
@@ -126,17 +122,17 @@ def partition_max(df: DataFrame, keys: Sequence[str], value: str, out: str, fact
 
 
 def back_adjust(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], along: Column,
     price: str, factor: str, out: str = "adjusted",
 ) -> DataFrame:
     """Price times the product of all *later* factors of the key.
 
-    The product is a running sum of logarithms from the newest row backwards.
-    A block number falling with time is what makes "earlier block" mean newer.
+    The product is a running sum of logarithms from the newest row backwards,
+    so the blocks run backwards too.
     """
     newest_first = [F.col(c).desc() for c in order]
     summed = running(
-        df, keys, newest_first, -block,
+        df, keys, newest_first, -along,
         {"_log": ("sum", F.log(F.col(factor)))}, include_current=False,
     )
     return summed.withColumn(out, F.col(price) * F.exp(F.coalesce(F.col("_log"), F.lit(0.0)))).drop("_log")
@@ -154,22 +150,22 @@ def top_k_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column
 
 def merge_intervals(
     df: DataFrame, keys: Sequence[str], start: str, stop: str,
-    gap_seconds: int = 0, block_seconds: int = 30 * DAY,
+    gap_seconds: int = 0,
 ) -> DataFrame:
     """Overlapping or nearly touching intervals joined into episodes.
 
     An interval opens an episode when it starts more than ``gap_seconds`` after
     everything seen before it has ended. Returns keys, bounds and member count.
     """
-    block = time_block(start, block_seconds)
+    along = epoch_micros(start)
     order = [F.col("_s"), F.col("_e")]
     base = df.withColumn("_s", epoch_micros(start)).withColumn("_e", epoch_micros(stop))
     # ties on (start, stop) are interchangeable, so their order does not matter
-    seen = running(base, keys, order, block, {"_seen": ("max", F.col("_e"))}, include_current=False)
+    seen = running(base, keys, order, along, {"_seen": ("max", F.col("_e"))}, include_current=False)
     seen = materialise(seen, "intervals")  # the second scan must not repeat the first
     opens = (F.col("_seen").isNull() | (F.col("_s") > F.col("_seen") + gap_seconds * 1_000_000)).cast("long")
     # "seen" of equal rows may differ, but only the first of them can open
-    numbered = running(seen.withColumn("_open", opens), keys, [*order, F.col("_open").desc()], block,
+    numbered = running(seen.withColumn("_open", opens), keys, [*order, F.col("_open").desc()], along,
                        {"_episode": ("sum", F.col("_open"))})
     return (
         numbered.groupBy(*keys, "_episode")
@@ -179,10 +175,10 @@ def merge_intervals(
 
 
 def sequence_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], block: Column, out: str = "seq"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], along: Column, out: str = "seq"
 ) -> DataFrame:
     """Ordinal of each row within its key."""
-    return number_rows(df, keys, [as_column(o) for o in order], block, out)
+    return number_rows(df, keys, [as_column(o) for o in order], along, out)
 
 
 def assign_episode(

@@ -291,7 +291,7 @@ def _(t):
 def _(t):
     v = t.events.select("event_id", "user_id", "ts",
                         F.timestamp_add("HOUR", (F.col("event_id") % 48).cast("int"), F.col("ts")).alias("stop"))
-    return W.gap_label(v, ["user_id"], "ts", "stop", "event_id", 1, block_seconds=5 * DAY).select("event_id", "user_id", "is_repeat")
+    return W.gap_label(v, ["user_id"], "ts", "stop", "event_id", 1).select("event_id", "user_id", "is_repeat")
 
 
 @query("lead_lag", """
@@ -299,7 +299,7 @@ def _(t):
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t):
     e = t.events.select("event_id", "user_id", "ts", "value")
-    out = W.neighbour_values(e, ["user_id"], ["ts", "event_id"], B.time_block("ts", 5 * DAY),
+    out = W.neighbour_values(e, ["user_id"], ["ts", "event_id"], B.epoch_micros("ts"),
                              {"before": ("value", 1), "after": ("value", -1)})
     return out.select("event_id", "before", "after")
 
@@ -309,7 +309,7 @@ def _(t):
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def _(t):
     e = t.events.select("event_id", "user_id", "ts", "value")
-    out = W.neighbour_values(e, ["user_id"], ["ts", "event_id"], B.time_block("ts", 5 * DAY),
+    out = W.neighbour_values(e, ["user_id"], ["ts", "event_id"], B.epoch_micros("ts"),
                              {"before": ("value", 3), "after": ("value", -2)})
     return out.select("event_id", "before", "after")
 
@@ -338,7 +338,7 @@ def _(t):
       AS smooth FROM events""")
 def _(t):
     e = t.events.select("event_id", "event_type", "ts", "value")
-    out = W.centered_mean(e, ["event_type"], ["ts", "event_id"], B.time_block("ts", DAY), {"smooth": "value"})
+    out = W.centered_mean(e, ["event_type"], ["ts", "event_id"], B.epoch_micros("ts"), {"smooth": "value"})
     return out.select("event_id", r("smooth").alias("smooth"))
 
 
@@ -354,7 +354,7 @@ def _(t):
 def _(t):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
                         F.when(F.col("o_orderkey") % 10 == 0, 2.0).otherwise(1.0).alias("f"))
-    out = W.back_adjust(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], B.time_block("o_orderdate", 365 * DAY), "o_totalprice", "f")
+    out = W.back_adjust(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], B.epoch_micros("o_orderdate"), "o_totalprice", "f")
     return out.select("o_orderkey", r("adjusted", 4).alias("adjusted"))
 
 
@@ -386,7 +386,7 @@ _EPISODES = f"""SELECT user_id, min(start) AS start, max(stop) AS stop, count(*)
 
 @query("merge_intervals", _EPISODES)
 def _(t):
-    return W.merge_intervals(_stays(t), ["user_id"], "start", "stop", gap_seconds=3600, block_seconds=5 * DAY)
+    return W.merge_intervals(_stays(t), ["user_id"], "start", "stop", gap_seconds=3600)
 
 
 @query("assign_episode", f"""
@@ -396,7 +396,7 @@ def _(t):
       FROM events e JOIN ep p ON e.user_id = p.user_id AND e.ts >= p.start AND e.ts <= p.stop)
     SELECT event_id, start, stop, priority FROM cand QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY priority, start, stop) = 1""")
 def _(t):
-    episodes = W.merge_intervals(_stays(t), ["user_id"], "start", "stop", gap_seconds=3600, block_seconds=5 * DAY)
+    episodes = W.merge_intervals(_stays(t), ["user_id"], "start", "stop", gap_seconds=3600)
     out = W.assign_episode(
         t.events.select("event_id", "event_type", "user_id", "ts"), episodes.drop("members"), ["user_id"], "event_id", "ts",
         "start", "stop", "CASE WHEN event_type = 'purchase' AND ts > start THEN 1 WHEN ts = start THEN 2 ELSE 3 END",
@@ -408,7 +408,7 @@ def _(t):
     SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS seq FROM events""")
 def _(t):
     out = W.sequence_number(t.events.select("event_id", "user_id", "event_type", "ts"), ["user_id", "event_type"],
-                            ["ts", "event_id"], B.time_block("ts", 5 * DAY))
+                            ["ts", "event_id"], B.epoch_micros("ts"))
     return out.select("event_id", "seq")
 
 

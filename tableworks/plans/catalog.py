@@ -1,4 +1,10 @@
-"""The query catalogue: every operator as a named query over the test tables."""
+"""The query catalogue: every operator as a named query over the test tables.
+
+Each query reads its tables whole. Where a query needs changes, repeats, nulls,
+late rows or a second load that the tables do not have, it derives them from
+the keys (``o_orderkey % 17 = 0`` is a delete, say); no row is left out to make
+a check cheaper.
+"""
 
 from __future__ import annotations
 

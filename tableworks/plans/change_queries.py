@@ -60,28 +60,28 @@ _SCD2_ARGS = dict(keys=["id"], sequence_by="changed", delete_when="operation = '
                   except_columns=["operation", "seq", "amount"], tie="seq")
 
 
-def _year_block():
-    return B.time_block("changed", 365 * DAY)
+def _along():
+    return B.epoch_micros("changed")
 
 
 @query("apply_changes_scd2", _SCD2)
 def _(t):
-    return H.apply_changes_scd2(_log(t), block=_year_block(), **_SCD2_ARGS)
+    return H.apply_changes_scd2(_log(t), along=_along(), **_SCD2_ARGS)
 
 
 @query("update_scd2", _SCD2)
 def _(t):
     log = _log(t)
     old, new = log.filter("seq % 5 > 0"), log.filter("seq % 5 = 0")
-    history = H.apply_changes_scd2(old, block=_year_block(), **_SCD2_ARGS)
+    history = H.apply_changes_scd2(old, along=_along(), **_SCD2_ARGS)
     rest = {k: v for k, v in _SCD2_ARGS.items() if k not in ("keys", "sequence_by")}
-    return H.update_scd2(history, log, new, ["id"], "changed", _year_block(), **rest)
+    return H.update_scd2(history, log, new, ["id"], "changed", _along(), **rest)
 
 
 @query("as_of", f"""
     SELECT id, priority FROM ({_SCD2}) WHERE __START_AT <= TIMESTAMP '1998-06-01' AND (__END_AT IS NULL OR __END_AT > TIMESTAMP '1998-06-01')""")
 def _(t):
-    return H.as_of(H.apply_changes_scd2(_log(t), block=_year_block(), **_SCD2_ARGS), "1998-06-01")
+    return H.as_of(H.apply_changes_scd2(_log(t), along=_along(), **_SCD2_ARGS), "1998-06-01")
 
 
 @query("merge_upsert", """

@@ -406,7 +406,7 @@ def _price_spans(t):
     prices = t.lineitem.groupBy(
         F.col("l_suppkey").alias("suppkey"), F.date_trunc("quarter", "l_shipdate").alias("valid_from")
     ).agg(F.round(F.max("l_extendedprice"), 2).alias("price"))
-    return W.neighbour_values(prices, ["suppkey"], ["valid_from"], B.time_block("valid_from", 365 * DAY),
+    return W.neighbour_values(prices, ["suppkey"], ["valid_from"], B.epoch_micros("valid_from"),
                               {"valid_to": ("valid_from", -1)})
 
 
@@ -427,7 +427,7 @@ def _(t):
 def _(t):
     starts = t.events.filter("event_type = 'view'").select("event_id", "user_id", "ts")
     ends = t.events.filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("next_purchase"))
-    return J.next_end(starts, ends, ["user_id"], "ts", "next_purchase", 5 * DAY).select("event_id", "user_id", "next_purchase")
+    return J.next_end(starts, ends, ["user_id"], "ts", "next_purchase").select("event_id", "user_id", "next_purchase")
 
 
 @query("join_same_start", """

@@ -215,7 +215,7 @@ def _(t):
     raw = land(t, {"changes": _log(t).drop("changed")})
     schema = "id bigint, seq bigint, priority string, amount double, operation string"
     base = scratch_path(t.spark, "cdc")
-    return jobs.cdc_sync(t.spark, raw, base, schema, ["id"], "seq", B.number_block("seq", 100_000))["gold"]
+    return jobs.cdc_sync(t.spark, raw, base, schema, ["id"], "seq", F.col("seq"))["gold"]
 
 
 @query("clickstream_sessions", f"""

@@ -201,7 +201,7 @@ def loan_quality(new_loans: DataFrame, old_loans: DataFrame, treatments: DataFra
     return {"clean": clean, "quarantine": bad, "totals": totals, "log": log, "report": Q.event_log_report(log)}
 
 
-def cdc_sync(spark: SparkSession, raw: str, base: str, schema: str, keys: Sequence[str], sequence_by: str, block: Column) -> Frames:
+def cdc_sync(spark: SparkSession, raw: str, base: str, schema: str, keys: Sequence[str], sequence_by: str, along: Column) -> Frames:
     """Change files to a current table, a history table and a change feed merged downstream.
 
     The current table is merged micro-batch by micro-batch; every run after the
@@ -213,7 +213,7 @@ def cdc_sync(spark: SparkSession, raw: str, base: str, schema: str, keys: Sequen
     before = H.live_rows(H.apply_changes_scd1(None, good.limit(0), **args))
     state = H.apply_changes_scd1(None, good, **args)
     current = H.live_rows(state)
-    history = H.apply_changes_scd2(good, block=block, **args)
+    history = H.apply_changes_scd2(good, along=along, **args)
     feed = H.change_feed(before, current, keys, version=1)
     return {"current": current, "history": history, "feed": feed, "gold": H.consume_feed(feed, before, keys)}
 
@@ -307,7 +307,7 @@ def portfolio(prices: DataFrame, news: DataFrame) -> Frames:
     ``prices``: ticker, date, close, split_factor, return; ``news``: article_id, tickers (array).
     """
     clean = P.drop_incomplete(prices, ["ticker", "date", "close"], ["close > 0"])
-    adjusted = W.back_adjust(clean, ["ticker"], ["date"], B.time_block("date", 365 * DAY), "close", "split_factor")
+    adjusted = W.back_adjust(clean, ["ticker"], ["date"], B.epoch_micros("date"), "close", "split_factor")
     mentions = P.explode_list(news, "tickers", "ticker").groupBy("ticker").agg(F.count_distinct("article_id").alias("articles"))
     return {"adjusted": adjusted, "volatility": A.volatility(clean, ["ticker"], "date", "return"), "mentions": mentions}
 

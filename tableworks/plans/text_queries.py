@@ -160,7 +160,7 @@ def _(t):
     SELECT lang, substr(string_agg(text, ' | ' ORDER BY doc_id), 1, 5000) AS joined FROM documents GROUP BY 1""")
 def _(t):
     d = t.documents.select("doc_id", "lang", "text")
-    return X.concat_capped(d, ["lang"], ["doc_id"], B.number_block("doc_id", 1000), "text", 5000, " | ")
+    return X.concat_capped(d, ["lang"], ["doc_id"], F.col("doc_id"), "text", 5000, " | ")
 
 
 @query("qa_dataset", """

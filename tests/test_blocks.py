@@ -20,15 +20,22 @@ def skewed(spark, tables):
 ORDER = ["ts", "event_id"]
 
 
+@pytest.fixture(autouse=True, params=["plain", "cut"])
+def mode(request, monkeypatch):
+    """Every test once with plain windows and once with hot keys cut into blocks."""
+    if request.param == "cut":
+        monkeypatch.setattr(blocks, "TARGET_ROWS", 40)
+
+
 def test_row_number(skewed):
-    got = windows.sequence_number(skewed, ["k"], ORDER, blocks.time_block("ts", DAY))
+    got = windows.sequence_number(skewed, ["k"], ORDER, blocks.epoch_micros("ts"))
     want = skewed.withColumn("seq", F.row_number().over(Window.partitionBy("k").orderBy(*ORDER)))
     assert rows(got) == rows(want)
 
 
 def test_lag_and_lead(skewed):
     w = Window.partitionBy("k").orderBy(*ORDER)
-    block = blocks.time_block("ts", DAY)
+    block = blocks.epoch_micros("ts")
     got = windows.neighbour_values(skewed, ["k"], ORDER, block, {"a": ("value", 1), "b": ("value", -1)})
     want = skewed.withColumns({"a": F.lag("value").over(w), "b": F.lead("value").over(w)})
     assert rows(got) == rows(want)
@@ -40,13 +47,13 @@ def test_lag_and_lead(skewed):
 def test_row_frame_segments(skewed):
     w = Window.partitionBy("k").orderBy(*ORDER).rowsBetween(-7, 7)
     got = blocks.row_frame(
-        skewed, ["k"], [F.col(c) for c in ORDER], blocks.time_block("ts", DAY), 7, 7,
+        skewed, ["k"], [F.col(c) for c in ORDER], blocks.epoch_micros("ts"), 7, 7,
         {"m": lambda w: F.avg("value").over(w.rowsBetween(-7, 7))}, segment_rows=50,
     )
     assert rows(got) == rows(skewed.withColumn("m", F.avg("value").over(w)))
 
 
-@pytest.mark.parametrize("seconds,block", [(7 * DAY, DAY), (DAY, DAY), (6 * 3600, 3600)])
+@pytest.mark.parametrize("seconds,block", [(7 * DAY, DAY), (DAY, DAY), (6 * 3600, 3600), (2 * DAY, None)])
 def test_rolling_range(skewed, seconds, block):
     base = skewed.withColumn("t", blocks.epoch_micros("ts"))
     w = Window.partitionBy("k").orderBy("t").rangeBetween(-seconds * 1_000_000, 0)
@@ -66,7 +73,7 @@ def test_running_last_and_sum(skewed):
     w = Window.partitionBy("k").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     want = df.withColumns({"l": F.last("v", True).over(w), "s": F.sum("v").over(w), "m": F.max("v").over(w)})
     got = blocks.running(
-        df, ["k"], [F.col(c) for c in ORDER], blocks.time_block("ts", DAY),
+        df, ["k"], [F.col(c) for c in ORDER], blocks.epoch_micros("ts"),
         {"l": ("last", F.col("v")), "s": ("sum", F.col("v")), "m": ("max", F.col("v"))},
         include_current=False,
     )
@@ -76,7 +83,7 @@ def test_running_last_and_sum(skewed):
 def test_merge_intervals_brute_force(skewed):
     base = skewed.select("k", F.col("ts").alias("start"),
                          (F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 9).cast("int"))).alias("stop"))
-    got = windows.merge_intervals(base, ["k"], "start", "stop", gap_seconds=1800, block_seconds=DAY)
+    got = windows.merge_intervals(base, ["k"], "start", "stop", gap_seconds=1800)
     want = []
     groups = {}
     for r in base.collect():
@@ -95,11 +102,26 @@ def test_merge_intervals_brute_force(skewed):
     assert rows(got) == sorted(want, key=repr)
 
 
+def test_hot_keys_are_cut(skewed):
+    cut, split = blocks.cut_blocks(skewed, ["k"], blocks.epoch_micros("ts"))
+    most = cut.groupBy("_key", "_block").count().agg(F.max("count")).first()[0]
+    if split:
+        assert cut.select("_block").distinct().count() > 10 and most < 100
+    else:
+        assert cut.select("_block").distinct().count() == 1
+
+
+def test_hot_key_list_stays_short(skewed, monkeypatch):
+    monkeypatch.setattr(blocks, "MAX_HOT_KEYS", 2)
+    cut = skewed.withColumn("_key", blocks.key_struct(["k"])).withColumn("_along", F.col("value"))
+    assert len(blocks.hot_keys(cut, target_rows=5)) <= 2
+
+
 def test_back_adjust(skewed):
     df = skewed.withColumn("f", F.when(F.col("event_id") % 40 == 0, 2.0).otherwise(1.0))
     w = Window.partitionBy("k").orderBy(F.desc("ts"), F.desc("event_id")).rowsBetween(Window.unboundedPreceding, -1)
     want = df.withColumn("adjusted", F.col("value") * F.exp(F.coalesce(F.sum(F.log("f")).over(w), F.lit(0.0))))
-    got = windows.back_adjust(df, ["k"], ORDER, blocks.time_block("ts", DAY), "value", "f")
+    got = windows.back_adjust(df, ["k"], ORDER, blocks.epoch_micros("ts"), "value", "f")
     a, b = rows(got), rows(want)
     assert len(a) == len(b)
     for x, y in zip(a, b):

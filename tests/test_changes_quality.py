@@ -27,6 +27,12 @@ def log():
     return out
 
 
+@pytest.fixture(params=["plain", "cut"])
+def mode(request, monkeypatch):
+    if request.param == "cut":
+        monkeypatch.setattr(blocks, "TARGET_ROWS", 10)
+
+
 ARGS = dict(keys=["k"], sequence_by="seq", delete_when="op = 'DELETE'", except_columns=["op"])
 
 
@@ -76,20 +82,20 @@ def _history(log):
     return out
 
 
-def test_scd2_brute_force_and_late_rows(spark, log):
-    block = blocks.number_block("seq", 50)
+def test_scd2_brute_force_and_late_rows(spark, log, mode):
+    block = F.col("seq")
     df = spark.createDataFrame(log, LOG)
-    got = changes.apply_changes_scd2(df, block=block, **ARGS)
+    got = changes.apply_changes_scd2(df, along=block, **ARGS)
     want = sorted(_history(log), key=repr)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == want
     old, late = df.filter("seq % 3 > 0"), df.filter("seq % 3 = 0")
-    before = changes.apply_changes_scd2(old, block=block, **ARGS)
+    before = changes.apply_changes_scd2(old, along=block, **ARGS)
     after = changes.update_scd2(before, df, late, ["k"], "seq", block, delete_when="op = 'DELETE'", except_columns=["op"])
     assert sorted((tuple(r) for r in after.collect()), key=repr) == want
 
 
 def test_as_of_has_one_row_per_key(spark, log):
-    hist = changes.apply_changes_scd2(spark.createDataFrame(log, LOG), block=blocks.number_block("seq", 50), **ARGS)
+    hist = changes.apply_changes_scd2(spark.createDataFrame(log, LOG), along=F.col("seq"), **ARGS)
     for when in (0, 100, 250, 399):
         keys = [r.k for r in changes.as_of(hist, F.lit(when)).collect()]
         assert len(keys) == len(set(keys))
@@ -216,7 +222,9 @@ def test_range_join_open_and_long_intervals(spark):
         spans.b.isNull() | (facts["at"] < spans.b))).groupBy("name").count())
 
 
-def test_asof_null_features_and_forward(spark):
+@pytest.mark.parametrize("target", [5_000_000, 1])
+def test_asof_null_features_and_forward(spark, monkeypatch, target):
+    monkeypatch.setattr(blocks, "TARGET_ROWS", target)
     labels = spark.sql("SELECT 1 AS k, TIMESTAMP'2020-01-03' AS t UNION ALL SELECT NULL, TIMESTAMP'2020-01-03'")
     feats = spark.sql("SELECT 1 AS k, TIMESTAMP'2020-01-01' AS ft, CAST(5 AS INT) AS v UNION ALL SELECT 1, TIMESTAMP'2020-01-02', NULL UNION ALL SELECT 1, TIMESTAMP'2020-01-09', 7")
     back = joins.join_asof(labels, feats, ["k"], "t", "ft", ["v"]).filter("k = 1").first()

@@ -56,7 +56,7 @@ def test_embed_with_batches(spark):
 
 def test_concat_capped_is_bounded(spark):
     df = spark.range(1000).select(F.lit("g").alias("k"), "id", F.lit("abcd").alias("t"))
-    got = text.concat_capped(df, ["k"], ["id"], blocks.number_block("id", 100), "t", 12, "-").first().joined
+    got = text.concat_capped(df, ["k"], ["id"], F.col("id"), "t", 12, "-").first().joined
     assert got == "abcd-abcd-ab"
 
 
