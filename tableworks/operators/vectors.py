@@ -15,9 +15,13 @@ from pyspark.sql import types as T
 from .windows import top_k_per_group
 
 
+# queries multiplied at once inside a task
+QUERY_ROWS = 512
+
+
 def vector_top_k(
     queries: DataFrame, base: DataFrame, query_id: str, base_id: str, vector: str, k: int, metric: str = "cosine",
-    max_query_mb: int = 64,
+    max_query_mb: int = 4,
 ) -> DataFrame:
     """Exact k nearest ``base`` rows per query row (cosine, dot, or l2 similarity).
 
@@ -59,22 +63,14 @@ def _scan(queries: DataFrame, base: DataFrame, query_id: str, base_id: str, vect
                 continue
             x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
             if metric == "cosine":
-                scores = q @ _unit(x).T
-            elif metric == "dot":
-                scores = q @ x.T
-            else:
-                d2 = (q**2).sum(1)[:, None] - 2 * (q @ x.T) + (x**2).sum(1)[None, :]
-                scores = -np.sqrt(np.maximum(d2, 0.0))
+                x = _unit(x)
             keys = pdf["b"].to_numpy()
-            merged = []
-            for i in range(len(names)):
-                s, b = scores[i], keys
-                if best is not None:
-                    s, b = np.concatenate([best[i][0], s]), np.concatenate([best[i][1], b])
-                # ties go to the smaller id, as in the final ranking
-                top = np.lexsort((b, -s))[:k]
-                merged.append((s[top], b[top]))
-            best = merged
+            if best is None:
+                best = [(np.empty(0), keys[:0])] * len(names)
+            for start in range(0, len(names), QUERY_ROWS):
+                scores = _scores(q[start:start + QUERY_ROWS], x, metric)
+                for i, row in enumerate(scores, start):
+                    best[i] = _merge_top(best[i], row, keys, k)
         if best is not None:
             for name, (s, b) in zip(names, best):
                 yield pd.DataFrame({query_id: [name] * len(s), base_id: b, "score": s})
@@ -83,6 +79,25 @@ def _scan(queries: DataFrame, base: DataFrame, query_id: str, base_id: str, vect
     return picked.mapInPandas(scan, schema)
 
 
+def _scores(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
+    if metric != "l2":
+        return q @ x.T
+    d2 = (q**2).sum(1)[:, None] - 2 * (q @ x.T) + (x**2).sum(1)[None, :]
+    return -np.sqrt(np.maximum(d2, 0.0))
+
+
+def _merge_top(best: tuple[np.ndarray, np.ndarray], scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of those kept and a new batch; ties go to the smaller id, as in the final ranking."""
+    worst = best[0][-1] if len(best[0]) == k else -np.inf
+    if len(scores) > k:
+        worst = max(worst, np.partition(scores, len(scores) - k)[len(scores) - k])
+    fresh = np.flatnonzero(scores >= worst)
+    s = np.concatenate([best[0], scores[fresh]])
+    b = np.concatenate([best[1], keys[fresh]])
+    top = np.lexsort((b, -s))[:k]
+    return s[top], b[top]
+
+
 def _unit(m: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, length, out=np.zeros_like(m), where=length > 0)

@@ -202,11 +202,8 @@ def loan_quality(new_loans: DataFrame, old_loans: DataFrame, treatments: DataFra
 
 
 def cdc_sync(spark: SparkSession, raw: str, base: str, schema: str, keys: Sequence[str], sequence_by: str, along: Column) -> Frames:
-    """Change files to a current table, a history table and a change feed merged downstream.
-
-    The current table is merged micro-batch by micro-batch; every run after the
-    first also diffs it against its last state.
-    """
+    """Change files, loaded incrementally, to a current table, a history table
+    and the change feed from an empty table, merged downstream."""
     bronze = load_bronze(spark, raw, base, {"changes": schema})["changes"]
     good = Q.expect(bronze, [Rule("has_key", f"{keys[0]} IS NOT NULL", "drop"), Rule("known_operation", "operation IN ('APPEND', 'UPDATE', 'DELETE')", "drop")])
     args = dict(keys=list(keys), sequence_by=sequence_by, delete_when="operation = 'DELETE'", except_columns=["operation"])

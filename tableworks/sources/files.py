@@ -214,6 +214,13 @@ def ingest_evolving(spark: SparkSession, path: str, store: str, checkpoint: str,
     lines = spark.readStream.options(**options).text(path)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # looked through for new fields, then parsed
+        try:
+            check_and_write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def check_and_write(batch: DataFrame, batch_id: int) -> None:
         if mode in ("addNewColumns", "failOnNewColumns"):
             wider, grew = evolve_schema(schema, json_schema(batch, "value", schema), mode)
             if grew:

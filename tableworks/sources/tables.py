@@ -97,15 +97,31 @@ def merge_batch(
     """
     spark = batch.sparkSession
     bucket = bucket_of(keys, buckets)
-    touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
-    if not touched:
-        return
-    current = read_keyed(spark, path, before=batch_id, buckets=touched)
-    merged = merge(current, batch).withColumn("bucket", bucket)
-    (
-        merged.repartition(min(buckets, len(touched)), "bucket")
-        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
-    )
+    batch = batch.persist()  # read twice, and a streaming plan should run once
+    try:
+        touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return
+        current = read_keyed(spark, path, before=batch_id, buckets=touched)
+        merged = merge(current, batch).withColumn("bucket", bucket)
+        (
+            merged.repartition(min(buckets, len(touched)), "bucket")
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
+        )
+    finally:
+        batch.unpersist()
+
+
+def compact_keyed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 32) -> None:
+    """Rewrite a keyed table as one full write, so that readers list few folders.
+
+    Run it between streams. It takes the number of the newest write, whose
+    buckets it repeats, so the next batch goes on as before.
+    """
+    numbers = [int(n.partition("=")[2]) for n in _children(spark, path) if n.startswith(("version=", "full="))]
+    current = read_keyed(spark, path)
+    if current is not None:
+        replace_keyed(current, max(numbers), path, keys, buckets)
 
 
 def copy_tables(spark: SparkSession, source: str, target: str, incremental_by: dict[str, str] | None = None) -> list[str]:

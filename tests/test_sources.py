@@ -150,6 +150,17 @@ def test_keyed_table_replace(spark, tmp_path):
     assert sorted(r.id for r in tables.read_keyed(spark, path).collect()) == [0, 1]
 
 
+def test_keyed_table_compacts(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    for i in range(3):
+        tables.merge_batch(spark.range(i * 5, i * 5 + 10).select("id", F.lit(i).alias("v")), i, path, ["id"], _merge, 4)
+    want = rows(tables.read_keyed(spark, path), "id", "v")
+    tables.compact_keyed(spark, path, ["id"], 4)
+    assert rows(tables.read_keyed(spark, path), "id", "v") == want
+    tables.merge_batch(spark.range(1).select("id", F.lit(9).alias("v")), 3, path, ["id"], _merge, 4)
+    assert tables.read_keyed(spark, path).filter("v = 9").count() == 1
+
+
 def test_write_table_guards_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(3), path, "overwrite")
