@@ -185,25 +185,24 @@ def loss_ratio(
     """Claims / earned premium in ``[start, stop]`` and in the equally long period before.
 
     Earned premium is the monthly premium times the months a policy was active
-    inside the period. Periods are two literal rows, so both are one pass.
+    inside the period. Both periods are sums of the same pass.
     """
-    def window(label: str, lo: Column, hi: Column, df_in: DataFrame, active: bool) -> Column:
-        if active:
-            months = F.months_between(F.least(F.col(ends), hi), F.greatest(F.col(begins), lo))
-            return F.sum(F.when((F.col(begins) <= hi) & (F.col(ends) >= lo), F.col(premium) * months)).alias(f"{label}_premium")
-        return F.sum(F.when((F.col(claim_date) >= lo) & (F.col(claim_date) <= hi), F.col(amount))).alias(f"{label}_claims")
+    def earned_in(label: str, lo: Column, hi: Column) -> Column:
+        months = F.months_between(F.least(F.col(ends), hi), F.greatest(F.col(begins), lo))
+        active = (F.col(begins) <= hi) & (F.col(ends) >= lo)
+        return F.sum(F.when(active, F.col(premium) * months)).alias(f"{label}_premium")
+
+    def paid_in(label: str, lo: Column, hi: Column) -> Column:
+        inside = (F.col(claim_date) >= lo) & (F.col(claim_date) <= hi)
+        return F.sum(F.when(inside, F.col(amount))).alias(f"{label}_claims")
 
     lo, hi = F.lit(start).cast("date"), F.lit(stop).cast("date")
     length = F.datediff(hi, lo)
     before_hi = F.date_sub(lo, 1)
     before_lo = F.date_sub(before_hi, length)
     group = list(keys)
-    earned = policies.groupBy(*group).agg(
-        window("current", lo, hi, policies, True), window("prior", before_lo, before_hi, policies, True)
-    )
-    paid = claims.groupBy(*group).agg(
-        window("current", lo, hi, claims, False), window("prior", before_lo, before_hi, claims, False)
-    )
+    earned = policies.groupBy(*group).agg(earned_in("current", lo, hi), earned_in("prior", before_lo, before_hi))
+    paid = claims.groupBy(*group).agg(paid_in("current", lo, hi), paid_in("prior", before_lo, before_hi))
     if group:
         joined = earned.join(paid, group, "left")
     else:

@@ -64,7 +64,7 @@ def forecast_groups(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: s
     kinds = {f.name: f.dataType.simpleString() for f in series.schema}
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [f"`{ds}` date", f"`{y}` double", "yhat double", "yhat_lower double", "yhat_upper double"])
 
-    def model(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def model(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=[y]).sort_values(ds)
         values = pdf[y].to_numpy(dtype=float)
         stamps = pd.to_datetime(pdf[ds])

@@ -7,7 +7,6 @@ the whole table through the path it is about.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import changes as H
 from ..sources import files as S

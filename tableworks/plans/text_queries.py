@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks as B
 from ..operators import text as X
 from ..operators import vectors as V
 from .catalog import query

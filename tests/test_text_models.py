@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tableworks.functions import register
-from tableworks.operators import blocks, features, forecast, text, vectors
+from tableworks.operators import features, forecast, text, vectors
 
 
 # ---- text -----------------------------------------------------------------
