@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,22 @@ RUNTIME_CONF = {
 _fallback: str | None = None
 
 
+@contextmanager
+def stream_width(spark: SparkSession, partitions: int | None = None):
+    """Shuffle width for a stream that starts inside this block.
+
+    A stateful stream keeps the width of its first run, and it cannot be adapted
+    at run time, so it is sized to the cores of the cluster unless given.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_session(app: str = "tableworks", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``_`` for ``.``."""
     builder = SparkSession.builder.appName(app)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.changes import merge_upsert
+from ..session import stream_width
 from ..sources.tables import merge_batch
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -35,8 +36,10 @@ def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", m
 
 
 def run_to_files(stream: DataFrame, out: str, checkpoint: str) -> None:
-    stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start(out).awaitTermination()
+    with stream_width(stream.sparkSession):
+        query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start(out)
+    query.awaitTermination()
 
 
 def dedup_stream(df: DataFrame, ids: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
@@ -63,8 +66,10 @@ def keep_latest_result(stream: DataFrame, out: str, checkpoint: str) -> None:
     def swap(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
-    stream.writeStream.outputMode("complete").foreachBatch(swap).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start().awaitTermination()
+    with stream_width(stream.sparkSession):
+        query = stream.writeStream.outputMode("complete").foreachBatch(swap).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()
+    query.awaitTermination()
 
 
 def sessionize_window(df: DataFrame, key: str, ts: str, gap_seconds: int, delay: str = "10 minutes") -> DataFrame:
@@ -200,8 +205,10 @@ def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint:
     def apply(batch: DataFrame, batch_id: int) -> None:
         merge_batch(batch, batch_id, path, keys, newest if order else replace, buckets)
 
-    stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start().awaitTermination()
+    with stream_width(stream.sparkSession):
+        query = stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()
+    query.awaitTermination()
 
 
 def stream_rollup(df: DataFrame, ts: str, keys: Sequence[str], aggs: Mapping[str, Column], path: str, checkpoint: str,
