@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import mixing
+from . import decontaminate, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,26 @@ FROM gaps g LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source AND g.
 """)
 def _mix(t: Tables) -> DataFrame:
     return mixing.mix_sources(t.documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op10_decontaminate", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM wins),
+found AS (
+  SELECT doc_id, i, n, item_id
+  FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)) JOIN wins USING (n, win)),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def _decontaminate(t: Tables) -> DataFrame:
+    found = decontaminate.find_contamination(t.documents, t.benchmark)
+    digest = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
