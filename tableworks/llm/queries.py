@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, mixing
+from . import decontaminate, embeddings, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,22 @@ def _decontaminate(t: Tables) -> DataFrame:
     found = decontaminate.find_contamination(t.documents, t.benchmark)
     digest = F.sha2(F.array_join("item_ids", ","), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+@query("op2_near_embeddings", r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT a AS node, b AS other FROM pairs UNION SELECT r.node, p.b FROM reach r JOIN pairs p ON r.other = p.a),
+comp AS (SELECT node, min(other) AS low FROM reach GROUP BY node),
+deg AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(c.low, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(c.low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN deg d ON e.vec_id = d.a LEFT JOIN comp c ON e.vec_id = c.node
+""")
+def _near_embeddings(t: Tables) -> DataFrame:
+    return embeddings.near_embeddings(t.embeddings)
