@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, mixing
+from . import decontaminate, embeddings, minhash, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,22 @@ FROM embeddings e LEFT JOIN deg d ON e.vec_id = d.a LEFT JOIN comp c ON e.vec_id
 """)
 def _near_embeddings(t: Tables) -> DataFrame:
     return embeddings.near_embeddings(t.embeddings)
+
+
+@query("op7_minhash_near_dedup", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM both_ JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a AS node, b AS other FROM pairs UNION SELECT r.node, p.b FROM reach r JOIN pairs p ON r.other = p.a),
+comp AS (SELECT node, min(other) AS low FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN comp ON d.doc_id = comp.node
+""")
+def _near_duplicates(t: Tables) -> DataFrame:
+    return minhash.near_duplicates(t.documents, shingle=3, similarity=0.85)
