@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at once inside a task; a longer text is worked on alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -75,19 +75,40 @@ def words(texts: pa.Array, lower: bool = True, separators: np.ndarray = SPACES)
     return Words(mix(hashes + sizes.astype(np.uint64)), np.searchsorted(starts, bounds), starts, ends, data)
 
 
-def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of ``k`` words; fewer words are one run; none have none. Not yet distinct."""
+def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes)
-    if n == 0:
-        return hashes
-    width = min(k, n)
     out = np.full(n - width + 1, np.uint64(width), dtype=np.uint64)
     for i in range(width):
-        out = (out ^ hashes[i:n - width + 1 + i]) * (_STEP + np.uint64(2 * i))
+        out ^= hashes[i:n - width + 1 + i]
+        out *= _STEP + np.uint64(2 * i)
         out ^= out >> np.uint64(29)
     return mix(out)
 
 
+def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of every text, sorted within a text, and their bounds by text.
+
+    A shingle is a run of ``k`` words; fewer words are one run; none have none.
+    """
+    counts = np.diff(w.first)
+    sizes = np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    flat = np.empty(bounds[-1], dtype=np.uint64)
+    if len(w.hashes) >= k:
+        every = _windows(w.hashes, k)
+        long = counts >= k
+        inner = np.repeat(w.first[:-1][long], sizes[long]) + np.arange(int(sizes[long].sum())) - np.repeat(np.cumsum(sizes[long]) - sizes[long], sizes[long])
+        flat[np.repeat(long, sizes)] = every[inner]
+    for d in np.flatnonzero((counts > 0) & (counts < k)):
+        flat[bounds[d]] = _windows(w.hashes[w.first[d]:w.first[d + 1]], int(counts[d]))[0]
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        flat[a:b].sort()
+    fresh = np.ones(len(flat), dtype=bool)
+    fresh[1:] = flat[1:] != flat[:-1]
+    fresh[bounds[:-1][sizes > 0]] = True
+    return flat[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each slice holds about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:

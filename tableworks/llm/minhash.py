@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import mix, runs, shingles, slices, words
+from .kernel import mix, runs, shingle_sets, slices, words
 from .links import local_roots, tile_pairs
 from .scratch import Scratch, finish
 from .spread import components
@@ -29,6 +29,8 @@ def collections_for(similarity: float, rows: int, miss: float) -> int:
     of the second collection agree, so it is missed if all of one side differ:
     at most 2 (1 - s^rows)^m.
     """
+    if similarity >= 1:
+        return 1
     return max(1, math.ceil(math.log(miss / 2) / math.log(1 - similarity**rows)))
 
 
@@ -37,12 +39,15 @@ def _seeds(count: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 2**63, count, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, count, dtype=np.uint64)
 
 
-def signature(sets: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
-    """The minimum of each hash over one set."""
-    out = np.empty(len(mul), dtype=np.uint64)
+def minhashes(flat: np.ndarray, starts: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The minimum of each hash over each set; one row per hash, sets are not empty."""
+    out = np.empty((len(mul), len(starts)), dtype=np.uint64)
+    h = np.empty_like(flat)
     for i in range(len(mul)):
-        h = sets * mul[i] + add[i]
-        out[i] = (h ^ (h >> np.uint64(32))).min()
+        np.multiply(flat, mul[i], out=h)
+        h += add[i]
+        h ^= h >> np.uint64(32)
+        out[i] = np.minimum.reduceat(h, starts)
     return out
 
 
@@ -80,21 +85,21 @@ def near_duplicates(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            w = words(part.column("text"))
-            n = np.zeros(part.num_rows, np.int64)
+            flat, bounds = shingle_sets(words(part.column("text")), shingle)
+            n = np.diff(bounds)
+            some = np.flatnonzero(n)
             digest: list[bytes | None] = [None] * part.num_rows
             values: list[np.ndarray | None] = [None] * part.num_rows
-            for d in range(part.num_rows):
-                s = np.unique(shingles(w.hashes[w.first[d]:w.first[d + 1]], shingle))
-                if not len(s):
-                    continue
-                n[d] = len(s)
-                digest[d] = mix(s).sum().tobytes() + mix(s + np.uint64(1)).sum().tobytes()
-                h = signature(s, mul, add).reshape(2 * m, rows)
+            if len(some):
+                starts = bounds[:-1][some]
+                one, two = np.add.reduceat(mix(flat), starts), np.add.reduceat(mix(flat + np.uint64(1)), starts)
+                h = minhashes(flat, starts, mul, add).reshape(2 * m, rows, len(some))
                 v = h[:, 0]
                 for r in range(1, rows):
                     v = mix(v + h[:, r])
-                values[d] = v.view(np.int64)
+                v = np.ascontiguousarray(v.T).view(np.int64)
+                for at, d in enumerate(some):
+                    digest[d], values[d] = one[at].tobytes() + two[at].tobytes(), v[at]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
                 ["doc_id", "n", "digest", "values"])
@@ -128,9 +133,9 @@ def near_duplicates(
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            w = words(part.column("text"))
+            flat, bounds = shingle_sets(words(part.column("text")), shingle)
             for d, (cid, places) in enumerate(zip(part.column("cid").to_pylist(), part.column("seats").to_pylist())):
-                s = np.unique(shingles(w.hashes[w.first[d]:w.first[d + 1]], shingle)).view(np.int64)
+                s = flat[bounds[d]:bounds[d + 1]].view(np.int64)
                 for at in range(0, len(places), 64):
                     some = places[at:at + 64]
                     held = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * len(s), np.tile(s, len(some)))
