@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, minhash, mixing
+from . import decontaminate, embeddings, minhash, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,8 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN comp ON d.doc_id = comp.node
 """)
 def _near_duplicates(t: Tables) -> DataFrame:
     return minhash.near_duplicates(t.documents, shingle=3, similarity=0.85)
+
+
+@query("op6_quality_resample")
+def _quality(t: Tables) -> DataFrame:
+    return quality.importance_resample(t.documents, t.labels)
