@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, minhash, mixing, quality
+from . import decontaminate, embeddings, minhash, mixing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,8 @@ def _near_duplicates(t: Tables) -> DataFrame:
 @query("op6_quality_resample")
 def _quality(t: Tables) -> DataFrame:
     return quality.importance_resample(t.documents, t.labels)
+
+
+@query("op3_toxicity_cnn")
+def _toxicity(t: Tables) -> DataFrame:
+    return toxicity.score_toxicity(t.documents, t.labels)
