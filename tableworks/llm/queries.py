@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, minhash, mixing, quality, toxicity
+from . import decontaminate, embeddings, minhash, mixing, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,8 @@ def _quality(t: Tables) -> DataFrame:
 @query("op3_toxicity_cnn")
 def _toxicity(t: Tables) -> DataFrame:
     return toxicity.score_toxicity(t.documents, t.labels)
+
+
+@query("op9_balanced_shards")
+def _shards(t: Tables) -> DataFrame:
+    return sharding.shard_documents(t.documents)
