@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, minhash, mixing, quality, sharding, toxicity
+from . import decontaminate, embeddings, minhash, mixing, planes, quality, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +157,15 @@ def _toxicity(t: Tables) -> DataFrame:
 @query("op9_balanced_shards")
 def _shards(t: Tables) -> DataFrame:
     return sharding.shard_documents(t.documents)
+
+
+@query("op4_warc_normalise")
+def _warc(t: Tables) -> DataFrame:
+    return warc.archive_pages(t.pages).drop("archive")
+
+
+@query("op5_token_planes")
+def _planes(t: Tables) -> DataFrame:
+    import public_tokenizers
+
+    return planes.write_token_planes(t.documents, public_tokenizers.path("word_bpe_49k.json")).drop("file")
