@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,37 +12,46 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .files import reading, writing
-from .kernel import slices
+from .kernel import slices, text_bytes
 from .scratch import Scratch, finish
 
 BLOCK = 1 << 16
 MAGIC = b"IDPLANE1"
 # Words remembered by a Python worker; the memory is emptied when full.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
-    """The ids' bytes (4 planes) or bits (32 planes), each plane of all ids together, low to high."""
+    """The ids' bytes (4 planes) or bits (32 planes), each plane of all ids together, low to high; empty where all zero."""
     raw = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
-    if kind == "byte":
-        return [np.ascontiguousarray(raw[:, i]).tobytes() for i in range(4)]
-    bits = np.unpackbits(raw, axis=1, bitorder="little")
-    return [np.packbits(bits[:, i], bitorder="little").tobytes() for i in range(32)]
+    planes = []
+    for i in range(4):
+        column = np.ascontiguousarray(raw[:, i])
+        if kind == "byte":
+            planes.append(column.tobytes() if column.any() else b"")
+        elif not column.any():
+            planes += [b""] * 8
+        else:
+            bits = (np.packbits(column & np.uint8(1 << k), bitorder="little") for k in range(8))
+            planes += [b.tobytes() if b.any() else b"" for b in bits]
+    return planes
 
 
 def from_planes(planes: list[bytes], kind: str, count: int) -> np.ndarray:
-    if kind == "byte":
-        raw = np.stack([np.frombuffer(p, np.uint8) for p in planes], axis=1)
-    else:
-        bits = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=count, bitorder="little") for p in planes], axis=1)
-        raw = np.packbits(bits, axis=1, bitorder="little")
-    return np.ascontiguousarray(raw).view("<u4").ravel()
+    raw = np.zeros((4, count), np.uint8)
+    for i, plane in enumerate(planes):
+        if not plane:
+            continue
+        if kind == "byte":
+            raw[i] = np.frombuffer(plane, np.uint8)
+        else:
+            raw[i // 8] |= np.unpackbits(np.frombuffer(plane, np.uint8), count=count, bitorder="little") << np.uint8(i % 8)
+    return np.ascontiguousarray(raw.T).view("<u4").ravel()
 
 
 class PlaneWriter:
@@ -79,7 +89,7 @@ class PlaneWriter:
         lengths = []
         start = self.at
         for plane in to_planes(ids, self.kind):
-            packed = self.engine.compress(plane) if plane.strip(b"\0") else b""
+            packed = self.engine.compress(plane) if plane else b""
             self.out.write(packed)
             self.at += len(packed)
             lengths.append(len(packed))
@@ -122,7 +132,7 @@ class PlaneReader:
         width = count if self.kind == "byte" else -(-count // 8)
         planes, at = [], 0
         for n in lengths:
-            planes.append(self.engine.decompress(data[at:at + n], max_output_size=width) if n else bytes(width))
+            planes.append(self.engine.decompress(data[at:at + n], max_output_size=width) if n else b"")
             at += n
         return from_planes(planes, self.kind, count)
 
@@ -143,8 +153,37 @@ class PlaneReader:
 
 
 # Words of these letters only are one piece for the tokenizer, and lowering maps each letter to one letter.
-_PLAIN = regex.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_SPACE = r"[\t\n\v\f\r ]+"
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Bytes: white space becomes a space, A-Z become a-z.
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[[9, 10, 11, 12, 13]] = 32
+_FOLD[65:91] += 32
+_MARK, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_MARK[33:127] = True
+_MARK[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+_LETTER[97:123] = True
+
+
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Texts with A-Z lowered, white space as single bytes, and a space before marks that follow a letter.
+
+    The tokenizer does the same by itself: it lowers, and a run of marks begins
+    a new piece after a letter. Only ASCII and the two-byte letters of Latin-1 are looked at.
+    """
+    data, bounds = text_bytes(texts)
+    if not len(data):
+        return texts
+    data = _FOLD[data]
+    latin = np.zeros(len(data), dtype=bool)
+    latin[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    gap = np.zeros(len(data), dtype=bool)
+    gap[1:] = _MARK[data[1:]] & (_LETTER[data[:-1]] | latin[:-1])
+    moved = np.cumsum(gap)
+    out = np.full(len(data) + int(moved[-1]), 32, np.uint8)
+    out[np.arange(len(data)) + moved] = data
+    # a gap at a text's first byte belongs to the text before it: a trailing space does no harm
+    bounds = bounds + np.concatenate([[0], moved])[bounds]
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(out))
 
 
 class Encoder:
@@ -153,7 +192,8 @@ class Encoder:
     For a tokenizer that never joins characters across white space (its
     normaliser folds white space and its splitter drops it), a text's ids are
     the ids of its space-separated words in turn. Plain words go to the
-    library's model directly; any other goes through the whole library.
+    library's model directly; any other goes through the whole library, and so
+    do texts that hold ``<|``. The memory of words is bounded.
     """
 
     def __init__(self, path: str):
@@ -166,38 +206,46 @@ class Encoder:
         letters = [chr(c) for c in (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)) if chr(c).isalpha()]
         pieces = {c: "".join(p for p, _ in splitter.pre_tokenize_str(c)) for c in letters}
         self.spelled = str.maketrans(pieces)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words known by number; word k's ids are ``flat[begin[k]:begin[k + 1]]``."""
+        self.known: dict[str, int] = {}
+        self.begin, self.flat = np.zeros(1, np.int64), np.empty(0, np.uint32)
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> list[int]:
         if _PLAIN.fullmatch(word):
-            return np.array([t.id for t in self.model.tokenize(word.lower().translate(self.spelled))], np.uint32)
-        end = word[:-1]
-        if end and word[-1] in ".,;:!?" and _PLAIN.fullmatch(end):
-            return np.concatenate([self.of(end), self.of(word[-1])])
-        return np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint32)
-
-    def of(self, word: str) -> np.ndarray:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
-            found = self.known[word] = self.word(word)
-        return found
+            return [t.id for t in self.model.tokenize(word if word.isascii() else word.lower().translate(self.spelled))]
+        return self.whole.encode(word, add_special_tokens=False).ids if word else []
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the number of ids per text."""
-        split = pc.split_pattern_regex(texts.fill_null("").cast(pa.large_string()), _SPACE)
+        texts = texts.fill_null("").cast(pa.large_string())
+        if pc.any(pc.match_substring(texts, "<|")).as_py():  # may be special tokens, which are not folded
+            parts = [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
+            return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        split = pc.split_pattern(_spaced(texts), " ")
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = pc.dictionary_encode(split.flatten())
         vocabulary, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        parts = [self.of(w) if w else np.empty(0, np.uint32) for w in vocabulary]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-        begin = np.cumsum(sizes) - sizes
-        n = sizes[code]
+        if len(self.known) + len(vocabulary) > KNOWN_WORDS:
+            self._forget()
+        number, fresh = [], []
+        for w in vocabulary:
+            at = self.known.get(w)
+            if at is None:
+                at = self.known[w] = len(self.begin) - 1 + len(fresh)
+                fresh.append(self.word(w))
+            number.append(at)
+        if fresh:
+            ends = self.begin[-1] + np.cumsum(np.fromiter(map(len, fresh), np.int64, len(fresh)))
+            self.begin = np.concatenate([self.begin, ends])
+            self.flat = np.concatenate([self.flat, np.fromiter((i for f in fresh for i in f), np.uint32)])
+        at = np.array(number, np.int64)[code] if number else np.empty(0, np.int64)
+        n = self.begin[at + 1] - self.begin[at]
         upto = np.concatenate([[0], np.cumsum(n)])
-        place = np.arange(upto[-1]) + np.repeat(begin[code] - upto[:-1], n)
-        return flat[place], np.diff(upto[bounds])
+        place = np.arange(upto[-1]) + np.repeat(self.begin[at] - upto[:-1], n)
+        return self.flat[place], np.diff(upto[bounds])
 
 
 @lru_cache(maxsize=1)
