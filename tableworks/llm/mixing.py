@@ -104,8 +104,6 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     mix = mix_sources(docs, doc_id=doc_id, text=text, source=source, **settings)
     taken = mix.filter("copies > 0").select("doc_id", "source", "size", "copies").distinct()
-    left = docs.withColumn("_size", word_count(F.col(text)))
-    same = left[doc_id].eqNullSafe(taken["doc_id"]) & left[source].eqNullSafe(taken["source"]) & (left["_size"] == taken["size"])
-    joined = left.join(taken.select("doc_id", "source", "size", F.col("copies").alias("_copies")), same)
-    columns = [left[c] for c in docs.columns]
-    return joined.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+    taken = taken.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    same = docs[doc_id].eqNullSafe(taken["doc_id"]) & docs[source].eqNullSafe(taken["source"]) & (word_count(docs[text]) == taken["size"])
+    return docs.join(taken, same).select(*[docs[c] for c in docs.columns])

@@ -135,4 +135,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", *
     """``docs`` without those that are not drawn, columns unchanged. Rows that repeat an id go only together."""
     drawn = importance_resample(docs, labels, doc_id=doc_id, **settings)
     kept = drawn.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    return docs.join(kept, docs[doc_id].eqNullSafe(F.col("gone")), "left_anti")
+    return docs.join(kept, docs[doc_id].eqNullSafe(kept["gone"]), "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, minhash, mixing, planes, quality, sharding, toxicity, warc
+from . import decontaminate, embeddings, minhash, mixing, pii, planes, quality, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,10 @@ def _planes(t: Tables) -> DataFrame:
     import public_tokenizers
 
     return planes.write_token_planes(t.documents, public_tokenizers.path("word_bpe_49k.json")).drop("file")
+
+
+@query("op8_pii_semi_markov")
+def _pii(t: Tables) -> DataFrame:
+    found = pii.find_pii(t.documents)
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
