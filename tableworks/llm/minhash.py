@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kernel import mix, runs, shingle_sets, slices, words
@@ -51,6 +52,20 @@ def minhashes(flat: np.ndarray, starts: np.ndarray, mul: np.ndarray, add: np.nda
     return out
 
 
+@contextmanager
+def _bloom(spark: SparkSession):
+    """Spark's own runtime filter for joins at any size; the filter itself is bounded (8 MB by default)."""
+    names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in (("applicationSideScanSizeThreshold", "0"), ("creationSideThreshold", "1g"))}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, rows: int = 2, miss: float = 2e-5,
     doc_id: str = "doc_id", text: str = "text",
@@ -129,7 +144,8 @@ def near_duplicates(
     seated = seated.withColumn("own", own).withColumn("pair", F.explode(F.when(hub_row, every).otherwise(tile_pairs(F.col("own"), F.col("tiles")))))
     asked = seated.groupBy("cid").agg(F.collect_list(F.struct("hub", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own")).alias("seats"))
     asked = scratch.write(asked, "asked")
-    sent = base.join(asked, F.col("doc_id") == F.col("cid")).select("cid", "text", "seats")
+    # every class has a seat; Spark makes the filter only from a side with a condition
+    sent = base.join(asked.filter("size(seats) > 0"), F.col("doc_id") == F.col("cid")).select("cid", "text", "seats")
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -167,7 +183,9 @@ def near_duplicates(
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["a", "b"])
 
-    edges = scratch.write(tabled.mapInArrow(verify, "a long, b long"), "links")
+    # only texts that sit in a cell need to be moved: a Bloom filter of their ids drops the others in the scan
+    with _bloom(docs.sparkSession):
+        edges = scratch.write(tabled.mapInArrow(verify, "a long, b long"), "links")
     roots = scratch.write(components(edges, scratch), "roots")
     named = classes.select(F.col("digest").alias("c_digest"), F.col("n").alias("c_n"), "cid").join(roots, F.col("cid") == F.col("node"), "left")
     named = named.select("c_digest", "c_n", F.coalesce("root", "cid").alias("component"))
