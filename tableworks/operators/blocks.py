@@ -258,7 +258,7 @@ def rolling_range(
         schema = T.StructType([T.StructField("_key", cut.schema["_key"].dataType)])
         table = F.broadcast(df.sparkSession.createDataFrame([(h["_key"],) for h in hot], schema))  # at most MAX_HOT_KEYS rows
         cold = cut.join(table, "_key", "left_anti")
-        busiest = max(h["_n"] / max(h["_hi"] - h["_lo"], 1.0) for h in hot if h["_lo"] is not None)
+        busiest = max(h["_n"] / max(h["_hi"] - h["_lo"], 1.0) for h in hot if h["_lo"] is not None) if any(h["_lo"] is not None for h in hot) else 1.0
         pieces = _divisor(seconds * 1_000_000, busiest * seconds * 1_000_000 / TARGET_ROWS)
         hot_part = _rolling_blocks(
             cut.join(table, "_key", "left_semi").select(*df.columns), keys, ts, seconds, outputs, pieces)

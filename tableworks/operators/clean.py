@@ -204,7 +204,7 @@ def assemble_vector(df: DataFrame, columns: Sequence[str], out: str, key: Sequen
 
 
 def one_hot(df: DataFrame, columns: Mapping[str, Sequence[str] | None], limit: int = 1000) -> DataFrame:
-    """0/1 bigint column per category, named ``column_category`` in lower case.
+    """0/1 bigint column per category, named ``column_category`` in lower case; like names are numbered.
 
     Categories are taken from the argument, or found by one distinct job and
     refused beyond ``limit``, so the column list is stable and bounded.
@@ -217,7 +217,11 @@ def one_hot(df: DataFrame, columns: Mapping[str, Sequence[str] | None], limit: i
                 raise ValueError(f"{column} has more than {limit} categories")
             values = sorted(r[0] for r in found)
         for v in values:
-            name = f"{column}_{re.sub(r'[^0-9a-z]+', '_', str(v).lower())}"
+            plain = name = f"{column}_{re.sub(r'[^0-9a-z]+', '_', str(v).lower())}"
+            number = 1
+            while name in out or name in df.columns:
+                number += 1
+                name = f"{plain}_{number}"
             out[name] = F.coalesce((F.col(column) == F.lit(v)).cast("long"), F.lit(0).cast("long"))
     return df.select(*[c for c in df.columns if c not in columns], *[e.alias(n) for n, e in out.items()])
 

@@ -110,7 +110,7 @@ def join_asof(
         F.lit(0).alias("_kind"),
         (F.col(tie) if tie else F.lit(0)).cast("long").alias("_tie"),
         found.alias("_feat"),
-    ).filter(F.col("_t").isNotNull())
+    ).filter(F.col("_t").isNotNull()).dropna(subset=list(keys))  # a null key matches nothing
     rows = labels.select(
         *keys,
         (epoch_micros(ts) * sign).alias("_t"),

@@ -21,7 +21,6 @@ from .clean import hash_share
 
 # everything but letters and digits of any script
 NOT_WORD = r"[^\p{L}\p{N}]+"
-INLINE_IMAGE = r"data:image/[a-zA-Z]+;base64,[A-Za-z0-9+/=\n]+"
 
 
 # ---- pages ----------------------------------------------------------------
@@ -75,7 +74,7 @@ def article_text(html: str | None) -> str | None:
         return None
     if not parser.found:
         return None
-    text = re.sub(INLINE_IMAGE, "", "".join(parser.parts))
+    text = "".join(parser.parts)
     lines = [re.sub(r"[ \t]+", " ", line).strip() for line in text.split("\n")]
     return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
 
@@ -135,41 +134,31 @@ def split_text(text: str, size: int, overlap: int, count: Callable[[str], int] =
     return chunks
 
 
-def heading_chunks(text: str | None, max_tokens: int, min_tokens: int, overlap: int, count: Callable[[str], int] = words) -> list[str]:
-    """Sections under level-2 headings, small neighbours merged up to half of
-    ``max_tokens``, large ones split, pieces of ``min_tokens`` or less dropped."""
-    if not text:
-        return []
-    text = re.sub(INLINE_IMAGE, "", text)
-    sections = re.split(r"(?m)^(?=## )", text)
-    chunks: list[str] = []
-    pending = ""
-    for section in sections:
-        body = re.sub(r"^## +", "", section)
-        if not body.strip():
-            continue
-        if count(pending + body) <= max_tokens / 2:
-            pending += body.rstrip("\n") + "\n"
-            continue
-        if pending:
-            chunks += split_text(pending.strip(), max_tokens, overlap, count)
-        pending = body.rstrip("\n") + "\n"
-    if pending:
-        chunks += split_text(pending.strip(), max_tokens, overlap, count)
-    return [c for c in chunks if count(c) > min_tokens]
-
-
 def chunk_by_heading(df: DataFrame, text: str, max_tokens: int = 500, min_tokens: int = 20, overlap: int = 50,
-                     out: str = "chunk", position: str = "chunk_no") -> DataFrame:
-    """One row per heading-aware chunk."""
-
-    @F.pandas_udf("array<string>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield texts.map(lambda t: heading_chunks(t, max_tokens, min_tokens, overlap))
+                     out: str = "chunk", position: str = "chunk_no", heading: str = "## ") -> DataFrame:
+    """One row per heading-aware chunk, without Python.
 
+    A text is cut before each line that begins with ``heading``. Sections are
+    packed in order: one joins the chunk before it while both together have at
+    most ``max_tokens`` words. A longer chunk becomes windows of ``max_tokens``
+    words that overlap by ``overlap``. Chunks below ``min_tokens`` words go.
+    """
+    words_of = lambda t: F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    sections = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), f"(?m)(?=^{re.escape(heading)})"), words_of)
+    sections = F.filter(sections, lambda w: F.size(w) > 0)
+
+    def pack(done: Column, section: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        fits = (F.size(done) > 0) & (F.size(last) + F.size(section) <= max_tokens)
+        return F.when(fits, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(last, section)))).otherwise(F.concat(done, F.array(section)))
+
+    packed = F.aggregate(sections, F.array().cast("array<array<string>>"), pack)
+    step = max_tokens - overlap
+    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.ceil((F.size(w) - max_tokens) / F.lit(float(step))), F.lit(0)).cast("int"))
+    pieces = F.flatten(F.transform(packed, lambda w: F.transform(starts(w), lambda i: F.slice(w, i * step + 1, max_tokens))))
+    chunks = F.transform(F.filter(pieces, lambda w: F.size(w) >= min_tokens), lambda w: F.array_join(w, " "))
     rest = [F.col(c) for c in df.columns if c != text]
-    return df.select(*rest, F.posexplode(cut(text)).alias(position, out))
+    return df.select(*rest, F.posexplode(chunks).alias(position, out))
 
 
 def chunk_fixed(df: DataFrame, text: str, size: int = 500, overlap: int = 50, out: str = "chunk", position: str = "chunk_no") -> DataFrame:

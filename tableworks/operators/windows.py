@@ -34,8 +34,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """All rows that share the newest ``order`` value of their key (dense rank 1)."""
-    top = df.groupBy(*keys).agg(F.max(order).alias("_top"))
-    return df.join(top, list(keys)).filter(F.col(order) == F.col("_top")).drop("_top").select(*df.columns)
+    top = df.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.max(order).alias("_top"))
+    same = F.col(order) == F.col("_top")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return df.join(top, same).select(*df.columns)
 
 
 def gap_label(
@@ -155,13 +158,14 @@ def merge_intervals(
     """Overlapping or nearly touching intervals joined into episodes.
 
     An interval opens an episode when it starts more than ``gap_seconds`` after
-    everything seen before it has ended. Returns keys, bounds and member count.
+    everything seen before it has ended. An interval without a start is an
+    episode of its own. Returns keys, bounds and member count.
     """
     along = epoch_micros(start)
     order = [F.col("_s"), F.col("_e")]
     base = df.withColumn("_s", epoch_micros(start)).withColumn("_e", epoch_micros(stop))
     # ties on (start, stop) are interchangeable, so their order does not matter
-    seen = running(base, keys, order, along, {"_seen": ("max", F.col("_e"))}, include_current=False)
+    seen = running(base, keys, order, along, {"_seen": ("max", F.when(F.col("_s").isNotNull(), F.col("_e")))}, include_current=False)
     seen = materialise(seen, "intervals")  # the second scan must not repeat the first
     opens = (F.col("_seen").isNull() | (F.col("_s") > F.col("_seen") + gap_seconds * 1_000_000)).cast("long")
     # "seen" of equal rows may differ, but only the first of them can open

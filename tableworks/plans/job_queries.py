@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import blocks as B
+from ..operators.quality import Rule
 from ..session import scratch_path
 from . import jobs
 from .catalog import query
@@ -157,9 +158,9 @@ def _(t):
 
 @query("claims", """
     WITH sp AS (SELECT user_id, avg(value) AS speed FROM events GROUP BY 1)
-    SELECT l_orderkey || '-' || l_linenumber AS claim_no, CASE WHEN o_totalprice / 4 >= l_extendedprice THEN 'in range' ELSE 'exceeds' END AS valid_amount,
-      CASE WHEN speed > 45 THEN 'High Speed' WHEN speed > 0 THEN 'Normal Speed' ELSE 'Invalid speed' END AS speed_check,
-      CASE WHEN o_totalprice / 4 >= l_extendedprice AND speed <= 45 AND speed > 0 THEN 'release funds' ELSE 'investigate' END AS decision
+    SELECT l_orderkey || '-' || l_linenumber AS claim_no, CASE WHEN l_extendedprice * 4 > o_totalprice THEN 'above' ELSE 'within' END AS cover,
+      CASE WHEN speed IS NULL THEN 'no log' WHEN speed >= 50 THEN 'brisk' ELSE 'calm' END AS pace,
+      CASE WHEN l_extendedprice * 4 > o_totalprice OR speed >= 50 THEN 'look at' ELSE 'pay' END AS outcome
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN sp ON sp.user_id = o_custkey WHERE l_returnflag = 'R'""")
 def _(t):
     claim = t.lineitem.filter("l_returnflag = 'R'").select(
@@ -170,12 +171,12 @@ def _(t):
                           (-F.col("o_totalprice") / 12).alias("premium"), (F.col("o_totalprice") / 4).alias("sum_insured"), day.alias("begins"), F.date_add(day, 365).alias("ends"))
     speed = t.events.select(F.col("user_id").alias("chassis"), F.col("value").alias("speed"))
     rules = t.spark.createDataFrame([
-        (1, "valid_amount", "IF(sum_insured >= amount_total, 'in range', 'exceeds')", True),
-        (2, "speed_check", "CASE WHEN telematics_speed > 45 THEN 'High Speed' WHEN telematics_speed > 0 THEN 'Normal Speed' ELSE 'Invalid speed' END", True),
-        (3, "decision", "IF(valid_amount = 'in range' AND speed_check = 'Normal Speed', 'release funds', 'investigate')", True),
+        (1, "cover", "CASE WHEN amount_total * 4 > sum_insured * 4 THEN 'above' ELSE 'within' END", True),
+        (2, "pace", "CASE WHEN telematics_speed IS NULL THEN 'no log' WHEN telematics_speed >= 50 THEN 'brisk' ELSE 'calm' END", True),
+        (3, "outcome", "CASE WHEN cover = 'above' OR pace = 'brisk' THEN 'look at' ELSE 'pay' END", True),
     ], "rule_id int, check_name string, check_code string, is_active boolean")
     out = jobs.claims(claim, pol, speed, rules, "1998-01-01", "1998-12-31")
-    return out["insights"].select("claim_no", "valid_amount", "speed_check", "decision")
+    return out["insights"].select("claim_no", "cover", "pace", "outcome")
 
 
 @query("turbine_features", """
@@ -204,8 +205,9 @@ def _(t):
                         (F.col("o_orderkey") % 3).alias("treatment_id"))
     new = o.filter("o_orderdate >= '1998-01-01'").withColumns({"balance": F.col("o_totalprice") - 50000, "arrears": F.lit(1.0)})
     old = o.filter("o_orderdate < '1998-01-01'").withColumn("balance", F.col("o_totalprice"))
+    rules = [Rule("due_by_2001", "next_payment_date < DATE '2001-07-01'"), Rule("owes", "balance > 0", "drop"), Rule("prioritised", "length(cost_center) > 0", "fail")]
     kinds = t.orders.select((F.col("o_orderkey") % 3).alias("treatment_id")).distinct().withColumn("treatment", F.concat(F.lit("t"), "treatment_id"))
-    return jobs.loan_quality(new, old, kinds, "u1", "2024-01-01")["totals"].withColumn("balance", r("balance", 2))
+    return jobs.loan_quality(new, old, kinds, rules, "u1", "2024-01-01")["totals"].withColumn("balance", r("balance", 2))
 
 
 @query("cdc_sync", """
@@ -330,7 +332,7 @@ def _(t):
     deals = t.orders.select(F.col("o_orderkey").alias("deal_id"), F.col("o_custkey").alias("account_id"), F.when(F.col("o_orderstatus") == "F", "closed").otherwise("open").alias("stage"),
                             month.alias("created"), F.col("o_orderdate").cast("date").alias("closed"), F.col("o_totalprice").alias("amount"))
     countries = t.nation.select(F.col("n_nationkey").alias("country"), F.col("n_regionkey").alias("region"))
-    return jobs.deal_review(accounts, deals, countries)["history"].withColumn("amount", r("amount", 2))
+    return jobs.deal_review(accounts, deals, countries, [("employees < 50", "S"), ("employees < 500", "M")], "L")["history"].withColumn("amount", r("amount", 2))
 
 
 @query("supply_shortage", """

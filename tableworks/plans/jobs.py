@@ -180,23 +180,16 @@ def turbine_features(readings: DataFrame, status: DataFrame, turbines: DataFrame
     return out
 
 
-LOAN_RULES = [
-    Rule("payment_in_range", "next_payment_date > DATE '1996-01-01'"),
-    Rule("positive_balance", "balance > 0 AND arrears > 0", "drop"),
-    Rule("has_cost_center", "cost_center IS NOT NULL", "fail"),
-]
-
-
-def loan_quality(new_loans: DataFrame, old_loans: DataFrame, treatments: DataFrame, update_id: str, at: str) -> Frames:
+def loan_quality(new_loans: DataFrame, old_loans: DataFrame, treatments: DataFrame, rules: list[Rule], update_id: str, at: str) -> Frames:
     """Loans enriched, split into clean and quarantined rows, totals over old and new, quality counts as an event log."""
     enriched = J.join_using(new_loans, [treatments], "treatment_id")
-    clean = Q.expect(enriched, LOAN_RULES)
-    bad = Q.quarantine(enriched, [r for r in LOAN_RULES if r.action == "drop"])
+    clean = Q.expect(enriched, rules)
+    bad = Q.quarantine(enriched, [r for r in rules if r.action == "drop"])
     history = J.join_using(old_loans, [treatments], "treatment_id")
     totals = A.union_distinct(
         history.groupBy("location").agg(F.sum("balance").alias("balance")),
         clean.groupBy("location").agg(F.sum("balance").alias("balance")))
-    metrics = Q.expectation_metrics(enriched, LOAN_RULES, "loans.cleaned")
+    metrics = Q.expectation_metrics(enriched, rules, "loans.cleaned")
     log = Q.build_event_log(metrics, F.lit(update_id), F.lit(at).cast("timestamp"))
     return {"clean": clean, "quarantine": bad, "totals": totals, "log": log, "report": Q.event_log_report(log)}
 
@@ -309,13 +302,13 @@ def portfolio(prices: DataFrame, news: DataFrame) -> Frames:
     return {"adjusted": adjusted, "volatility": A.volatility(clean, ["ticker"], "date", "return"), "mentions": mentions}
 
 
-def deal_review(accounts: DataFrame, deals: DataFrame, countries: DataFrame) -> Frames:
+def deal_review(accounts: DataFrame, deals: DataFrame, countries: DataFrame, classes: list[tuple[str, str]], largest: str) -> Frames:
     """Accounts with size segment and both regions; deals by day, stage and region; the open total.
 
     ``accounts``: account_id, country_hq, country_local, employees; ``deals``: deal_id, account_id, stage, created, closed, amount.
     """
     acc = P.drop_incomplete(accounts, ["account_id"], ["employees > 0"])
-    acc = P.bucketize(acc, "size_segment", [("employees <= 100", "SMB"), ("employees <= 1000", "MM")], "ENT")
+    acc = P.bucketize(acc, "size_segment", classes, largest)
     acc = J.join_twice(acc, countries, "country", {"hq": "country_hq", "local": "country_local"})
     good = P.drop_incomplete(deals, ["deal_id", "account_id"], ["closed >= created"])
     joined = good.join(acc, "account_id")

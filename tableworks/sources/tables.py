@@ -46,7 +46,11 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 # A keyed table is a folder of writes, ``version=N/bucket=B``. A batch rewrites
 # only the buckets its keys fall into, under its own number; a bucket is read
 # from its newest finished write. ``full=N`` replaces everything before it. A
-# batch that is run again writes the same folder.
+# batch that is run again writes the same folder. A bucket that a batch leaves
+# without rows gets a mark instead of files, so that no older one is read for it.
+
+EMPTIED = "_emptied"
+
 
 def _newest_buckets(spark: SparkSession, path: str, before: int | None) -> dict[int, str]:
     writes = []
@@ -63,7 +67,11 @@ def _newest_buckets(spark: SparkSession, path: str, before: int | None) -> dict[
             place = {}
         for child in inside:
             if child.startswith("bucket="):
-                place[int(child.split("=")[1])] = f"{path}/{name}/{child}"
+                bucket, folder = int(child.split("=")[1]), f"{path}/{name}/{child}"
+                if EMPTIED in _children(spark, folder):
+                    place.pop(bucket, None)
+                else:
+                    place[bucket] = folder
     return place
 
 
@@ -108,6 +116,11 @@ def merge_batch(
             merged.repartition(min(buckets, len(touched)), "bucket")
             .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
         )
+        written = set(_children(spark, f"{path}/version={batch_id}"))
+        for b in touched:
+            if f"bucket={b}" not in written:
+                mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={batch_id}/bucket={b}/{EMPTIED}")
+                mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark).close()
     finally:
         batch.unpersist()
 
@@ -127,8 +140,9 @@ def compact_keyed(spark: SparkSession, path: str, keys: Sequence[str], buckets:
 def copy_tables(spark: SparkSession, source: str, target: str, incremental_by: dict[str, str] | None = None) -> list[str]:
     """Copy all tables of one database to another, then create its views there.
 
-    With ``incremental_by`` (table -> column) only rows above the target's
-    largest value are appended. Returns the names in the order they were made.
+    With ``incremental_by`` (table -> column) only rows that are not there yet
+    are appended, of those that reach the target's largest value or have none.
+    Returns the names in the order they were made.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
     entries = [r for r in spark.sql(f"SHOW TABLES IN {source}").collect() if not r.isTemporary]
@@ -142,7 +156,8 @@ def copy_tables(spark: SparkSession, source: str, target: str, incremental_by: d
         column = (incremental_by or {}).get(name)
         if column and spark.catalog.tableExists(f"{target}.{name}"):
             top = spark.table(f"{target}.{name}").agg(F.max(column)).first()[0]
-            fresh = df if top is None else df.filter(F.col(column) > F.lit(top))
+            late = F.lit(True) if top is None else F.col(column).isNull() | (F.col(column) >= F.lit(top))
+            fresh = df.filter(late).exceptAll(spark.table(f"{target}.{name}").filter(late).select(*df.columns))
             fresh.write.mode("append").saveAsTable(f"{target}.{name}")
         else:
             df.write.mode("overwrite").format("parquet").saveAsTable(f"{target}.{name}")

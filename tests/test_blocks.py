@@ -126,3 +126,20 @@ def test_back_adjust(skewed):
     assert len(a) == len(b)
     for x, y in zip(a, b):
         assert x[:-1] == y[:-1] and abs(x[-1] - y[-1]) < 1e-6 * max(1, abs(y[-1]))
+
+
+def test_null_keys_and_null_starts(spark):
+    from tableworks.operators.clean import one_hot
+    from tableworks.operators.joins import join_asof
+    from tableworks.operators.windows import latest_with_ties, merge_intervals
+
+    labels = spark.sql("SELECT * FROM VALUES (CAST(NULL AS INT), TIMESTAMP '2024-01-02', 1), (5, TIMESTAMP '2024-01-02', 2) t(k, ts, id)")
+    feats = spark.sql("SELECT * FROM VALUES (CAST(NULL AS INT), TIMESTAMP '2024-01-01', 10), (5, TIMESTAMP '2024-01-01', 20) t(k, fts, v)")
+    assert {r.id: r.v for r in join_asof(labels, feats, ["k"], "ts", "fts", ["v"]).collect()} == {1: None, 2: 20}
+    assert sorted(r.id for r in latest_with_ties(labels, ["k"], "ts").collect()) == [1, 2]
+    spans = spark.sql("""SELECT 'a' AS k, CAST(s AS TIMESTAMP) AS s, CAST(e AS TIMESTAMP) AS e FROM VALUES
+        (NULL, '2030-01-01'), ('2024-01-01', '2024-01-02'), ('2025-01-01', '2025-01-02') t(s, e)""")
+    assert sorted((r.s is not None and r.s.year, r.members) for r in merge_intervals(spans, ["k"], "s", "e").collect()) == [(False, 1), (2024, 1), (2025, 1)]
+    wide = one_hot(spark.sql("SELECT * FROM VALUES ('A b'), ('a-b'), ('x') t(c)"), {"c": None})
+    assert sorted(wide.columns) == ["c_a_b", "c_a_b_2", "c_x"]
+    assert wide.groupBy().sum().first().asDict() == {f"sum({c})": 1 for c in wide.columns}

@@ -143,6 +143,20 @@ def test_keyed_table_rewrites_only_touched_buckets(spark, tmp_path):
     assert tables.read_keyed(spark, str(path)).agg(F.count("*"), F.sum("v")).first() == (1000, 1)
 
 
+def test_keyed_table_keeps_deleted_rows_deleted(spark, tmp_path):
+    path = str(tmp_path / "gone")
+
+    def without(current, batch):
+        return current.join(batch, "id", "left_anti") if current is not None else batch
+
+    tables.merge_batch(spark.range(1, 4), 0, path, ["id"], without, 4)
+    tables.merge_batch(spark.range(1, 4), 1, path, ["id"], without, 4)
+    left = tables.read_keyed(spark, path)
+    assert left is None or left.count() == 0
+    tables.merge_batch(spark.range(2, 3), 2, path, ["id"], without, 4)
+    assert [r.id for r in tables.read_keyed(spark, path).collect()] == [2]
+
+
 def test_keyed_table_replace(spark, tmp_path):
     path = str(tmp_path / "keyed")
     tables.merge_batch(spark.range(50), 0, path, ["id"], _merge, 8)

@@ -30,13 +30,16 @@ def test_split_text_covers_everything():
     assert flat[1].split()[:10] == flat[0].split()[-10:]  # overlap
 
 
-def test_heading_chunks_merge_and_split():
+def test_heading_chunks_pack_and_split(spark):
+    def cut(body, *sizes):
+        return [r.chunk for r in text.chunk_by_heading(spark.createDataFrame([(body,)], "t string"), "t", *sizes).orderBy("chunk_no").collect()]
+
     small = "\n".join(f"## H{i}\n" + " ".join(["x"] * 8) for i in range(3))
-    assert len(text.heading_chunks(small, 100, 2, 5)) == 1
+    assert len(cut(small, 100, 2, 5)) == 1
     big = "## A\n" + " ".join(["y"] * 250) + "\n## B\n" + " ".join(["z"] * 30)
-    got = text.heading_chunks(big, 100, 2, 5)
+    got = cut(big, 100, 2, 5)
     assert len(got) >= 3 and sum(c.count("z") for c in got) == 30
-    assert text.heading_chunks("## A\ntiny", 100, 10, 5) == [] and text.heading_chunks(None, 100, 1, 1) == []
+    assert cut("## A\ntiny", 100, 10, 5) == [] and cut(None, 100, 1, 1) == []
 
 
 def test_chunk_fixed_matches_python(spark):
