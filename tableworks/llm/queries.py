@@ -174,5 +174,7 @@ def _planes(t: Tables) -> DataFrame:
 @query("op8_pii_semi_markov")
 def _pii(t: Tables) -> DataFrame:
     found = pii.find_pii(t.documents)
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    # a second parameter of the lambda would be the element's place
+    of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = [of(k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))

@@ -399,6 +399,19 @@ def test_field_adds_spans_and_leaves_prose_alone(s, messy, empty, tables):
     assert len(pii.find_pii(messy).collect()) == len(MESSY) and pii.find_pii(empty).collect() == []
 
 
+def test_pii_query_counts_the_base_kinds(s, tables):
+    from tableworks.llm.queries import QUERIES
+
+    text = {r.doc_id: r.text for r in tables.documents.collect()}
+    got = QUERIES["op8_pii_semi_markov"](s, tables.folder).collect()
+    assert len(got) == len(text)
+    for r in got:
+        want = plain_spans(text[r.doc_id])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(w[0] == k for w in want) for k in pii.KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+        assert {f"{k}:{a}:{b}" for k, a, b in want} <= set(r.spans.split(","))
+
+
 def test_segmentation_is_the_best_of_all():
     field = pii.Field()
     rng = np.random.default_rng(1)
@@ -474,7 +487,7 @@ def test_contamination_equals_brute_force(s, messy, empty):
 
 def test_no_python_in_decontamination(s, messy):
     plan = decontaminate.drop_contaminated(messy, s.createDataFrame([(1, "a b c")], "item_id long, text string"))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan and hashlib.sha256(plan.encode()).hexdigest()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 # --- the pipeline ------------------------------------------------------------------------------------------------------
