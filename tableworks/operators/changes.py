@@ -230,20 +230,24 @@ def cluster_table(df: DataFrame, columns: Sequence[str], partitions: int, bits:
 
     One column: a range sort. Several: each value becomes one of ``2**bits``
     buckets with about equally many rows (bounds sampled by
-    ``percentile_approx``, so at most ``2**bits`` numbers reach the driver), and
-    the bits of the buckets are interleaved to one sort key.
+    ``percentile_approx``, for text by range pieces of that column, so at most
+    ``2**bits`` values reach the driver), and the bits of the buckets are
+    interleaved to one sort key. Nulls are in the first bucket.
     """
     if len(columns) == 1:
         return df.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns)
-    numbers = {c: _as_number(df, c) for c in columns}
+    numbers = {c: _as_number(df, c) for c in columns if not isinstance(df.schema[c].dataType, T.StringType)}
     steps = [i / 2**bits for i in range(1, 2**bits)]
-    bounds = df.agg(*[F.percentile_approx(numbers[c], steps, 10_000).alias(c) for c in columns]).first()
+    bounds = df.agg(*[F.percentile_approx(n, steps, 10_000).alias(c) for c, n in numbers.items()]).first() if numbers else {}
     out = df
     z = F.lit(0).cast("long")
     for i, c in enumerate(columns):
-        splits = [float("-inf"), *sorted({float(b) for b in bounds[c] or []}), float("inf")]
-        out = out.withColumn(f"_n{i}", F.coalesce(numbers[c].cast("double"), F.lit(float("-inf"))))
-        out = Bucketizer(splits=splits, inputCol=f"_n{i}", outputCol=f"_b{i}", handleInvalid="keep").transform(out)
+        if c in numbers:
+            splits = [float("-inf"), *sorted({float(b) for b in bounds[c] or []}), float("inf")]
+            out = out.withColumn(f"_n{i}", F.coalesce(numbers[c].cast("double"), F.lit(float("-inf"))))
+            out = Bucketizer(splits=splits, inputCol=f"_n{i}", outputCol=f"_b{i}", handleInvalid="keep").transform(out)
+        else:
+            out = out.withColumn(f"_b{i}", F.when(F.col(c).isNull(), F.lit(0)).otherwise(_bucket(F.col(c), _text_bounds(df, c, 2**bits))))
         bucket = F.col(f"_b{i}").cast("long")
         for bit in range(bits):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("long"))
@@ -256,7 +260,20 @@ def _as_number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return epoch_micros(column).cast("double")
-    if isinstance(kind, T.StringType):
-        # the first six bytes order a string well enough for a layout
-        return F.conv(F.hex(F.rpad(F.substring(column, 1, 6), 6, " ")), 16, 10).cast("double")
     return F.col(column).cast("double")
+
+
+def _text_bounds(df: DataFrame, column: str, pieces: int) -> list[str]:
+    """The largest whole value of each range piece but the last, in order."""
+    ranged = df.select(column).filter(F.col(column).isNotNull()).repartitionByRange(pieces, column)
+    tops = ranged.groupBy(F.spark_partition_id().alias("piece")).agg(F.max(column).alias("top")).collect()
+    return sorted({r.top for r in tops}, key=lambda t: t.encode())[:-1]
+
+
+def _bucket(value: Column, bounds: list[str], first: int = 0) -> Column:
+    """How many bounds lie below the value, as a balanced tree of comparisons."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(value <= F.lit(bounds[middle]), _bucket(value, bounds[:middle], first)).otherwise(
+        _bucket(value, bounds[middle + 1:], first + middle + 1))

@@ -77,26 +77,30 @@ def customer_360(bronze: Frames, base: str, asof: str, weights: Mapping[str, flo
     return {"profile": scored, "quality": counts}
 
 
-def clinical_visits(encounters: DataFrame, conditions: DataFrame, concept: DataFrame, relation: DataFrame) -> Frames:
+def clinical_visits(
+    encounters: DataFrame, conditions: DataFrame, concept: DataFrame, relation: DataFrame,
+    acute: Sequence[str] = ("emergency", "urgent"),
+) -> Frames:
     """Encounters to visits, and coded conditions attached to their best visit.
 
     ``encounters``: encounter_id, patient, class, start, stop; ``conditions``:
     condition_id, encounter_id, patient, code. Inpatient stays at most a day
-    apart form one visit; other encounters of one start form one.
+    apart form one visit; other encounters of one start form one. An encounter
+    goes to the inpatient visit around it (an ``acute`` one only if it began
+    later than the visit), else to a visit of its kind: ``acute`` at its own
+    start, all other classes (ambulatory, wellness, outpatient) around it.
     """
     columns = ["patient", "class", "start", "stop"]
     stays = W.merge_intervals(encounters.filter("class = 'inpatient'"), ["patient", "class"], "start", "stop", DAY)
     others = J.same_start_spans(encounters.filter("class <> 'inpatient'"), ["patient", "class"], "start", "stop", "encounter_id")
     visits = A.union_all(stays.select(*columns), others.select(*columns))
     visits = P.surrogate_key(visits, ["patient", "start", "class", "stop"], "visit_id")
+    kind = F.when(F.col("class") == "inpatient", "stay").when(F.col("class").isin(*acute), "acute").otherwise("planned")
     best = W.assign_episode(
-        encounters.select("encounter_id", "patient", F.col("class").alias("own_class"), F.col("start").alias("at")),
-        visits.withColumnRenamed("class", "visit_class"), ["patient"], "encounter_id", "at", "start", "stop",
-        """CASE WHEN own_class = 'inpatient' AND visit_class = 'inpatient' THEN 1
-                WHEN own_class = 'emergency' AND visit_class = 'inpatient' AND at > start THEN 1
-                WHEN own_class = 'emergency' AND visit_class = 'emergency' AND at = start THEN 2
-                WHEN own_class = 'outpatient' AND visit_class = 'inpatient' THEN 1
-                WHEN own_class = 'outpatient' AND visit_class = 'outpatient' THEN 2 END""",
+        encounters.select("encounter_id", "patient", kind.alias("own_kind"), F.col("start").alias("at")),
+        visits.select("visit_id", "patient", "start", "stop", kind.alias("visit_kind")), ["patient"], "encounter_id", "at", "start", "stop",
+        """CASE WHEN visit_kind = 'stay' AND (own_kind <> 'acute' OR at > start) THEN 1
+                WHEN own_kind = visit_kind AND (own_kind <> 'acute' OR at = start) THEN 2 END""",
     ).select("encounter_id", "visit_id")
     coded = J.map_codes(conditions, concept, relation, "code", "local")
     return {"visits": visits, "assigned": best, "conditions": J.join_left(coded, best, "encounter_id")}

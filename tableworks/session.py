@@ -62,13 +62,16 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    Taken from ``spark.checkpoint.dir``. Only where that is unset (tests on one
-    machine) a temporary folder is made.
+    Taken from ``spark.checkpoint.dir``. Only where that is unset in a local
+    session (tests on one machine) a temporary folder is made; on a cluster
+    each executor would write to a disk of its own, so that is an error.
     """
     global _fallback
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _fallback is None:
         _fallback = tempfile.mkdtemp(prefix="tableworks-")
     return _fallback

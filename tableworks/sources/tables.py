@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,9 +163,20 @@ def copy_tables(spark: SparkSession, source: str, target: str, incremental_by: d
         else:
             df.write.mode("overwrite").format("parquet").saveAsTable(f"{target}.{name}")
         done.append(name)
-    for name in sorted(views):
-        text = spark.sql(f"SHOW CREATE TABLE {source}.{name}").first()[0]
-        body = text[text.upper().index("\nAS ") + 4:] if "\nAS " in text.upper() else text[text.upper().index(" AS ") + 4:]
-        spark.sql(f"CREATE OR REPLACE VIEW {target}.{name} AS {body.replace(source + '.', target + '.')}")
-        done.append(name)
+    pending = sorted(views)
+    while pending:
+        # a view on a view that is not there yet waits for the next turn
+        waiting, reason = [], None
+        for name in pending:
+            text = spark.sql(f"SHOW CREATE TABLE {source}.{name}").first()[0]
+            body = text[text.upper().index("\nAS ") + 4:] if "\nAS " in text.upper() else text[text.upper().index(" AS ") + 4:]
+            try:
+                spark.sql(f"CREATE OR REPLACE VIEW {target}.{name} AS {body.replace(source + '.', target + '.')}")
+                done.append(name)
+            except AnalysisException as e:
+                waiting.append(name)
+                reason = e
+        if len(waiting) == len(pending):
+            raise reason
+        pending = waiting
     return done

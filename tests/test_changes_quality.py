@@ -134,6 +134,20 @@ def test_cluster_table_narrows_files(spark, tmp_path):
     assert mean[2] >= 12 and mean[0] < 5_000 and mean[1] < 5_000
 
 
+def test_cluster_table_orders_whole_texts(spark, tmp_path):
+    # all values share a long prefix, and some lie outside ASCII
+    words = F.concat(F.lit("https://例.example/ü/"), F.lpad((F.col("id") * 7919 % 10_007).cast("string"), 6, "0"))
+    df = spark.range(20_000).select(F.when(F.col("id") % 100 > 0, words).alias("a"), (F.col("id") * 104_729 % 9_973).alias("b"))
+    out = str(tmp_path / "z")
+    changes.cluster_table(df, ["a", "b"], 16, bits=6).write.parquet(out)
+    back = spark.read.parquet(out)
+    number = F.substring("a", -6, 6).cast("int")
+    spans = back.groupBy(F.col("_metadata.file_path")).agg((F.max(number) - F.min(number)).alias("sa"), (F.max("b") - F.min("b")).alias("sb"))
+    mean = spans.agg(F.avg("sa"), F.avg("sb")).first()
+    assert mean[0] < 5_000 and mean[1] < 5_000
+    assert back.count() == 20_000 and back.exceptAll(df).isEmpty()
+
+
 def test_compact(spark, tmp_path):
     many, few = str(tmp_path / "many"), tmp_path / "few"
     spark.range(1000).repartition(8).write.parquet(many)
