@@ -23,7 +23,8 @@ def replay(df, path, slices=3, fmt="parquet", order="ts"):
     """Write a table as time-ordered groups of files, oldest first, for a stream to read."""
     bounds = df.agg(F.min(F.unix_micros(F.col(order).cast("timestamp"))), F.max(F.unix_micros(F.col(order).cast("timestamp")))).first()
     step = (bounds[1] - bounds[0]) // slices + 1
-    at = F.floor((F.unix_micros(F.col(order).cast("timestamp")) - bounds[0]) / step)
+    # rows without a time go with the oldest
+    at = F.coalesce(F.floor((F.unix_micros(F.col(order).cast("timestamp")) - bounds[0]) / step), F.lit(0))
     for i in range(slices):
         df.filter(at == i).coalesce(1).write.mode("append").format(fmt).option(
             "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").save(path)
@@ -75,6 +76,22 @@ def _(t):
     return S.read_with_rescue(t.spark, src, "json", "event_id bigint, value double").select("event_id", "value", S.RESCUED)
 
 
+@query("read_with_rescue_nested", """
+    SELECT event_id, CASE WHEN event_id % 9 > 0 THEN value END AS amount, event_type AS kind,
+      CASE WHEN event_id % 9 = 0 AND event_id % 5 = 0 THEN '{"body.amount":"bad","body.extra":"' || user_id || '"}'
+           WHEN event_id % 9 = 0 THEN '{"body.amount":"bad"}' WHEN event_id % 5 = 0 THEN '{"body.extra":"' || user_id || '"}' END AS _rescued_data FROM events""")
+def _(t):
+    src = scratch_path(t.spark, "dirty")
+    bad, more = F.col("event_id") % 9 == 0, F.col("event_id") % 5 == 0
+    good = F.to_json(F.struct("event_id", F.struct(
+        F.when(~bad, F.col("value")).alias("amount"), F.when(more, F.col("user_id").cast("string")).alias("extra"), F.col("event_type").alias("kind")).alias("body")))
+    odd = F.to_json(F.struct("event_id", F.struct(
+        F.lit("bad").alias("amount"), F.when(more, F.col("user_id").cast("string")).alias("extra"), F.col("event_type").alias("kind")).alias("body")))
+    t.events.select(F.when(bad, odd).otherwise(good).alias("value")).write.text(src)
+    found = S.read_with_rescue(t.spark, src, "json", "event_id bigint, body struct<amount double, kind string>")
+    return found.select("event_id", "body.amount", "body.kind", S.RESCUED)
+
+
 @query("read_with_rescue_csv", """
     SELECT c_custkey, CASE WHEN c_custkey % 8 > 0 THEN c_nationkey END::DOUBLE AS c_nationkey,
       CASE WHEN c_custkey % 8 = 0 THEN '{"c_nationkey":"unknown","c_mktsegment":"' || c_mktsegment || '"}'
@@ -101,6 +118,22 @@ def _(t):
     return K.read_table(t.spark, out, merge_schema=True).select("event_id", "value", "event_type")
 
 
+@query("evolve_schema_nested", """
+    SELECT event_id, CASE WHEN event_id % 2 = 1 THEN value END AS amount, CASE WHEN event_id % 2 = 1 THEN event_type END AS kind FROM events""")
+def _(t):
+    src, store, ckpt, out = (scratch_path(t.spark, n) for n in ("json", "schema", "ckpt", "bronze"))
+
+    def load():
+        S.ingest_evolving(t.spark, src, store, ckpt, out, "body struct<event_id bigint>")
+
+    t.events.filter("event_id % 2 = 0").select(F.struct("event_id").alias("body")).write.json(src)
+    S.run_until_stable(load)
+    wide = F.struct("event_id", F.col("value").alias("amount"), F.col("event_type").alias("kind"))
+    t.events.filter("event_id % 2 = 1").select(wide.alias("body")).write.mode("append").json(src)
+    S.run_until_stable(load)
+    return K.read_table(t.spark, out, merge_schema=True).select("body.event_id", "body.amount", "body.kind")
+
+
 @query("with_file_metadata", "SELECT event_id, 'events.parquet' AS file_name FROM events")
 def _(t):
     e = S.with_file_metadata(t.events)

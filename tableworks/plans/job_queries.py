@@ -239,7 +239,7 @@ def _(t):
         half = F.floor((stamp - bounds[0]) / ((bounds[1] - bounds[0]) // 2 + 1)) == i
         lines.filter(half).select("value").coalesce(1).write.mode("append").text(raw)
     out = jobs.clickstream_sessions(t.spark, raw, scratch_path(t.spark, "clicks"),
-                                    '{"event_id": 1, "user_id": 1, "action": "view", "event_date": 1700000000}', _GAP)
+                                    '{"event_id": 1, "user_id": 1, "action": "view", "event_date": 1700000000}', _GAP, max_files=1)
     return ntz(out["sessions"].select("user_id", "start", "end", "click_count"), "start", "end")
 
 

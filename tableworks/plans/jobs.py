@@ -212,9 +212,10 @@ def cdc_sync(spark: SparkSession, raw: str, base: str, schema: str, keys: Sequen
     return {"current": current, "history": history, "feed": feed, "gold": H.consume_feed(feed, before, keys)}
 
 
-def clickstream_sessions(spark: SparkSession, raw: str, base: str, example: str, gap_seconds: int) -> Frames:
+def clickstream_sessions(spark: SparkSession, raw: str, base: str, example: str, gap_seconds: int,
+                         max_files: int | None = None) -> Frames:
     """JSON messages to clean events to sessions: three chained streams with their own checkpoints."""
-    messages = R.stream_files(spark, raw, "value string", "text", max_files=1)
+    messages = R.stream_files(spark, raw, "value string", "text", max_files=max_files)
     typed = S.parse_messages(messages, example, ["event_date"], required=["event_id"])
     R.run_to_files(R.dedup_stream(typed, ["event_id"], "event_date", "1 hour"), f"{base}/silver", f"{base}/ckpt/silver")
     silver = R.stream_files(spark, f"{base}/silver", spark.read.parquet(f"{base}/silver").schema)

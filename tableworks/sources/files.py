@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,18 +107,41 @@ def apply_hints(schema: T.StructType, hints: str | None) -> T.StructType:
 def evolve_schema(old: T.StructType, new: T.StructType, mode: str = "addNewColumns") -> tuple[T.StructType, bool]:
     """The schema to go on with, and whether it grew.
 
-    ``addNewColumns`` appends unknown columns, ``failOnNewColumns`` raises,
-    ``rescue`` and ``none`` keep the old schema.
+    ``addNewColumns`` appends unknown columns and unknown fields of structs,
+    ``failOnNewColumns`` raises, ``rescue`` and ``none`` keep the old schema.
     """
-    known = {f.name.lower() for f in old}
-    extra = [f for f in new if f.name.lower() not in known]
-    if not extra or mode in ("rescue", "none"):
+    wider = _merged(old, new)
+    if wider == old or mode in ("rescue", "none"):
         return old, False
     if mode == "failOnNewColumns":
-        raise SchemaChanged(f"new columns: {[f.name for f in extra]}")
+        raise SchemaChanged(f"new columns: {unknown_fields(new, old).simpleString()}")
     if mode != "addNewColumns":
         raise ValueError(f"unknown mode {mode!r}")
-    return T.StructType([*old, *extra]), True
+    return wider, True
+
+
+def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
+    """``old`` with the fields that only ``new`` has, at every level of structs; known fields keep their types."""
+    found = {f.name.lower(): f for f in new}
+    fields = []
+    for f in old:
+        other = found.pop(f.name.lower(), None)
+        both = other is not None and isinstance(f.dataType, T.StructType) and isinstance(other.dataType, T.StructType)
+        fields.append(T.StructField(f.name, _merged(f.dataType, other.dataType), f.nullable, f.metadata) if both else f)
+    return T.StructType([*fields, *found.values()])
+
+
+def unknown_fields(found: T.StructType, known: T.StructType) -> T.StructType:
+    """What ``found`` has and ``known`` lacks; a known struct is there with its unknown fields only."""
+    types = {f.name.lower(): f.dataType for f in known}
+    fields = []
+    for f in found:
+        have = types.get(f.name.lower())
+        if have is None:
+            fields.append(f)
+        elif isinstance(have, T.StructType) and isinstance(f.dataType, T.StructType) and (inner := unknown_fields(f.dataType, have)).fields:
+            fields.append(T.StructField(f.name, inner))
+    return T.StructType(fields)
 
 
 class SchemaChanged(RuntimeError):
@@ -131,29 +154,62 @@ def rescue_json(lines: DataFrame, schema: T.StructType, column: str = "value", k
     """JSON lines to typed columns; what does not fit stays as JSON in ``_rescued_data``.
 
     A field lands there when the schema lacks it or its value does not convert;
-    a line that is no JSON object lands there whole. No row is lost. Works on
+    a line that is no JSON object lands there whole. Fields of structs are
+    judged one by one and land under their path (``a.x``; a name with a dot is
+    quoted by backticks), an array or map with a misfit inside lands there
+    whole. Of a repeated name the first misfit stays. No row is lost. Works on
     streams too.
     """
-    typed = F.from_json(column, schema)
-    loose = F.from_json(column, "map<string,string>")
-    parsed = lines.withColumns({"_typed": typed, "_loose": loose})
+    parsed = lines.withColumns({"_typed": F.from_json(column, schema), "_loose": F.from_json(column, _LOOSE)})
+    found = misfits(F.col("_loose"), F.col("_typed"), schema)
+    parsed = parsed.withColumn("_odd", found).withColumn("_keys", F.transform("_odd", lambda e: e["key"]))
+    once = F.filter("_odd", lambda e, i: F.array_position("_keys", e["key"]) == i + 1)
     names = [f.name for f in schema]
-    failed = F.array_compact(F.array(*[
-        F.when(F.col("_typed").getField(n).isNull(), F.lit(n)) for n in names
-    ]))
-    parsed = parsed.withColumn("_failed", failed)
-    known = F.array(*[F.lit(n) for n in names])
-    odd = F.map_filter(
-        "_loose",
-        lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | F.array_contains(F.col("_failed"), k)),
-    )
     rescued = F.when(F.col("_loose").isNull(), F.to_json(F.create_map(F.lit("_raw"), F.col(column)))).when(
-        F.size(odd) > 0, F.to_json(odd))
+        F.size("_odd") > 0, F.to_json(F.map_from_entries(once)))
     others = [c for c in lines.columns if c != column]
     fields = [F.col("_typed").getField(n).alias(n) for n in names]
     return parsed.select(*fields, *([rescued.alias(RESCUED)] if keep_rescued else []), *others)
 
 
+_LOOSE = "map<string,string>"
+
+
+def misfits(loose: Column, typed: Column, schema: T.StructType, prefix: str = "") -> Column:
+    """Array of (path, text) of what ``typed`` does not hold of the JSON object ``loose`` (name to text): known fields, then unknown ones."""
+    names = F.array(*[F.lit(f.name) for f in schema]).cast("array<string>")
+    quoted = lambda k: F.when(F.contains(k, F.lit(".")), F.concat(F.lit(f"{prefix}`"), k, F.lit("`"))).otherwise(F.concat(F.lit(prefix), k))
+    unknown = F.filter(F.map_entries(loose), lambda e: e["value"].isNotNull() & ~F.array_contains(names, e["key"]))
+    parts = []
+    for f in schema:
+        path = prefix + (f"`{f.name}`" if "." in f.name else f.name)
+        text, value = F.element_at(loose, F.lit(f.name)), typed.getField(f.name)
+        whole = F.array(F.struct(F.lit(path).alias("key"), text.alias("value")))
+        if isinstance(f.dataType, T.StructType):
+            inner = F.from_json(text, _LOOSE)
+            odd = F.when(inner.isNotNull(), misfits(inner, value, f.dataType, f"{path}.")).when(text.isNotNull(), whole)
+        else:
+            odd = F.when(_misfit(text, value, f.dataType), whole)
+        parts.append(odd)
+    parts.append(F.transform(unknown, lambda e: F.struct(quoted(e["key"]).alias("key"), e["value"].alias("value"))))
+    return F.concat(*[F.coalesce(p, F.array().cast("array<struct<key:string,value:string>>")) for p in parts])
+
+
+def _misfit(text: Column, value: Column, kind: T.DataType) -> Column:
+    """Whether the JSON value ``text`` lost something on its way to ``value``."""
+    lost = text.isNotNull() & value.isNull()
+    if isinstance(kind, T.StructType):
+        inner = F.from_json(text, _LOOSE)
+        return text.isNotNull() & (inner.isNull() | (F.size(misfits(inner, value, kind)) > 0))
+    if isinstance(kind, T.ArrayType):
+        pairs = F.zip_with(F.from_json(text, "array<string>"), value, lambda x, v: _misfit(x, v, kind.elementType))
+        return lost | F.coalesce(F.exists(pairs, lambda odd: odd), F.lit(False))
+    if isinstance(kind, T.MapType):
+        texts = F.map_entries(F.from_json(text, _LOOSE))
+        return lost | F.coalesce(F.exists(texts, lambda e: _misfit(e["value"], F.element_at(value, e["key"].cast(kind.keyType)), kind.valueType)), F.lit(False))
+    return lost
+
+
 def read_with_rescue(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str, **options: str) -> DataFrame:
     """Batch read of json or csv that keeps every row (see ``rescue_json``)."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -238,19 +294,23 @@ def ingest_evolving(spark: SparkSession, path: str, store: str, checkpoint: str,
 
 
 def json_schema(lines: DataFrame, column: str, known: T.StructType) -> T.StructType:
-    """Fields that occur in JSON lines but not in ``known``, found by one aggregate."""
+    """Fields, also those of structs, that occur in JSON lines but not in ``known``, found by one aggregate."""
     parsed = lines.select(F.try_parse_json(column).alias("v"))
     text = parsed.agg(F.schema_of_variant_agg("v")).first()[0]
     if not text or not text.startswith("OBJECT<"):
         return T.StructType([])
     ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
     found = T.StructType.fromDDL(f"r {ddl}")["r"].dataType
-    names = {f.name for f in known}
-    # numbers with a fraction are read as double
-    return T.StructType([
-        T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.DecimalType) else f.dataType)
-        for f in found if f.name not in names
-    ])
+    return unknown_fields(_fractions_as_double(found), known)
+
+
+def _fractions_as_double(kind: T.DataType) -> T.DataType:
+    """Numbers with a fraction are read as double."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _fractions_as_double(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_fractions_as_double(kind.elementType))
+    return T.DoubleType() if isinstance(kind, T.DecimalType) else kind
 
 
 def run_until_stable(start: Callable[[], None], limit: int = 20, wait: float = 0.0) -> int:

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +48,31 @@ def test_rescue_keeps_broken_lines(spark):
     assert [(r.a, r[files.RESCUED]) for r in got] == [(None, '{"_raw":"{broken"}'), (1, '{"b":"{\\"c\\":2}"}')]
 
 
+def test_rescue_nested_fields(spark):
+    schema = T.StructType.fromDDL("a struct<x int, y int, s struct<p int>>, l array<int>, m map<string,int>")
+    cases = [
+        ('{"a": {"x": "bad", "y": 2, "z": 9}}', {"a.x": "bad", "a.z": "9"}, 2),
+        ('{"a": {"y": 3, "s": {"p": "no", "q.r": 1}}}', {"a.s.p": "no", "a.s.`q.r`": "1"}, 3),
+        ('{"a": 5}', {"a": "5"}, None),
+        ('{"a": {"y": 4}, "l": [1, "two"]}', {"l": '[1,"two"]'}, 4),
+        ('{"a": {"y": 5}, "m": {"k": "v"}}', {"m": '{"k":"v"}'}, 5),
+        ('{"a": {"x": 1, "y": 6, "s": {"p": 2}}, "l": [1, null], "m": {"k": 1}}', None, 6),
+        ('{"a": null}', None, None),
+    ]
+    got = files.rescue_json(spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, value string"), schema).orderBy("i").collect()
+    assert [json.loads(r[files.RESCUED]) if r[files.RESCUED] else None for r in got] == [c[1] for c in cases]
+    assert [r.a.y if r.a else None for r in got] == [c[2] for c in cases]
+
+
+def test_evolution_of_structs():
+    old = T.StructType.fromDDL("a struct<x int>, b int")
+    new = T.StructType.fromDDL("a struct<x string, y string>, c int")
+    wider, grew = files.evolve_schema(old, new)
+    assert grew and wider == T.StructType.fromDDL("a struct<x int, y string>, b int, c int")
+    assert files.evolve_schema(wider, new) == (wider, False)
+    assert files.unknown_fields(new, old) == T.StructType.fromDDL("a struct<y string>, c int")
+
+
 def test_csv_rescue_drops_incomplete(spark, tmp_path):
     path = tmp_path / "spend"
     path.mkdir()
@@ -91,6 +118,15 @@ def test_evolving_load_restarts_once_per_change(spark, tmp_path):
     assert [r[files.RESCUED] for r in got.filter("a = 4").collect()] == ['{"d":"1"}']
 
 
+def test_evolving_load_adds_fields_of_structs(spark, tmp_path):
+    src, store, ckpt, out = (str(tmp_path / n) for n in ("src", "store", "ckpt", "out"))
+    spark.createDataFrame([('{"a": {"x": 1}}',)], "value string").write.text(src)
+    files.run_until_stable(lambda: files.ingest_evolving(spark, src, store, ckpt, out, "a struct<x int>"))
+    spark.createDataFrame([('{"a": {"x": 2, "y": 0.5}}',)], "value string").write.mode("append").text(src)
+    assert files.run_until_stable(lambda: files.ingest_evolving(spark, src, store, ckpt, out, "a struct<x int>")) == 2
+    assert rows(tables.read_table(spark, out, merge_schema=True), "a.x", "a.y") == [(1, None), (2, 0.5)]
+
+
 def test_copy_into_loads_each_file_once(spark, tmp_path):
     src, table = str(tmp_path / "src"), str(tmp_path / "table")
     spark.range(3).coalesce(1).write.json(src)
