@@ -1,10 +1,10 @@
 """Ordered per-key scans that stay balanced when one key holds most rows.
 
 ``Window.partitionBy(key)`` sends a whole key to one task. The functions here
-first look for keys with more rows than a task should take (one aggregate; the
-list is short by construction, see ``hot_keys``). Without any, a plain window
-over one shuffle does the work. Otherwise the hot keys, and only those, are cut
-into *blocks* along their ordering column:
+first look for keys with more rows than a task should take (one aggregate).
+Without any, a plain window over one shuffle does the work. Otherwise the hot
+keys, and only those, are cut into *blocks* of equal rows along their ordering
+column:
 
 1. aggregate every (key, block) to one summary row (map-side combined),
 2. fold the summaries over the earlier (or later) blocks of the key: one row
@@ -19,16 +19,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import materialise
 
 DAY = 86_400
 
 # rows of one key that one task may take before the key is cut
 TARGET_ROWS = 5_000_000
-# hot keys travel to all tasks; there are never more than this many
-MAX_HOT_KEYS = 10_000
 
 
 class Carry(NamedTuple):
@@ -68,50 +67,62 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def hot_keys(cut: DataFrame, target_rows: int | None = None) -> list[Row]:
-    """Keys (column ``_key``) with more than ``target_rows`` rows, with the range of ``_along``.
+def hot_keys(cut: DataFrame) -> DataFrame | None:
+    """Stored table of the keys (column ``_key``) with more than ``TARGET_ROWS`` rows: ``_n``, ``_lo``, ``_hi`` of ``_along``.
 
-    At most rows / target_rows keys qualify. Should they be more than
-    ``MAX_HOT_KEYS``, the bound is raised until they fit, so the list is small.
+    At most rows / ``TARGET_ROWS`` keys qualify; none gives None.
     """
-    target = target_rows or TARGET_ROWS
     counts = cut.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_along").alias("_lo"), F.max("_along").alias("_hi"))
-    while True:
-        found = counts.filter(F.col("_n") > target).limit(MAX_HOT_KEYS + 1).collect()
-        if len(found) <= MAX_HOT_KEYS:
-            return found
-        target *= 10
+    found = materialise(counts.filter(F.col("_n") > TARGET_ROWS), "hot-keys")
+    return None if found.isEmpty() else found
+
+
+def _block_bounds(cut: DataFrame, hot: DataFrame) -> DataFrame:
+    """Per hot key the values of ``_along`` at which its blocks begin: ``_step`` bounds in each array of ``_bounds``.
+
+    The bounds are quantiles, so blocks are equal in rows and not in width. The
+    summary they come from grows with the blocks, not with the rows.
+    """
+    most = -(-hot.agg(F.max("_n")).first()[0] // TARGET_ROWS)
+    shares = [i / most for i in range(1, most)]
+    # ten times finer than a block
+    bounds = cut.join(hot.select("_key", "_n"), "_key").groupBy("_key", "_n").agg(
+        F.percentile_approx("_along", shares, 10 * most + 1_000).alias("_all"))
+    each = F.greatest(F.lit(1), F.floor(F.lit(most) / F.ceil(F.col("_n") / F.lit(TARGET_ROWS)))).cast("int")
+    own = F.array_distinct(F.filter("_all", lambda x, i: (i + 1) % F.col("_each") == 0))
+    step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_own"))).cast("int"))
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("_own") / F.col("_step")).cast("int") - 1)),
+        lambda c: F.slice("_own", c * F.col("_step") + 1, F.col("_step")))
+    # a key without any value has no bounds; all its rows are in the block of nulls
+    bounds = bounds.withColumn("_each", each).withColumn("_own", own).withColumn("_step", step)
+    return bounds.select("_key", "_n", "_step", F.when(F.size("_own") > 0, chunks).alias("_bounds"))
 
 
 def cut_blocks(df: DataFrame, keys: Sequence[str], along: Column, width: float | None = None) -> tuple[DataFrame, bool]:
     """Add ``_key`` and ``_block``; tells whether any key has several blocks.
 
     ``along`` is a number that rises with the order. A hot key gets blocks of
-    equal width, as many as its rows need; a given ``width`` is used for all
-    keys instead.
+    about ``TARGET_ROWS`` rows each; rows with equal ``along`` stay in one, as
+    do those without. A given ``width`` is used for all keys instead.
     """
     cut = df.withColumn("_key", key_struct(keys)).withColumn("_along", along.cast("double"))
     if width is not None:
         block = F.floor(F.col("_along") / F.lit(float(width))).cast("long")
         return cut.withColumn("_block", F.coalesce(block, F.lit(-(2**62)))).drop("_along"), True
     hot = hot_keys(cut)
-    if not hot:
+    if hot is None:
         return cut.withColumn("_block", F.lit(0).cast("long")).drop("_along"), False
-    rows = []
-    for h in hot:
-        pieces = -(-h["_n"] // TARGET_ROWS)
-        lo = h["_lo"] if h["_lo"] is not None else 0.0
-        span = (h["_hi"] - lo) if h["_hi"] is not None else 0.0
-        rows.append((h["_key"], float(lo), max(span / pieces, 1e-9)))
-    schema = T.StructType([
-        T.StructField("_key", cut.schema["_key"].dataType), T.StructField("_lo", T.DoubleType()), T.StructField("_width", T.DoubleType())])
-    table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))  # at most MAX_HOT_KEYS rows
-    joined = cut.join(table, "_key", "left")
-    block = F.floor((F.col("_along") - F.col("_lo")) / F.col("_width")).cast("long")
+    joined = cut.join(materialise(_block_bounds(cut, hot), "block-bounds"), "_key", "left")
+    # bounds not above the row's value: first whole arrays, then inside the last of them
+    passed = lambda bounds: F.size(F.filter(bounds, lambda b: b <= F.col("_along")))
+    arrays = passed(F.transform("_bounds", lambda c: F.get(c, F.lit(0))))
+    block = F.when(F.col("_arrays") > 0, (F.col("_arrays") - 1) * F.col("_step") + passed(F.get("_bounds", F.col("_arrays") - 1))).otherwise(0)
     # nulls sort first, and other keys have one block
-    block = F.when(F.col("_width").isNull(), F.lit(0)).otherwise(F.coalesce(block, F.lit(-1)))
-    return joined.withColumn("_block", block.cast("long")).drop("_along", "_lo", "_width"), True
+    block = F.when(F.col("_n").isNull(), 0).when(F.col("_along").isNull(), -1).otherwise(block)
+    out = joined.withColumn("_arrays", arrays).withColumn("_block", block.cast("long"))
+    return out.drop("_along", "_n", "_step", "_bounds", "_arrays"), True
 
 
 def carry_in(df: DataFrame, carries: Sequence[Carry], split: bool = True) -> DataFrame:
@@ -254,11 +265,11 @@ def rolling_range(
     cut = df.withColumn("_key", key_struct(keys)).withColumn("_along", epoch_micros(ts).cast("double"))
     hot = hot_keys(cut)
     cold = cut
-    if hot:
-        schema = T.StructType([T.StructField("_key", cut.schema["_key"].dataType)])
-        table = F.broadcast(df.sparkSession.createDataFrame([(h["_key"],) for h in hot], schema))  # at most MAX_HOT_KEYS rows
+    if hot is not None:
+        table = hot.select("_key")
         cold = cut.join(table, "_key", "left_anti")
-        busiest = max(h["_n"] / max(h["_hi"] - h["_lo"], 1.0) for h in hot if h["_lo"] is not None) if any(h["_lo"] is not None for h in hot) else 1.0
+        density = F.max(F.col("_n") / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0)))
+        busiest = hot.agg(density).first()[0] or 1.0
         pieces = _divisor(seconds * 1_000_000, busiest * seconds * 1_000_000 / TARGET_ROWS)
         hot_part = _rolling_blocks(
             cut.join(table, "_key", "left_semi").select(*df.columns), keys, ts, seconds, outputs, pieces)
@@ -267,7 +278,7 @@ def rolling_range(
     plain = cold.withColumn("_t", epoch_micros(ts)).withColumns(
         {name: agg[fn](c).over(w) for name, (fn, c) in outputs.items()}
     ).select(*df.columns, *outputs)
-    return plain.unionByName(hot_part) if hot else plain
+    return plain if hot is None else plain.unionByName(hot_part)
 
 
 def _divisor(span: int, wanted: float) -> int:

@@ -111,10 +111,21 @@ def test_hot_keys_are_cut(skewed):
         assert cut.select("_block").distinct().count() == 1
 
 
-def test_hot_key_list_stays_short(skewed, monkeypatch):
-    monkeypatch.setattr(blocks, "MAX_HOT_KEYS", 2)
-    cut = skewed.withColumn("_key", blocks.key_struct(["k"])).withColumn("_along", F.col("value"))
-    assert len(blocks.hot_keys(cut, target_rows=5)) <= 2
+@pytest.mark.parametrize("odd,blocks_least,most", [
+    ("IF(id = 0, TIMESTAMP '1970-01-01', ts)", 50, 30),  # one old time does not widen the blocks
+    ("IF(id % 4 = 0, NULL, ts)", 30, 150),  # rows without a time are one block of their own
+    ("TIMESTAMP '2024-01-01'", 1, 600),  # equal times cannot be told apart
+    ("CAST(NULL AS TIMESTAMP)", 1, 600),
+])
+def test_blocks_hold_equal_rows(spark, monkeypatch, odd, blocks_least, most):
+    monkeypatch.setattr(blocks, "TARGET_ROWS", 10)
+    rows_ = spark.range(600).selectExpr("id", "timestampadd(SECOND, CAST(id AS INT), TIMESTAMP '2024-01-01') AS ts")
+    df = rows_.selectExpr("CASE WHEN id < 599 THEN 'hot' END AS k", f"{odd} AS ts", "id")
+    cut, split = blocks.cut_blocks(df, ["k"], blocks.epoch_micros("ts"))
+    sizes = [r["count"] for r in cut.groupBy("_key", "_block").count().collect()]
+    assert split and sum(sizes) == 600 and len(sizes) >= blocks_least and max(sizes) <= most
+    got = windows.sequence_number(df, ["k"], ["ts", "id"], blocks.epoch_micros("ts"))
+    assert rows(got) == rows(df.withColumn("seq", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id"))))
 
 
 def test_back_adjust(skewed):
