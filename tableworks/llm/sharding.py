@@ -1,31 +1,87 @@
-"""Sharding by balanced label propagation."""
+"""Sharding by packing groups of equal texts under row quotas."""
 
 from __future__ import annotations
 
+from collections import defaultdict
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, finish
-from .spread import attach, number_rows, quota_cut
+from .spread import attach, number_rows
 
 OVERHEAD = 16
 
+Run = tuple[int, int, int, int]  # members of the groups, first row place, rows, shard
+
+
+def pack(classes: list[tuple[int, int]], quotas: list[int]) -> list[Run]:
+    """Runs of row places for the shards, which fill every quota.
+
+    ``classes``: (members, groups), most members first; row places count through
+    them group by group. A group above the quota fills whole shards, and what is
+    left of it is packed like a group. Groups that fit no shard whole at their
+    turn are cut over the shards with most room; each cut fills a shard, so
+    there are fewer cuts than shards.
+    """
+    return _packed(classes, quotas)[1]
+
+
+def _packed(classes: list[tuple[int, int]], quotas: list[int]) -> tuple[int, list[Run]]:
+    free, runs, pieces, at, cuts = np.array(quotas, dtype=np.int64), [], [], 0, 0
+    most = max(quotas)
 
-def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    def put(members: int, place: int, rows: int, shard: int) -> int:
+        runs.append((members, place, rows, shard))
+        free[shard] -= rows
+        return place + rows
+
+    for members, groups in classes:
+        if members <= most:
+            pieces.append((members, members, at, groups))
+            at += members * groups
+            continue
+        for _ in range(groups):  # fewer than shards
+            place, at = at, at + members
+            while at - place >= free.max() > 0:
+                place = put(members, place, int(free.max()), int(free.argmax()))
+            if place < at:
+                pieces.append((at - place, members, place, 1))
+    for size, members, place, count in sorted(pieces, key=lambda p: -p[0]):
+        fit = _first_fit(free, size, count)
+        for shard in np.flatnonzero(fit).tolist():
+            place = put(members, place, size * int(fit[shard]), shard)
+        for _ in range(count - int(fit.sum())):
+            left = size
+            while left:
+                shard = int(free.argmax())
+                rows = min(left, int(free[shard]))
+                place, left = put(members, place, rows, shard), left - rows
+                cuts += left > 0
+    return cuts, runs
+
+
+def _first_fit(free: np.ndarray, size: int, count: int) -> np.ndarray:
+    """Whole groups of ``size`` per shard, the first shards filled first."""
+    fits = free // size
+    return np.clip(count - (np.cumsum(fits) - fits), 0, fits)
+
+
+def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Shards of equal row counts that keep equal texts together: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Law ``rows``: the shards' counts differ by one at most. Rows with equal
-    texts are linked. They start dealt round over the shards and then move:
-    in each round a group looks at its rows per shard, prefers the shard with
-    most of them that has room, and asks to move the others there. A shard's
-    free rows are its quota; requests are granted by the size of the group at
-    the target until the quota is used. State and requests are rows per (group,
-    shard), never documents, so a group of a third of all rows is at most
-    ``shards`` rows; it fills whole shards and is cut only where they are full.
-    Rows without equals have no links and fill what is left. Slots number a
-    shard's rows by id.
-
-    A null text has size ``OVERHEAD``, no checksum, and no links. Null ids are
+    texts are a group. Rows are numbered by the members of their group, most
+    first, and group by group; the driver sees how many groups there are of each
+    member count (n rows have less than sqrt(2 n) counts) and ``pack`` deals
+    runs of row numbers to the shards, never documents. A group of more rows
+    than a shard holds fills whole shards and goes to the fewest that can hold
+    it where the rest finds room; others are cut only where no shard has room
+    for them whole, in all fewer cuts than shards. Rows without equals are
+    groups of one and fill what is left. Slots number a shard's rows by id.
+
+    A null text has size ``OVERHEAD``, no checksum, and no equals. Null ids are
     numbered first. Rows that repeat id and text are rows of their own. Empty
     tables give no rows.
     """
@@ -37,66 +93,19 @@ def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6, doc_id:
     linked = base.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     linked = scratch.write(linked.withColumnRenamed("group", "l_group"), "linked")
     marked = base.join(linked, F.col("group") == F.col("l_group"), "left")
-    # linked rows first, group by group; ``place`` numbers all rows
-    single = F.col("l_group").isNull()
-    placed = number_rows(marked.select("doc_id", "size", "text_crc32", single.cast("int").alias("single"), F.when(~single, F.col("group")).alias("group")),
-                         [], ["single", "group", "doc_id"], scratch, "place")
-    placed = scratch.write(placed, "placed")
-
-    total, in_groups = placed.agg(F.count(F.lit(1)), F.coalesce(F.sum(1 - F.col("single")), F.lit(0))).first()
-    quotas = [total // shards + (s < total % shards) for s in range(shards)]
-    starts = placed.filter("single = 0").groupBy("group").agg(F.min("place").alias("start"), F.count(F.lit(1)).alias("members"))
-    starts = scratch.write(starts, "starts")
-    # round-robin by place: shard s holds the places s, s + shards, ...
-    each = starts.select("group", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "start", "members")
-    upto = lambda p: F.floor((p + shards - 1 - F.col("shard")) / shards)  # noqa: E731  places below p in this shard
-    state = each.withColumn("n", (upto(F.col("start") + F.col("members")) - upto(F.col("start"))).cast("long")).filter("n > 0").select("group", "shard", "n")
-    state = scratch.write(state, "state")
-
-    free_of = lambda loads: [q - loads.get(s, 0) for s, q in enumerate(quotas)]
-    for turn in range(rounds):
-        free = free_of({r.shard: r.n for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()})  # one row per shard
-        room = F.array(*[F.lit(int(f)) for f in free])
-        parts = state.groupBy("group").agg(F.collect_list(F.struct("n", F.xxhash64("group", "shard", F.lit(turn)).alias("tie"), "shard")).alias("parts"))
-        # a shard can be preferred if the group's smallest part still fits there
-        fits = F.filter("parts", lambda p: F.get(room, p["shard"]) >= F.array_min(F.col("parts.n")))
-        wish = parts.select(F.col("group").alias("w_group"), F.array_max(fits).alias("best")).filter("best IS NOT NULL")
-        wish = wish.select("w_group", F.col("best.shard").alias("to"), F.col("best.n").alias("there"))
-        asks = state.join(wish, F.col("group") == F.col("w_group")).filter("shard <> to").select("group", "shard", "to", "n", "there")
-        # rows move towards the larger part only, or towards the tie's choice
-        asks = scratch.write(asks.filter("n <= there"), "asks")
-        wanted = {r.to: r.n for r in asks.groupBy("to").agg(F.sum("n").alias("n")).collect()}
-        if not wanted:
-            break
-        tight = [s for s in wanted if wanted[s] > free[s]]
-        granted = asks
-        if tight:
-            rank = (F.lit(2**16 - 1) - F.least("there", F.lit(2**16 - 1))) * 2**32 + F.pmod(F.xxhash64("group", "shard", F.lit(turn)), F.lit(2**32))
-            ranked = asks.select("to", rank.cast("long").alias("rank"), F.col("n").alias("size"))
-            few = docs.sparkSession.createDataFrame([(s, free[s]) for s in tight], "to int, quota long")
-            cuts = scratch.write(quota_cut(ranked, scratch.write(few, "quota"), "to", scratch), "cuts")
-            granted = attach(asks.withColumn("rank", rank.cast("long")), cuts, ["to"], "left").filter(F.col("cut").isNull() | (F.col("rank") < F.col("cut")))
-        granted = scratch.write(granted.select("group", "shard", "to", "n"), "granted")
-        moves = granted.select("group", "shard", (-F.col("n")).alias("n")).unionByName(granted.select("group", F.col("to").alias("shard"), "n"))
-        previous, state = state, scratch.write(state.unionByName(moves).groupBy("group", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "state")
-        scratch.drop(previous, asks)
-        if granted.isEmpty():
-            break
-
-    free = free_of({r.shard: r.n for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()})
-    # a group's rows go to its shards in runs; singles go to the shards' free rows in runs
-    runs_of = state.groupBy(F.col("group").alias("g")).agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("parts"))
-    runs_of = scratch.write(runs_of.join(starts.select("group", "start"), F.col("g") == F.col("group")).select("g", "parts", "start"), "runs")
-    grouped = placed.filter("single = 0").join(runs_of, F.col("group") == F.col("g"))
-    step = lambda a, p: F.struct(
-        F.when(a["shard"].isNull() & (a["left"] < p["n"]), p["shard"]).otherwise(a["shard"]).alias("shard"), (a["left"] - p["n"]).alias("left"))
-    first = F.struct(F.lit(None).cast("int").alias("shard"), (F.col("place") - F.col("start")).cast("long").alias("left"))
-    grouped = grouped.withColumn("shard", F.aggregate("parts", first, step, lambda a: a["shard"]))
-    parts = F.array(*[F.struct(F.lit(s).alias("shard"), F.lit(int(f)).cast("long").alias("n")) for s, f in enumerate(free)])
-    first = F.struct(F.lit(None).cast("int").alias("shard"), (F.col("place") - int(in_groups)).cast("long").alias("left"))
-    singles = placed.filter("single = 1").withColumn("shard", F.aggregate(parts, first, step, lambda a: a["shard"]))
-    columns = ["doc_id", "size", "text_crc32", "shard"]
-    both = scratch.write(grouped.select(*columns).unionByName(singles.select(*columns)), "sharded")
+    # the largest groups first, group by group; ``place`` numbers all rows
+    marked = marked.select("doc_id", "size", "text_crc32", F.col("l_group").alias("group"), (-F.coalesce("members", F.lit(1))).alias("order"))
+    placed = scratch.write(number_rows(marked, [], ["order", "group", "doc_id"], scratch, "place"), "placed")
+
+    classes = [(-r.order, r.n // -r.order) for r in placed.groupBy("order").agg(F.count(F.lit(1)).alias("n")).orderBy("order").collect()]
+    total = sum(m * n for m, n in classes)
+    runs = defaultdict(list)
+    for members, place, rows, shard in pack(classes, [total // shards + (s < total % shards) for s in range(shards)]):
+        runs[-members].append((place + rows, shard))
+    dealt = docs.sparkSession.createDataFrame([(k, sorted(v)) for k, v in runs.items()], "order long, runs array<struct<upto: long, shard: int>>")
+    dealt = scratch.write(dealt, "runs")
+    shard = F.get(F.filter("runs", lambda r: r["upto"] > F.col("place")), 0)["shard"]
+    both = scratch.write(attach(placed, dealt, ["order"]).select("doc_id", "size", "text_crc32", shard.alias("shard")), "sharded")
     out = number_rows(both, ["shard"], ["doc_id", "text_crc32"], scratch, "slot")
     out = out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
     return finish(scratch, out, "shards")

@@ -457,6 +457,17 @@ def test_shards_are_even_and_keep_groups(s, messy, empty):
     assert sharding.shard_documents(empty).collect() == []
 
 
+def test_a_hot_group_goes_to_the_fewest_shards(s):
+    for beside in (lambda i: f"single {i}", lambda i: f"pair {i // 3}"):
+        rows = [doc(i, "hot" if i % 3 == 0 else beside(i)) for i in range(6000)]
+        got = sharding.shard_documents(s.createDataFrame(rows, SCHEMA)).collect()
+        assert set(Counter(r.shard for r in got).values()) == {150} and len({r.doc_id for r in got}) == 6000
+        places = defaultdict(set)
+        for r in got:
+            places[rows[r.doc_id][1]].add(r.shard)
+        assert len(places.pop("hot")) == 14 and sum(len(p) > 1 for p in places.values()) == 0
+
+
 # --- op10 --------------------------------------------------------------------------------------------------------------
 
 
