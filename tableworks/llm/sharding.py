@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import product
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -23,13 +24,15 @@ def pack(classes: list[tuple[int, int]], quotas: list[int]) -> list[Run]:
     them group by group. A group above the quota fills whole shards, and what is
     left of it is packed like a group. Groups that fit no shard whole at their
     turn are cut over the shards with most room; each cut fills a shard, so
-    there are fewer cuts than shards.
+    there are fewer cuts than shards. Of four ways to pack (shards filled one by
+    one or evenly, cuts made in turn or last) the one with fewest cuts is taken.
     """
-    return _packed(classes, quotas)[1]
+    ways = [_packed(classes, quotas, evenly, last) for evenly, last in product((False, True), repeat=2)]
+    return min(ways, key=lambda w: w[0])[1]
 
 
-def _packed(classes: list[tuple[int, int]], quotas: list[int]) -> tuple[int, list[Run]]:
-    free, runs, pieces, at, cuts = np.array(quotas, dtype=np.int64), [], [], 0, 0
+def _packed(classes: list[tuple[int, int]], quotas: list[int], evenly: bool, last: bool) -> tuple[int, list[Run]]:
+    free, runs, pieces, uncut, at, cuts = np.array(quotas, dtype=np.int64), [], [], [], 0, 0
     most = max(quotas)
 
     def put(members: int, place: int, rows: int, shard: int) -> int:
@@ -37,6 +40,14 @@ def _packed(classes: list[tuple[int, int]], quotas: list[int]) -> tuple[int, lis
         free[shard] -= rows
         return place + rows
 
+    def cut(size: int, members: int, place: int) -> int:
+        parts = 0
+        while size:
+            shard = int(free.argmax())
+            rows = min(size, int(free[shard]))
+            place, size, parts = put(members, place, rows, shard), size - rows, parts + 1
+        return parts - 1
+
     for members, groups in classes:
         if members <= most:
             pieces.append((members, members, at, groups))
@@ -49,16 +60,15 @@ def _packed(classes: list[tuple[int, int]], quotas: list[int]) -> tuple[int, lis
             if place < at:
                 pieces.append((at - place, members, place, 1))
     for size, members, place, count in sorted(pieces, key=lambda p: -p[0]):
-        fit = _first_fit(free, size, count)
+        fit = _even_fit(free, size, count) if evenly else _first_fit(free, size, count)
         for shard in np.flatnonzero(fit).tolist():
             place = put(members, place, size * int(fit[shard]), shard)
-        for _ in range(count - int(fit.sum())):
-            left = size
-            while left:
-                shard = int(free.argmax())
-                rows = min(left, int(free[shard]))
-                place, left = put(members, place, rows, shard), left - rows
-                cuts += left > 0
+        rest = [(size, members, place + size * k) for k in range(count - int(fit.sum()))]  # fewer than shards
+        if last:
+            uncut += rest
+        else:
+            cuts += sum(cut(*r) for r in rest)
+    cuts += sum(cut(*r) for r in uncut)
     return cuts, runs
 
 
@@ -68,6 +78,21 @@ def _first_fit(free: np.ndarray, size: int, count: int) -> np.ndarray:
     return np.clip(count - (np.cumsum(fits) - fits), 0, fits)
 
 
+def _even_fit(free: np.ndarray, size: int, count: int) -> np.ndarray:
+    """Whole groups of ``size`` per shard, the shard with most room first."""
+    fits = free // size
+    count = min(count, int(fits.sum()))
+    # the groups that bring every shard down to at most ``level`` free rows; the lowest ``high`` has too few of them
+    to = lambda level: np.minimum(fits, -(-np.maximum(free - level, 0) // size))
+    low, high = 0, int(free.max()) + 1
+    while high - low > 1:
+        level = (low + high) // 2
+        low, high = (level, high) if to(level).sum() >= count else (low, level)
+    few, many = to(high), to(low)
+    more = many - few
+    return few + np.clip(count - int(few.sum()) - (np.cumsum(more) - more), 0, more)
+
+
 def shard_documents(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Shards of equal row counts that keep equal texts together: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 

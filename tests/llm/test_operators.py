@@ -468,6 +468,37 @@ def test_a_hot_group_goes_to_the_fewest_shards(s):
         assert len(places.pop("hot")) == 14 and sum(len(p) > 1 for p in places.values()) == 0
 
 
+def test_a_table_of_groups_only_keeps_them_whole(s):
+    rows = [doc(i, f"pair {i // 2}") for i in range(2400)]
+    got = sharding.shard_documents(s.createDataFrame(rows, SCHEMA)).collect()
+    assert set(Counter(r.shard for r in got).values()) == {60}
+    places = defaultdict(set)
+    for r in got:
+        places[r.doc_id // 2].add(r.shard)
+    assert len(places) == 1200 and all(len(p) == 1 for p in places.values())
+
+
+def test_packing_fills_every_quota_and_cuts_little():
+    rng = np.random.default_rng(9)
+    for turn in range(300):
+        shards, high = int(rng.integers(1, 41)), int(rng.choice([4, 20, 300]))
+        classes = sorted(Counter(rng.integers(1, high, int(rng.integers(0, 400))).tolist()).items(), reverse=True)
+        total = sum(m * n for m, n in classes)
+        quotas = [total // shards + (k < total % shards) for k in range(shards)]
+        runs = sorted(sharding.pack(classes, quotas), key=lambda r: r[1])
+        owner = [k for _, _, n, k in runs for _ in range(n)]
+        assert [p for _, p, _, _ in runs] == [sum(r[2] for r in runs[:i]) for i in range(len(runs))]
+        assert [Counter(owner)[k] for k in range(shards)] == quotas
+        at = extra = 0
+        for m, n in classes:
+            for _ in range(n):
+                extra += len(set(owner[at:at + m])) - -(-m // max(quotas))
+                at += m
+        assert at == total and 0 <= extra < shards
+    # 3, 3, 2, 2 in each shard, though three threes fit first
+    assert sum(n % m > 0 for m, _, n, _ in sharding.pack([(3, 80), (2, 80)], [10] * 40)) == 0
+
+
 # --- op10 --------------------------------------------------------------------------------------------------------------
 
 
