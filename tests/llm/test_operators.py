@@ -412,6 +412,27 @@ def test_pii_query_counts_the_base_kinds(s, tables):
         assert {f"{k}:{a}:{b}" for k, a, b in want} <= set(r.spans.split(","))
 
 
+def test_field_looks_into_long_unbroken_runs(tables):
+    address = "john[at]example[dot]com"
+    field = pii.train_field([r.text for r in tables.documents.orderBy("doc_id").limit(300).collect() if r.text and re.search(pii.HINT, r.text)])
+    runs = ["\u6f22\u5b57" * 150, '{"k":"' + '","k":"'.join(["plain words".replace(" ", "_")] * 30) + '","mail":"', "https://host/" + "/".join(["path"] * 70) + "?mail=", "\u0e01" * 300]
+    for run in runs:
+        for after in ("", "\u6f22" * 300, '","z":"' + "q" * 300):
+            text = run + address + after
+            assert len(run) >= 300 and not re.search(r"\s", text)
+            found = [text[a:b] for k, a, b in pii.soft_spans(text, field, []) if k == "soft_email"]
+            assert len(found) == 1 and address in found[0] and len(found[0]) < 40, (run[:20], found)
+    text = "q" * 300 + address
+    assert any(k == "soft_email" and text[a:b].endswith(address) for k, a, b in pii.soft_spans(text, field, []))
+    # every seed is in a piece, whatever is around it
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        text = "".join(rng.choice(["q" * 150, "1", "[at]", "\u6f22" * 90, " ", '"', "x@y", "q.", "\u2011"], 12))
+        cut = list(pii.pieces(text))
+        assert all(a < b <= c for (a, b), (c, _) in zip(cut, cut[1:]))
+        assert all(any(a <= m.start() and m.end() <= b for a, b in cut) for m in pii._SEED.finditer(text))
+
+
 def test_segmentation_is_the_best_of_all():
     field = pii.Field()
     rng = np.random.default_rng(1)
