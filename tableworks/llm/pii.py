@@ -311,7 +311,8 @@ def soft_spans(text: str, field: Field, base: list[Span]) -> list[Span]:
     return out
 
 
-def find_pii(docs: DataFrame, train_rows: int = 1_500, train_bytes: int = 16 << 20, seed: int = 8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find_pii(docs: DataFrame, train_rows: int = 1_500, train_bytes: int = 16 << 20, seed: int = 8, doc_id: str = "doc_id", text: str = "text",
+             most_windows: int = 900) -> DataFrame:
     """Personal data of every whole text: doc_id, base, spans (both arrays of kind, start, end).
 
     ``base`` holds the matches of the exact patterns. The field scores candidate
@@ -324,8 +325,10 @@ def find_pii(docs: DataFrame, train_rows: int = 1_500, train_bytes: int = 16 <<
     commas and other marks; where there are none, ``REACH`` characters around
     every digit, ``@`` or ``[at]`` are looked at. It is trained on
     the driver on at most ``train_rows`` texts with a hint of personal data
-    (the smallest hashes of the id, ``train_bytes`` of text), labelled by the base
-    patterns, and on generated unusual spellings.
+    (the smallest hashes of the id, ``train_bytes`` of text; a text that does not
+    fit is passed over), of these on ``most_windows`` random windows labelled by
+    the base patterns, and on generated unusual spellings among the first 60
+    words of 200 of the texts.
 
     Null and empty texts, and texts without any digit or ``@``, have no spans.
     Rows that repeat are handled each. A null id is kept. An empty table gives no rows.
@@ -337,17 +340,18 @@ def find_pii(docs: DataFrame, train_rows: int = 1_500, train_bytes: int = 16 <<
     base = scratch.write(base, "hinted")
     order = base.filter("text IS NOT NULL").select("doc_id", F.octet_length("text").alias("bytes"), F.xxhash64("doc_id", F.lit(seed)).alias("h"))
     ids, left = [], train_bytes
+    order = order.filter(F.col("bytes") <= train_bytes)
     for r in order.orderBy("h", "doc_id").limit(train_rows).collect():  # ids only
+        if r.bytes > left:
+            continue
         left -= r.bytes
-        if left < 0:
-            break
         if r.doc_id is not None:
             ids.append(r.doc_id)
     texts: list[str] = []
     if ids:
         wanted = spark.createDataFrame([(i,) for i in sorted(set(ids))], f"c_id {docs.schema[doc_id].dataType.simpleString()}")
         texts = sorted(r.text for r in base.join(F.broadcast(wanted), F.col("doc_id") == F.col("c_id")).filter("text IS NOT NULL").select("text").collect())
-    shared = spark.sparkContext.broadcast(train_field(texts, seed))
+    shared = spark.sparkContext.broadcast(train_field(texts, seed, most_windows=most_windows))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = shared.value

@@ -433,6 +433,16 @@ def test_field_looks_into_long_unbroken_runs(tables):
         assert all(any(a <= m.start() and m.end() <= b for a, b in cut) for m in pii._SEED.finditer(text))
 
 
+def test_field_sample_passes_over_a_text_that_does_not_fit(s, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(pii, "train_field", lambda texts, seed, most_windows: seen.update(texts=texts, most=most_windows) or pii.Field())
+    rows = [doc(i, f"call 55{i}") for i in range(40)]
+    first = s.createDataFrame(rows, SCHEMA).orderBy(F.xxhash64("doc_id", F.lit(8))).first().doc_id
+    rows[first] = doc(first, "1 " * 3000)
+    pii.find_pii(s.createDataFrame(rows, SCHEMA), train_bytes=2000, most_windows=7)
+    assert len(seen["texts"]) == 39 and seen["most"] == 7
+
+
 def test_segmentation_is_the_best_of_all():
     field = pii.Field()
     rng = np.random.default_rng(1)
