@@ -193,6 +193,24 @@ def test_toxicity_learns_held_out_rows(s, messy):
     assert len(out) == len(MESSY) and all(r.score == 0 for r in out)
 
 
+def test_toxicity_sample_passes_over_a_text_that_does_not_fit(s, monkeypatch):
+    seen = []
+
+    def train(texts, y, seed):
+        seen.extend(texts)
+        return toxicity.Model.fresh(seed)
+
+    monkeypatch.setattr(toxicity, "train", train)
+    ids = [r.id for r in s.range(60).orderBy(F.xxhash64("id", F.lit(3))).collect() if zlib.crc32(str(r.id).encode()) % 5]
+    fit = s.range(60).filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(5)) != 0)
+    fit = {r.id for r in fit.collect()}
+    first = next(i for i in ids if i in fit and i % 2)
+    docs = s.createDataFrame([doc(i, "long " * 2000 if i == first else f"word{i}") for i in range(60)], SCHEMA)
+    labels = s.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    toxicity.score_toxicity(docs, labels, sample_bytes=3000)
+    assert sorted(seen) == sorted(f"word{i}" for i in ids if i in fit and i != first)
+
+
 def test_convolution_by_look_up_equals_the_direct_form():
     model = toxicity.Model.fresh(1)
     texts = ["alpha beta gamma delta", "", "one", None]
