@@ -1,4 +1,4 @@
-"""The queries of this subpackage: op1 to op10 and their SQL twins."""
+"""The queries of this subpackage: op1 to op13 and their SQL twins."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import Tables
 from ..session import prepare_session
-from . import decontaminate, embeddings, minhash, mixing, pii, planes, quality, sharding, toxicity, warc
+from . import decontaminate, divergence, embeddings, minhash, mixing, pii, planes, prefix_bpe, quality, sharding, toxicity, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,70 @@ def _pii(t: Tables) -> DataFrame:
     of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     counts = [of(k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
+@query("op11_source_divergence", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS whole FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(whole) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT t.lang, t.source, term, count(*) AS times FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (SELECT lang, source, term, whole, coalesce(times, 0) AS times FROM groups JOIN kept USING (lang) LEFT JOIN cells USING (lang, source, term)),
+sums AS (SELECT lang, source, sum(times) AS n FROM every GROUP BY ALL),
+shares AS (
+  SELECT e.lang, e.source, term, times, CAST(1 + 1000000000::HUGEINT * (times + 2) // (s.n + 2 * v) AS BIGINT) AS p,
+         CAST(1 + 1000000000::HUGEINT * (whole + 2) // (l.n + 2 * v) AS BIGINT) AS q
+  FROM every e JOIN sums s ON e.lang = s.lang AND e.source = s.source JOIN langs l ON e.lang = l.lang),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE times > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE C) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""")
+def _divergence(t: Tables) -> DataFrame:
+    return divergence.source_divergence(t.documents)
+
+
+@query("op12_prefix_bpe")
+def _prefix_bpe(t: Tables) -> DataFrame:
+    import public_tokenizers
+
+    return prefix_bpe.encode_and_decode(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op13_conversation_trie", r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+         sha256(concat(CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR), ':', coalesce(role, ''), coalesce(text, ''))) AS mark
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(struct_pack(mark := mark, bytes := octet_length(encode(text))) ORDER BY turn NULLS FIRST, mark) AS w FROM turns GROUP BY conv_id),
+crcs AS (
+  SELECT conv_id, w, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(conv_id AS VARCHAR)[i]) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(0, 8), lambda k: k)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)) AS crc FROM own),
+hs AS (SELECT conv_id, w, CAST(xor(crc, 4294967295::BIGINT) % 9 AS BIGINT) AS h FROM crcs),
+built AS (SELECT c.conv_id, list_concat(coalesce(b.w, [])[1:c.h], c.w[c.h + 1:]) AS w FROM hs c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+paths AS (SELECT conv_id, d AS depth, array_to_string(list_transform(w[1:d], lambda x: x.mark), ',') AS node, CASE WHEN d > 0 THEN w[d].bytes ELSE 0 END AS bytes, len(w) = d AS is_end
+          FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(CASE WHEN is_end THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM paths GROUP BY node, depth),
+above AS (SELECT n.node, n.depth, p.node AS up, p.depth AS up_depth FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth),
+kids AS (SELECT up AS node, up_depth AS depth, count(*) AS n FROM above WHERE up_depth = depth - 1 GROUP BY ALL),
+sums AS (
+  SELECT a.up AS node, a.up_depth AS depth, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.bytes) AS saved
+  FROM above a JOIN nodes n ON n.node = a.node AND n.depth = a.depth LEFT JOIN kids k ON k.node = a.node AND k.depth = a.depth GROUP BY ALL)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node AND s.depth = n.depth LEFT JOIN kids k ON k.node = n.node AND k.depth = n.depth
+LEFT JOIN above a ON a.node = n.node AND a.depth = n.depth AND a.up_depth = n.depth - 1 LEFT JOIN nodes p ON p.node = a.up AND p.depth = a.up_depth
+""")
+def _trie(t: Tables) -> DataFrame:
+    return trie.conversation_trie(t.conversations)
