@@ -105,15 +105,15 @@ def _tally(terms: pa.Table, slices: pa.Table) -> pa.Table:
     bounds, docs, counts, members = (_unpacked(slices[c][0].as_py()) for c in ("bounds", "docs", "counts", "members"))
     language, group = (np.array(slices[c][0].as_py(), np.int64)[members] for c in ("languages", "numbers"))
     coded = pc.dictionary_encode(terms["term"].combine_chunks())
-    code, no, times = coded.indices.to_numpy().astype(np.int64), terms["no"].to_numpy(), terms["times"].to_numpy()
+    code, no = coded.indices.to_numpy().astype(np.int64), terms["no"].to_numpy()
     sizes = bounds[no + 1] - bounds[no]
     upto = np.concatenate([[0], np.cumsum(sizes)])
     place = np.arange(upto[-1]) + np.repeat(bounds[no] - upto[:-1], sizes)
-    # a row per term and document first: several chunks of a document may hold the term
+    # a row per term and document first: several chunks of a document may hold the term, and a chunk may repeat it
     keys = np.repeat(code, sizes) * len(members) + docs[place]
     order = np.argsort(keys, kind="stable")
     at = _runs(keys[order])
-    times = np.add.reduceat((counts[place] * np.repeat(times, sizes))[order], at)
+    times = np.add.reduceat(counts[place][order], at)
     keys = keys[order][at]
     code, doc = keys // len(members), keys % len(members)
     order = np.lexsort((group[doc], language[doc], code))
@@ -234,8 +234,9 @@ def source_divergence(docs: DataFrame, least_docs: int = 10, top: int = 10) -> D
     at least ``least_docs`` of its documents (rows of ``docs``).
 
     Whitespace chunks are counted per document in slices of 16 MB of text; each
-    globally distinct chunk is split into terms once and its terms are joined
-    back to the slices, where a slice counts a term's distinct documents and its
+    globally distinct chunk is split into terms once, at its first row in a
+    partition by chunk, and its other rows are joined with that one, so the
+    terms go back to the slices, where a slice counts a term's distinct documents and its
     occurrences per group. Slices' terms are merged in sorted streams, and a
     frequent chunk or term has one row per slice, however many documents hold it.
     Pair sums run over blocks of terms.
@@ -257,10 +258,12 @@ def source_divergence(docs: DataFrame, least_docs: int = 10, top: int = 10) -> D
 
     slices = scratch.write(base.mapInArrow(_count_slices, _SLICE), "slices")
     chunks = slices.select("slice", F.posexplode(F.split("chunks", " ")).alias("no", "chunk"))
+    # one exchange by chunk serves the distinct chunks and the join: a chunk is split at its first row, the others take its terms
+    alike = Window.partitionBy("chunk").orderBy("slice")
+    first = F.row_number().over(alike) == 1
     spelled = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    split = chunks.select("chunk").distinct().select("chunk", F.explode(spelled).alias("term"))
-    split = split.groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    terms = chunks.join(split, "chunk").select("slice", "no", "term", "times")
+    split = chunks.withColumn("first", first).withColumn("spelled", F.when(F.col("first"), spelled))
+    terms = split.withColumn("spelled", F.first("spelled", ignorenulls=True).over(alike)).select("slice", "no", F.explode("spelled").alias("term"))
 
     local = slices.select("slice", F.posexplode(F.arrays_zip("langs", "sources")).alias("k", "of"))
     local = attach(local.select("slice", "k", "of.langs", "of.sources").toDF("slice", "k", "lang", "source"), named, ["lang", "source"])
