@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import DAY, epoch_micros, running
+from ..session import materialise
+from .blocks import epoch_micros, running
 
 MICROS = 1_000_000
 
@@ -57,37 +58,56 @@ def attach_scalars(df: DataFrame, aggregate: DataFrame) -> DataFrame:
     return df.select("*", *[aggregate.select(c).scalar().alias(c) for c in aggregate.columns])
 
 
+def _level(length: Column) -> Column:
+    """Bits of an interval's length, made even: 2**level is above the length and at most four times as much."""
+    bits = F.length(F.bin(length))
+    return (bits + bits % 2).cast("int")
+
+
+def _at_level(micros: Column, level: Column) -> Column:
+    return F.call_function("shiftright", micros, level)
+
+
 def join_range(
     facts: DataFrame, intervals: DataFrame, keys: Sequence[str], point: str, start: str, stop: str,
-    how: str = "inner", closed: bool = False, bucket_seconds: int = 30 * DAY,
+    how: str = "inner", closed: bool = False,
 ) -> DataFrame:
     """Facts whose ``point`` lies in ``[start, stop)`` (``closed``: ``[start, stop]``).
 
-    A null ``stop`` means still open. Both sides are cut along time and joined
-    on (keys, bucket), so a hot key is spread over its buckets and intervals of
-    other years are never paired; the exact bounds are checked afterwards.
+    Every interval goes to the level of its own length, where buckets are wider
+    than it, so it lies in one or two of them; a fact is looked for in one
+    bucket of each level that occurs. Minutes and decades can share a table: an
+    interval meets only facts within a few times its own length, and a hot key
+    is spread over its buckets. Exact bounds are checked afterwards. A null
+    ``stop`` is still open, and lasts to the end of the latest interval or
+    fact; a null start, point or key matches nothing. With ``how`` = "left" facts without
+    an interval are kept (they are stored once, to be told apart).
     """
-    us = bucket_seconds * MICROS
-    # open and very long intervals need no bucket beyond the facts
-    span = facts.agg(F.min(epoch_micros(point)).alias("lo"), F.max(epoch_micros(point)).alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    first = F.greatest(epoch_micros(start), lo)
-    last = F.least(F.coalesce(epoch_micros(stop), hi), hi)
-    def bucket(c: Column) -> Column:
-        return F.floor(c / F.lit(us)).cast("long")
-
-    right = intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
-    right = right.withColumn("_bucket", F.explode(F.sequence(bucket(F.col("_first")), bucket(F.col("_last")))))
-    right = right.drop("_first", "_last")
-    left = facts.withColumn("_bucket", bucket(epoch_micros(point)))
-    renamed = {c: f"_r_{c}" for c in (*keys, "_bucket")}
-    right = right.withColumnsRenamed(renamed)
-    cond = F.col("_bucket") == F.col("_r__bucket")
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_r_{k}"))
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown kind of range join {how!r}")
+    if how == "left":
+        facts = materialise(facts.withColumn("_fact", F.monotonically_increasing_id()), "facts")
+    begins, ends = epoch_micros(start), epoch_micros(stop)
+    # facts after every known bound can only be in open intervals: they are looked for right after it
+    ceiling = intervals.agg((F.max(F.greatest(begins, ends)) + 1).alias("c")).scalar()
+    right = intervals.withColumns({"_begins": begins, "_ends": F.coalesce(ends, ceiling)}).filter("_begins <= _ends")
+    right = right.withColumn("_level", _level(F.col("_ends") - F.col("_begins")))
+    levels = right.agg(F.collect_set("_level").alias("l")).scalar()
+    first, last = (_at_level(F.col(c), F.col("_level")) for c in ("_begins", "_ends"))
+    right = right.withColumn("_bucket", F.explode(F.array_distinct(F.array(first, last)))).drop("_begins", "_ends")
+    left = facts.withColumn("_level", F.explode(levels))
+    left = left.withColumn("_bucket", _at_level(F.least(epoch_micros(point), ceiling), F.col("_level")))
+    joined = [*keys, "_level", "_bucket"]
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in joined})
     inside = F.col(stop).isNull() | ((F.col(point) <= F.col(stop)) if closed else (F.col(point) < F.col(stop)))
-    cond = cond & (F.col(point) >= F.col(start)) & inside
-    return left.join(right, cond, how).drop("_bucket", *renamed.values())
+    cond = (F.col(point) >= F.col(start)) & inside
+    for k in joined:
+        cond = cond & (F.col(k) == F.col(f"_r_{k}"))
+    found = left.join(right, cond).drop("_level", "_bucket", *[f"_r_{k}" for k in joined])
+    if how == "inner":
+        return found
+    rest = facts.join(found.select("_fact"), "_fact", "left_anti")
+    return found.unionByName(rest, allowMissingColumns=True).drop("_fact")
 
 
 def join_asof(

@@ -59,7 +59,15 @@ class _Article(HTMLParser):
 
     def handle_data(self, data):
         if self.depth and not self.hidden:
-            self.parts.append(data)
+            self.parts.append(_without_inline_data(data) if "data:" in data else data)
+
+
+def _without_inline_data(data: str) -> str:
+    """Text without the words that hold an inline ``data:`` address; its scheme, type and comma tell it from a word."""
+    return "".join(w for w in re.split(r"(\s+)", data) if not _INLINE.search(w))
+
+
+_INLINE = re.compile(r"(?<![A-Za-z0-9])data:[^,]*,")
 
 
 def article_text(html: str | None) -> str | None:

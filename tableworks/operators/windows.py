@@ -187,17 +187,17 @@ def sequence_number(
 
 def assign_episode(
     events: DataFrame, episodes: DataFrame, keys: Sequence[str], event_id: str, ts: str,
-    start: str, stop: str, priority: str, bucket_seconds: int = 30 * DAY,
+    start: str, stop: str, priority: str,
 ) -> DataFrame:
     """The best episode containing each event: smallest ``priority`` expression,
     then earliest start. Adds the episode's columns and ``priority``.
 
-    Candidates come from a bucketed range join; the choice is an aggregate per
+    Candidates come from a range join by interval levels; the choice is an aggregate per
     event, so a hot key is spread over its events.
     """
     from .joins import join_range
 
-    found = join_range(events, episodes, keys, ts, start, stop, closed=True, bucket_seconds=bucket_seconds)
+    found = join_range(events, episodes, keys, ts, start, stop, closed=True)
     found = found.withColumn("priority", F.expr(priority)).filter("priority IS NOT NULL")
     rest = [c for c in found.columns if c != event_id]
     best = found.groupBy(event_id).agg(

@@ -399,8 +399,7 @@ def _(t):
     episodes = W.merge_intervals(_stays(t), ["user_id"], "start", "stop", gap_seconds=3600)
     out = W.assign_episode(
         t.events.select("event_id", "event_type", "user_id", "ts"), episodes.drop("members"), ["user_id"], "event_id", "ts",
-        "start", "stop", "CASE WHEN event_type = 'purchase' AND ts > start THEN 1 WHEN ts = start THEN 2 ELSE 3 END",
-        bucket_seconds=DAY)
+        "start", "stop", "CASE WHEN event_type = 'purchase' AND ts > start THEN 1 WHEN ts = start THEN 2 ELSE 3 END")
     return out.select("event_id", "start", "stop", "priority")
 
 

@@ -416,8 +416,7 @@ def _price_spans(t):
       AND (valid_to IS NULL OR l_shipdate < valid_to)""")
 def _(t):
     facts = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("suppkey"), "l_shipdate")
-    return J.join_range(facts, _price_spans(t), ["suppkey"], "l_shipdate", "valid_from", "valid_to",
-                        bucket_seconds=90 * DAY).select("l_orderkey", "l_linenumber", "price")
+    return J.join_range(facts, _price_spans(t), ["suppkey"], "l_shipdate", "valid_from", "valid_to").select("l_orderkey", "l_linenumber", "price")
 
 
 @query("join_theta_min", """

@@ -157,26 +157,29 @@ def _(t):
 
 
 @query("claims", """
-    WITH sp AS (SELECT user_id, avg(value) AS speed FROM events GROUP BY 1)
-    SELECT l_orderkey || '-' || l_linenumber AS claim_no, CASE WHEN l_extendedprice * 4 > o_totalprice THEN 'above' ELSE 'within' END AS cover,
-      CASE WHEN speed IS NULL THEN 'no log' WHEN speed >= 50 THEN 'brisk' ELSE 'calm' END AS pace,
-      CASE WHEN l_extendedprice * 4 > o_totalprice OR speed >= 50 THEN 'look at' ELSE 'pay' END AS outcome
-    FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN sp ON sp.user_id = o_custkey WHERE l_returnflag = 'R'""")
+    SELECT l_orderkey || '-' || l_linenumber AS claim_no, CAST(CAST(floor(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) / 30.0) AS BIGINT) AS VARCHAR) AS months_waited,
+      CASE WHEN l_tax = 0 THEN 'exempt' ELSE CAST(CAST(round(100 * l_tax, 0) AS BIGINT) AS VARCHAR) END AS tax_percent,
+      'Q' || quarter(l_shipdate) AS season,
+      CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'front desk' WHEN quarter(l_shipdate) = 4 THEN 'year end team' ELSE 'queue ' || l_linenumber % 3 END AS desk
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_extendedprice > 0""")
 def _(t):
-    claim = t.lineitem.filter("l_returnflag = 'R'").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_no"), F.col("l_orderkey").alias("policy_no"),
+    claim = t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_no"), F.col("l_orderkey").alias("policy_no"), F.col("l_linenumber").alias("part"),
         F.col("l_shipdate").cast("date").alias("claim_date"), F.struct(F.col("l_extendedprice").alias("total"), F.col("l_tax").alias("tax")).alias("amount"))
     day = F.col("o_orderdate").cast("date")
     pol = t.orders.select(F.col("o_orderkey").alias("policy_no"), F.col("o_custkey").alias("chassis"), F.col("o_orderpriority").alias("product"),
-                          (-F.col("o_totalprice") / 12).alias("premium"), (F.col("o_totalprice") / 4).alias("sum_insured"), day.alias("begins"), F.date_add(day, 365).alias("ends"))
+                          (-F.col("o_totalprice") / 12).alias("premium"), day.alias("begins"), F.date_add(day, 365).alias("ends"))
     speed = t.events.select(F.col("user_id").alias("chassis"), F.col("value").alias("speed"))
+    # how long a claim took, how it is taxed, when it fell, and which desk takes it
     rules = t.spark.createDataFrame([
-        (1, "cover", "CASE WHEN amount_total * 4 > sum_insured * 4 THEN 'above' ELSE 'within' END", True),
-        (2, "pace", "CASE WHEN telematics_speed IS NULL THEN 'no log' WHEN telematics_speed >= 50 THEN 'brisk' ELSE 'calm' END", True),
-        (3, "outcome", "CASE WHEN cover = 'above' OR pace = 'brisk' THEN 'look at' ELSE 'pay' END", True),
+        (10, "months_waited", "CAST(CAST(floor(datediff(claim_date, begins) / 30.0) AS BIGINT) AS STRING)", True),
+        (20, "tax_percent", "CASE WHEN amount_tax = 0 THEN 'exempt' ELSE CAST(CAST(round(100 * amount_tax, 0) AS BIGINT) AS STRING) END", True),
+        (30, "season", "concat('Q', quarter(claim_date))", True),
+        (40, "desk", "CASE WHEN left(product, 1) IN ('1', '2') THEN 'front desk' WHEN season = 'Q4' THEN 'year end team' ELSE concat('queue ', part % 3) END", True),
+        (50, "unused", "1 / 0", False),
     ], "rule_id int, check_name string, check_code string, is_active boolean")
     out = jobs.claims(claim, pol, speed, rules, "1998-01-01", "1998-12-31")
-    return out["insights"].select("claim_no", "cover", "pace", "outcome")
+    return out["insights"].select("claim_no", "months_waited", "tax_percent", "season", "desk")
 
 
 @query("turbine_features", """
@@ -196,18 +199,34 @@ def _(t):
 
 
 @query("loan_quality", """
-    WITH l AS (SELECT o_totalprice - 50000 AS balance, o_custkey % 25 AS loc FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
-    SELECT 'n' || loc AS location, round(sum(balance), 2) AS balance FROM l WHERE balance > 0 GROUP BY 1
-    UNION SELECT 'n' || o_custkey % 25, round(sum(o_totalprice), 2) FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1""")
+    WITH o AS (SELECT o_totalprice - 50000 AS balance, 'n' || o_custkey % 25 AS location, month(o_orderdate) <= 2 AS winter, o_custkey % 25 = 24 AS far, o_orderdate >= TIMESTAMP '1998-01-01' AS is_new,
+      o_totalprice, substr(o_orderpriority, 1, 1) = '3' AS middling FROM orders),
+    n AS (SELECT *, winter OR far AS bad FROM o WHERE is_new)
+    SELECT part, location, CAST(coalesce(n, 0) AS BIGINT) AS n, coalesce(amount, 0.0::DOUBLE) AS amount FROM (
+      SELECT 'total' AS part, location, NULL AS n, round(sum(balance), 2) AS amount FROM n WHERE NOT bad GROUP BY location
+      UNION SELECT 'total', location, NULL, round(sum(o_totalprice), 2) FROM o WHERE NOT is_new GROUP BY location
+      UNION ALL SELECT 'clean', location, count(*), NULL FROM n WHERE NOT bad GROUP BY location
+      UNION ALL SELECT 'quarantine', location, count(*), NULL FROM n WHERE bad GROUP BY location
+      UNION ALL SELECT 'failed outside_winter', 'cleaned', count(*) FILTER (WHERE winter), NULL FROM n
+      UNION ALL SELECT 'failed near', 'cleaned', count(*) FILTER (WHERE far), NULL FROM n
+      UNION ALL SELECT 'failed not_middling', 'cleaned', count(*) FILTER (WHERE middling), NULL FROM n
+      UNION ALL SELECT 'failed known_kind', 'cleaned', 0, NULL)""")
 def _(t):
     o = t.orders.select(F.col("o_orderdate").cast("date").alias("next_payment_date"), F.col("o_totalprice"), "o_orderdate",
                         F.concat(F.lit("n"), F.col("o_custkey") % 25).alias("location"), F.col("o_orderpriority").alias("cost_center"),
                         (F.col("o_orderkey") % 3).alias("treatment_id"))
     new = o.filter("o_orderdate >= '1998-01-01'").withColumns({"balance": F.col("o_totalprice") - 50000, "arrears": F.lit(1.0)})
     old = o.filter("o_orderdate < '1998-01-01'").withColumn("balance", F.col("o_totalprice"))
-    rules = [Rule("due_by_2001", "next_payment_date < DATE '2001-07-01'"), Rule("owes", "balance > 0", "drop"), Rule("prioritised", "length(cost_center) > 0", "fail")]
+    rules = [Rule("near", "location <> 'n24'", "drop"), Rule("known_kind", "treatment LIKE 't_'", "fail"),
+             Rule("not_middling", "NOT startswith(cost_center, '3')"), Rule("outside_winter", "month(next_payment_date) > 2", "drop")]
     kinds = t.orders.select((F.col("o_orderkey") % 3).alias("treatment_id")).distinct().withColumn("treatment", F.concat(F.lit("t"), "treatment_id"))
-    return jobs.loan_quality(new, old, kinds, rules, "u1", "2024-01-01")["totals"].withColumn("balance", r("balance", 2))
+    out = jobs.loan_quality(new, old, kinds, rules, "u1", "2024-01-01")
+    counted = [out[p].groupBy("location").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(p)) for p in ("clean", "quarantine")]
+    report = out["report"].select(F.concat(F.lit("failed "), "rule").alias("part"), F.col("table_name").alias("location"), F.col("failed").alias("n"))
+    shown = out["totals"].select(F.lit("total").alias("part"), "location", r("balance", 2).alias("amount"))
+    for more in (*counted, report):
+        shown = shown.unionByName(more, allowMissingColumns=True)
+    return shown.fillna(0).select("part", "location", F.col("n").cast("bigint").alias("n"), "amount")
 
 
 @query("cdc_sync", """

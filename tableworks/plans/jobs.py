@@ -251,7 +251,7 @@ def table_monitor(df: DataFrame, ts: str, columns: Sequence[str], slice_by: str,
 
 
 def document_index(pages: DataFrame, questions: DataFrame, base: str, dim: int = 256, k: int = 3) -> Frames:
-    """Pages to text to chunks to vectors (stored), and the best chunks for each question."""
+    """Pages to text to chunks to vectors (stored), and the best chunks for each question from a vector index."""
     text = X.html_to_text(pages).filter("text IS NOT NULL").select("page_id", "text")
     chunks = X.chunk_by_heading(text, "text", 200, 5, 20)
     # Python-heavy work is spread by content before embedding
@@ -259,7 +259,8 @@ def document_index(pages: DataFrame, questions: DataFrame, base: str, dim: int =
     path = f"{base}/index"
     X.embed(chunks, "chunk", dim).write.mode("overwrite").parquet(path)
     index = pages.sparkSession.read.parquet(path)
-    hits = V.vector_top_k(X.embed(questions, "question", dim).drop("question"), index, "question_id", "chunk_id", "embedding", k)
+    lists = V.build_vector_index(index, "chunk_id", "embedding", metric="cosine")
+    hits = lists.search(X.embed(questions, "question", dim).drop("question"), "question_id", "embedding", k, exact=True)
     return {"index": index, "hits": hits.join(index.select("chunk_id", "page_id", "chunk"), "chunk_id")}
 
 

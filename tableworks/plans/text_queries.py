@@ -78,11 +78,40 @@ def _(t):
     return out.select("label", "vec_id", r("score", 5).alias("score"))
 
 
+def _asked(t):
+    """Every twentieth vector is a query, against all rows."""
+    return t.embeddings.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
 @query("vector_near")
+def _(t):
+    found = V.vector_near(_asked(t), t.embeddings.select("vec_id", "embedding"), "query_id", "vec_id", "embedding", k=10, cells=16, probes=12)
+    return found.select("query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+_BRUTE = """
+    SELECT query_id, vec_id, round(-d, 5) AS score FROM (
+      SELECT q.vec_id AS query_id, e.vec_id, list_distance(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS d,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), e.vec_id) AS rank
+      FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0) WHERE rank <= 10"""
+
+
+@query("vector_index_exact", _BRUTE)
+def _(t):
+    found = V.vector_near(_asked(t), t.embeddings.select("vec_id", "embedding"), "query_id", "vec_id", "embedding", k=10, cells=16, probes=4, exact=True)
+    return found.select("query_id", "vec_id", r("score", 5).alias("score"))
+
+
+@query("vector_index_recall", f"""
+    WITH brute AS ({_BRUTE}) SELECT count(DISTINCT query_id) AS queries, count(*) AS neighbours, true AS recall_at_least_90_percent FROM brute""")
 def _(t):
     base = t.embeddings.select("vec_id", "embedding")
-    queries = _centres(t).select("label", F.col("embedding").cast("array<float>").alias("embedding"))
-    return V.vector_near(queries, base, "label", "vec_id", "embedding", threshold=50.0, k=10, bucket_length=20.0)
+    index = V.build_vector_index(base, "vec_id", "embedding", cells=16)
+    want = index.search(_asked(t), "query_id", "embedding", 10, probes=4, exact=True).select("query_id", "vec_id")
+    got = index.search(_asked(t), "query_id", "embedding", 10, probes=12).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    both = want.join(got, ["query_id", "vec_id"], "left")
+    return both.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"),
+                    (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_at_least_90_percent"))
 
 
 _PAIRS = """

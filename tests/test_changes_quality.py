@@ -231,11 +231,63 @@ def test_range_join_open_and_long_intervals(spark):
     facts = spark.sql("SELECT id, 'k' AS k, timestampadd(DAY, CAST(id AS INT), TIMESTAMP'2020-01-01') AS at FROM range(400)")
     spans = spark.sql("""SELECT * FROM VALUES ('k', TIMESTAMP'2010-01-01', TIMESTAMP'2020-02-01', 'long'), ('k', TIMESTAMP'2020-06-01', NULL, 'open'),
         ('z', TIMESTAMP'2010-01-01', NULL, 'other') AS t(k, a, b, name)""")
-    got = joins.join_range(facts, spans, ["k"], "at", "a", "b", bucket_seconds=30 * 86400)
+    got = joins.join_range(facts, spans, ["k"], "at", "a", "b")
     assert rows(got.groupBy("name").count()) == rows(facts.join(spans, (facts.k == spans.k) & (facts["at"] >= spans.a) & (
         spans.b.isNull() | (facts["at"] < spans.b))).groupBy("name").count())
 
 
+def _spans_and_facts(spark):
+    """Facts every ten seconds of a week and far ones; minutes, days and decades as intervals, null and empty ones too."""
+    facts = spark.sql("""SELECT id, CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 3 = 1 THEN 'b' END AS k, timestampadd(SECOND, CAST(id * 10 AS INT), TIMESTAMP'2020-01-01') AS at, 'f' AS _level FROM range(20000)
+        UNION ALL SELECT 90001, 'a', TIMESTAMP'1960-05-05', 'f' UNION ALL SELECT 90002, 'a', TIMESTAMP'2150-01-01', 'f' UNION ALL SELECT 90003, 'a', NULL, 'f'""").drop("_level")
+    spans = spark.sql("""SELECT CAST(id AS STRING) AS name, IF(id % 2 = 0, 'a', 'b') AS k, timestampadd(MINUTE, CAST(id * 7 AS INT), TIMESTAMP'2020-01-01') AS s,
+          timestampadd(SECOND, CAST(30 + id % 90 AS INT), timestampadd(MINUTE, CAST(id * 7 AS INT), TIMESTAMP'2020-01-01')) AS e FROM range(1000)
+        UNION ALL SELECT * FROM VALUES ('decade', 'a', TIMESTAMP'1955-01-01', TIMESTAMP'2020-01-02'), ('open', 'a', TIMESTAMP'2020-01-02', NULL), ('late', 'b', TIMESTAMP'2020-01-03 00:00:05', NULL),
+          ('point', 'a', TIMESTAMP'2020-01-01', TIMESTAMP'2020-01-01'), ('wrong', 'a', TIMESTAMP'2021-01-01', TIMESTAMP'2020-01-01'), ('none', 'a', NULL, NULL), ('nokey', NULL, TIMESTAMP'2000-01-01', NULL) AS t(name, k, s, e)""")
+    return facts, spans
+
+
+@pytest.mark.parametrize("closed", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_range_join_of_minutes_and_decades(spark, how, closed):
+    facts, spans = _spans_and_facts(spark)
+    f, i = facts.toPandas(), spans.toPandas()
+    want = set()
+    for k, s, e, name in zip(i.k, i.s, i.e, i.name):
+        if s == s and s is not None and k is not None:
+            hit = f[(f.k == k) & (f["at"] >= s)]
+            if e == e and e is not None:
+                hit = hit[(hit["at"] <= e) if closed else (hit["at"] < e)]
+            want |= {(x, name) for x in hit.id}
+    if how == "left":
+        want |= {(x, None) for x in set(f.id) - {x for x, _ in want}}
+    got = joins.join_range(facts, spans, ["k"], "at", "s", "e", how, closed).select("id", "name").collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+
+
+def test_range_join_pairs_stay_within_a_constant_of_the_matches(spark):
+    """Candidates are counted from the joined plan with the exact bounds left out."""
+    facts, spans = _spans_and_facts(spark)
+    spans = spans.filter("e IS NOT NULL AND e > s AND name <> 'decade'").unionByName(
+        spark.sql("SELECT concat('ten years ', id) AS name, 'a' AS k, TIMESTAMP'2015-01-01' AS s, timestampadd(DAY, CAST(id AS INT), TIMESTAMP'2024-01-01') AS e FROM range(3)"))
+    joined = joins.join_range(facts, spans, ["k"], "at", "s", "e")
+    matches = joined.count()
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "_r__level" in plan and "_r__bucket" in plan
+    # the same buckets by hand: every pair that shares key, level and bucket
+    f = [(r.k, int(r.t)) for r in facts.filter("at IS NOT NULL").select("k", F.unix_micros("at").alias("t")).collect()]
+    candidates = 0
+    by_key = {}
+    for k, t in f:
+        by_key.setdefault(k, []).append(t)
+    for r in spans.select("k", F.unix_micros("s").alias("a"), F.unix_micros("e").alias("b")).collect():
+        bits = (r.b - r.a).bit_length()
+        level = bits + bits % 2
+        assert r.b - r.a < 2**level <= 4 * max(1, r.b - r.a) and (r.b >> level) - (r.a >> level) <= 1
+        candidates += sum((r.a >> level) <= (t >> level) <= (r.b >> level) for t in by_key.get(r.k, []))
+    assert matches <= candidates <= 8 * matches
+
+
 @pytest.mark.parametrize("target", [5_000_000, 1])
 def test_asof_null_features_and_forward(spark, monkeypatch, target):
     monkeypatch.setattr(blocks, "TARGET_ROWS", target)

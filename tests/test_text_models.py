@@ -89,20 +89,64 @@ def test_top_k_brute_force(spark, tables, metric):
     assert {q: [v for _, v in sorted(p)] for q, p in got.items()} == want
 
 
-def test_queries_beyond_the_limit_are_sliced(spark):
+def test_queries_beyond_the_limit_stay_distributed(spark, monkeypatch):
     base = spark.range(30).select("id", F.array(*[F.rand(i) for i in range(8)]).alias("v")).cache()
     q = base.withColumnRenamed("id", "q")
     whole = vectors.vector_top_k(q, base, "q", "id", "v", 2)
-    original = vectors._scan
-    calls = []
-    try:
-        vectors._scan = lambda *a: (calls.append(1), original(*a))[1]
-        big = q.crossJoin(spark.range(1200).select("id")).select((F.col("q") + F.col("id") * 100).alias("q"), "v")
-        many = vectors.vector_top_k(big, base, "q", "id", "v", 2, max_query_mb=1)
-        assert len(calls) == 2
-        assert rows(many.filter("q < 100"), "q", "id", "rank") == rows(whole, "q", "id", "rank")
-    finally:
-        vectors._scan = original
+    big = q.crossJoin(spark.range(1200).select("id")).select((F.col("q") + F.col("id") * 100).alias("q"), "v")
+    monkeypatch.setattr(vectors, "_scan", None)
+    # several slices of queries and of rows meet in tiles
+    monkeypatch.setattr(vectors, "CELL_ROWS", 7)
+    many = vectors.vector_top_k(big, base, "q", "id", "v", 2, max_query_mb=1)
+    assert rows(many.filter("q < 100"), "q", "id", "rank") == rows(whole, "q", "id", "rank")
+    assert many.count() == 2 * 36_000
+
+
+@pytest.fixture(scope="module")
+def clustered(spark):
+    """Loose clusters, repeated rows, a zero and a null vector, and a third of all rows in one spot."""
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(12, 16)) * 3
+    x = [(centre[i % 12] + rng.normal(size=16)).tolist() for i in range(1200)] + [centre[0].tolist()] * 600
+    x[5], x[6] = x[7], [0.0] * 16
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)] + [(5000, None)], "id long, v array<double>").repartition(5)
+    return df.cache(), np.array(x)
+
+
+def _nearest_by_hand(x, metric, k, ids):
+    out = {}
+    unit = np.divide(x, np.linalg.norm(x, axis=1, keepdims=True), out=np.zeros_like(x), where=np.linalg.norm(x, axis=1, keepdims=True) > 0)
+    for i in ids:
+        score = unit @ unit[i] if metric == "cosine" else -np.linalg.norm(x - x[i], axis=1)
+        out[i] = np.sort(score)[::-1][:k]
+    return out
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_index_is_exact_on_demand_and_recalls_nine_tenths(spark, clustered, metric, monkeypatch):
+    monkeypatch.setattr(vectors, "CELL_ROWS", 100)
+    monkeypatch.setattr(vectors, "CELL_QUERIES", 7)
+    df, x = clustered
+    index = vectors.build_vector_index(df, "id", "v", cells=24, metric=metric)
+    assert index.rows.count() == len(x) and len(index.centres) <= 24  # every row with a vector is indexed
+    queries = df.filter("id % 20 = 0").select(F.col("id").alias("q"), "v")
+    want = _nearest_by_hand(x, metric, 10, range(0, len(x), 20))
+    for probes, exact, least in ((2, True, 1.0), (8, False, 0.9)):
+        got = {}
+        for r in index.search(queries, "q", "v", 10, probes, exact).collect():
+            got.setdefault(r.q, []).append(r.score)
+        assert set(got) == set(want) and all(len(s) == len(set(range(10))) for s in got.values())
+        hits = sum(np.isclose(np.sort(got[i])[::-1], want[i], atol=1e-6).sum() for i in want)
+        assert hits >= least * 10 * len(want)
+
+
+def test_index_of_nothing_and_of_one_row(spark):
+    none = spark.createDataFrame([], "id long, v array<double>")
+    one = spark.createDataFrame([(1, [1.0, 2.0])], "id long, v array<double>")
+    ask = one.withColumnRenamed("id", "q")
+    assert vectors.vector_near(ask, none, "q", "id", "v", 3).collect() == []
+    assert [(r.q, r.id, r.rank) for r in vectors.vector_near(ask, one, "q", "id", "v", 3, exact=True).collect()] == [(1, 1, 1)]
+    assert vectors.vector_near(none.withColumnRenamed("id", "q"), one, "q", "id", "v", 3).collect() == []
 
 
 # ---- features and models --------------------------------------------------
