@@ -87,10 +87,11 @@ def join_range(
         raise ValueError(f"unknown kind of range join {how!r}")
     if how == "left":
         facts = materialise(facts.withColumn("_fact", F.monotonically_increasing_id()), "facts")
-    begins, ends = epoch_micros(start), epoch_micros(stop)
+    # stored once: their bounds and levels are asked for before they are joined
+    right = materialise(intervals.withColumns({"_begins": epoch_micros(start), "_ends": epoch_micros(stop)}), "intervals")
     # facts after every known bound can only be in open intervals: they are looked for right after it
-    ceiling = intervals.agg((F.max(F.greatest(begins, ends)) + 1).alias("c")).scalar()
-    right = intervals.withColumns({"_begins": begins, "_ends": F.coalesce(ends, ceiling)}).filter("_begins <= _ends")
+    ceiling = right.agg((F.max(F.greatest("_begins", "_ends")) + 1).alias("c")).scalar()
+    right = right.withColumn("_ends", F.coalesce("_ends", ceiling)).filter("_begins <= _ends")
     right = right.withColumn("_level", _level(F.col("_ends") - F.col("_begins")))
     levels = right.agg(F.collect_set("_level").alias("l")).scalar()
     first, last = (_at_level(F.col(c), F.col("_level")) for c in ("_begins", "_ends"))
