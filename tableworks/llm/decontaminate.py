@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, finish
+from .spread import apart
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Everything below 0x80 that is neither a digit nor a lower-case letter separates words.
@@ -124,7 +125,16 @@ def find_contamination(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``docs`` without the contaminated rows, columns unchanged."""
+    """``docs`` without the contaminated rows, columns unchanged.
+
+    Rows are judged by id and text, so rows that repeat an id with another text
+    stay. Texts are read where they lie; only rows that may be contaminated are
+    moved (``spread.apart``). Null, empty and very long texts are judged like
+    any other; an empty table or benchmark changes nothing; clashing columns are
+    kept.
+    """
     found = find_contamination(docs, items, doc_id=doc_id, text=text, **settings)
-    bad = found.filter("contaminated").select("doc_id", "content").distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(bad["doc_id"]) & F.xxhash64(docs[text]).eqNullSafe(bad["content"]), "left_anti")
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("content").alias("_bad_content")).distinct()
+    free, asked = apart(docs, bad.select(F.xxhash64("_bad_id", "_bad_content").alias("key")), F.xxhash64(docs[doc_id], F.xxhash64(docs[text])))
+    same = asked[doc_id].eqNullSafe(bad["_bad_id"]) & F.xxhash64(asked[text]).eqNullSafe(bad["_bad_content"])
+    return free.unionByName(asked.join(bad, same, "left_anti"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .kernel import mix, runs, shingle_sets, slices, words
 from .links import local_roots, tile_pairs
 from .scratch import Scratch, finish
-from .spread import components
+from .spread import apart, components, wide
 
 # Shingles of one tile: about so many are compared with as many in one task.
 TILE_SHINGLES = 400_000
@@ -68,7 +69,7 @@ def _bloom(spark: SparkSession):
 
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, rows: int = 2, miss: float = 2e-5,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", content: bool = False,
 ) -> DataFrame:
     """Documents linked by shingle sets with Jaccard >= ``similarity``: doc_id, n_shingles, component_id, kept.
 
@@ -91,12 +92,15 @@ def near_duplicates(
     fewer words than ``shingle`` the whole sequence is one shingle. Null, empty
     and wordless texts have no shingles and link with nothing. Rows with a null
     id link with nothing, have a null component and are kept. Rows that repeat
-    an id are judged by their own text. Empty tables give no rows.
+    an id are judged by their own text. Empty tables give no rows. ``content``
+    adds a hash of the text.
     """
     scratch = Scratch(docs.sparkSession)
     m = collections_for(similarity, rows, miss)
     mul, add = _seeds(2 * m * rows)
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    extra = ["content"] if content else []
+    hashed = base.withColumn("content", F.xxhash64("text")) if content else base
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -116,16 +120,18 @@ def near_duplicates(
                 for at, d in enumerate(some):
                     digest[d], values[d] = one[at].tobytes() + two[at].tobytes(), v[at]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
-                ["doc_id", "n", "digest", "values"])
+                [part.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(values, pa.list_(pa.int64())), *[part.column(c) for c in extra]],
+                ["doc_id", "n", "digest", "values", *extra])
 
-    signed = scratch.write(base.mapInArrow(sign, "doc_id long, n long, digest binary, values array<long>"), "signed")
+    signed = scratch.write(hashed.mapInArrow(sign, "doc_id long, n long, digest binary, values array<long>" + (", content long" if content else "")), "signed")
     usable = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("digest", "n").agg(F.min("doc_id").alias("cid"), F.first("values").alias("values"))
     classes = scratch.write(classes, "classes")
 
     key = F.xxhash64(F.lit(0).alias("t"), "a", "x", "b", "y")
-    sides = classes.select("cid", F.posexplode(F.slice("values", 1, m)).alias("a", "x"), F.slice("values", m + 1, m).alias("second"))
+    # each class becomes m * m keys: few packed files would be few long tasks
+    spread_out = classes.repartition(wide(classes), "cid")
+    sides = spread_out.select("cid", F.posexplode(F.slice("values", 1, m)).alias("a", "x"), F.slice("values", m + 1, m).alias("second"))
     keys = sides.select("cid", "a", "x", F.posexplode("second").alias("b", "y")).select("cid", key.alias("key"))
     hubs = keys.groupBy(F.col("key").alias("h_key")).agg(F.min("cid").alias("hub"))
     pairs = keys.join(hubs, F.col("key") == F.col("h_key")).filter("cid <> hub").select("cid", "hub").distinct()
@@ -189,14 +195,15 @@ def near_duplicates(
     roots = scratch.write(components(edges, scratch), "roots")
     named = classes.select(F.col("digest").alias("c_digest"), F.col("n").alias("c_n"), "cid").join(roots, F.col("cid") == F.col("node"), "left")
     named = named.select("c_digest", "c_n", F.coalesce("root", "cid").alias("component"))
-    joined = signed.select("doc_id", "n", "digest").join(named, (F.col("digest") == F.col("c_digest")) & (F.col("n") == F.col("c_n")), "left")
+    joined = signed.select("doc_id", "n", "digest", *extra).join(named, (F.col("digest") == F.col("c_digest")) & (F.col("n") == F.col("c_n")), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), *extra)
     return finish(scratch, out, "near-duplicates")
 
 
 def confirmed(hub: np.ndarray, own: np.ndarray, i: int, j: int, flat: np.ndarray, sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs of rows of one tile pair; ``flat`` holds the sets row by row. Enough pairs for the components, not all."""
+    least = Fraction(str(similarity))  # as written: 0.804 is 201 / 250
     n = len(sizes)
     row = np.repeat(np.arange(n), sizes)
     order = np.argsort(flat, kind="stable")
@@ -229,7 +236,7 @@ def confirmed(hub: np.ndarray, own: np.ndarray, i: int, j: int, flat: np.ndarray
             y[rb[rb >= 0], c[rb >= 0]] = 1
             both += x @ y.T
         union = sizes[a][:, None] + sizes[b][None, :] - both
-        p, q = np.nonzero(100 * both.astype(np.float64) >= round(100 * similarity) * union)
+        p, q = np.nonzero(least.denominator * both.astype(np.int64) >= least.numerator * union.astype(np.int64))
         return a[p], b[q]
 
     hubs = np.flatnonzero(hub)
@@ -247,8 +254,19 @@ def confirmed(hub: np.ndarray, own: np.ndarray, i: int, j: int, flat: np.ndarray
 
 
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates (its smallest id), columns unchanged."""
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **settings)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(gone, docs[doc_id] == gone["doc_id"], "left_anti")
-    return kept
+    """``docs`` with one document of each group of near-duplicates (its smallest id), columns unchanged.
+
+    Rows are judged by id and text: of rows that share an id only those in a
+    group go, and of rows equal in id and text one stays. Rows with a null id,
+    and null, empty or wordless texts, stay. Texts are read where they lie; only
+    rows that may go are moved (``spread.apart``). An empty table stays empty;
+    clashing columns are kept.
+    """
+    judged = near_duplicates(docs, doc_id=doc_id, text=text, content=True, **settings).filter("doc_id IS NOT NULL AND n_shingles > 0")
+    named = judged.groupBy(F.col("doc_id").alias("_near_id"), F.col("content").alias("_near_content")).agg(F.min("kept").alias("_near_kept"), F.count(F.lit(1)).alias("_near_n"))
+    named = named.filter("NOT _near_kept OR _near_n > 1")
+    free, asked = apart(docs, named.select(F.xxhash64("_near_id", "_near_content").alias("key")), F.xxhash64(docs[doc_id].cast("long"), F.xxhash64(docs[text])))
+    asked = asked.join(named, (asked[doc_id].cast("long") == F.col("_near_id")) & (F.xxhash64(asked[text]) == F.col("_near_content")), "left")
+    asked = asked.filter("_near_kept IS NULL OR _near_kept")
+    once = asked.filter("_near_n IS NULL").unionByName(asked.filter("_near_n > 1").dropDuplicates(["_near_id", "_near_content"]))
+    return free.unionByName(once.select(*docs.columns))

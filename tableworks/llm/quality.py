@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .kernel import mix, slices, words
 from .scratch import Scratch, finish
-from .spread import quota_cut
+from .spread import apart, quota_cut
 
 BUCKETS = 1 << 14
 TARGET_ROWS = 20_000
@@ -132,7 +132,14 @@ def importance_resample(
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` without those that are not drawn, columns unchanged. Rows that repeat an id go only together."""
+    """``docs`` without those that are not drawn, columns unchanged.
+
+    Decisions are by id: rows that repeat an id, null included, go only
+    together. Texts are read where they lie; only rows whose id may be among the
+    rejected ones are moved (``spread.apart``). Null and empty texts have weight
+    1 like any other; an empty table stays empty; clashing columns are kept.
+    """
     drawn = importance_resample(docs, labels, doc_id=doc_id, **settings)
-    kept = drawn.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["gone"]), "left_anti")
+    gone = drawn.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    free, asked = apart(docs, gone.select(F.xxhash64("_gone").alias("key")), F.xxhash64(docs[doc_id]))
+    return free.unionByName(asked.join(gone, asked[doc_id].eqNullSafe(gone["_gone"]), "left_anti"))

@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None):
 
 
 @query("op1_mix_sources", r"""
-WITH base AS (
+WITH RECURSIVE base AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '/mix'), 1, 13) AS BIGINT) AS draw
   FROM documents),
@@ -68,9 +68,33 @@ odds AS (
   FROM base b JOIN quotas q ON b.source IS NOT DISTINCT FROM q.source),
 ratios AS (SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS r FROM odds),
 ranked AS (SELECT *, CAST(floor(r / (1 + r) * 281474976710656::DOUBLE) AS BIGINT) AS rank FROM ratios),
-summed AS (SELECT *, sum(CASE WHEN part > 0 THEN size END) OVER (PARTITION BY source ORDER BY rank RANGE UNBOUNDED PRECEDING) AS upto FROM ranked),
-inside AS (SELECT *, part > 0 AND upto <= quota AS is_in FROM summed),
-gaps AS (SELECT *, quota - coalesce(sum(CASE WHEN is_in THEN size END) OVER (PARTITION BY source), 0) AS gap FROM inside),
+sorted AS (SELECT *, part > 0 AND size > target * 0.001::DOUBLE AS is_long FROM ranked),
+sides AS (
+  SELECT source, any_value(quota) AS quota, CAST(coalesce(sum(size) FILTER (WHERE NOT is_long), 0) AS BIGINT) AS short_words, any_value(part) AS part,
+         CAST(coalesce(sum(size) FILTER (WHERE is_long), 0) AS BIGINT) AS long_words FROM sorted WHERE part > 0 GROUP BY source),
+longs AS (
+  SELECT source, rank, doc_id, size, words, upto, all_words - upto AS after, row_number() OVER (PARTITION BY source ORDER BY bits DESC, rank, doc_id NULLS FIRST, size) AS k
+  FROM (SELECT *, CAST(sum(words) OVER (PARTITION BY source ORDER BY bits DESC) AS BIGINT) AS upto, CAST(sum(words) OVER (PARTITION BY source) AS BIGINT) AS all_words
+    FROM (SELECT source, rank, doc_id, size, length(format('{:b}', size)) AS bits, CAST(sum(size) AS BIGINT) AS words FROM sorted WHERE is_long GROUP BY ALL))),
+limits AS (
+  SELECT l.*, s.quota, greatest(least(CAST(floor(s.part * l.upto) AS BIGINT), s.quota), s.quota - s.short_words - l.after) AS most
+  FROM longs l JOIN sides s ON l.source IS NOT DISTINCT FROM s.source),
+fit AS (
+  SELECT source, k, doc_id, size, CASE WHEN words <= 2 * most AND words <= quota THEN words ELSE 0 END AS total, words <= 2 * most AND words <= quota AS taken FROM limits WHERE k = 1
+  UNION ALL SELECT l.source, l.k, l.doc_id, l.size, CASE WHEN l.words <= 2 * (most - f.total) AND f.total + l.words <= l.quota THEN f.total + l.words ELSE f.total END,
+    l.words <= 2 * (most - f.total) AND f.total + l.words <= l.quota
+  FROM fit f JOIN limits l ON l.source IS NOT DISTINCT FROM f.source AND l.k = f.k + 1),
+chosen AS (SELECT source, doc_id, size FROM fit WHERE taken),
+short_quota AS (
+  SELECT s.source, s.quota - coalesce(f.total, 0) AS short_quota
+  FROM sides s LEFT JOIN (SELECT source, max(total) AS total FROM fit GROUP BY source) f ON s.source IS NOT DISTINCT FROM f.source),
+summed AS (
+  SELECT s.*, q.short_quota, c.size IS NOT NULL AS is_chosen,
+         sum(CASE WHEN s.part > 0 AND NOT is_long THEN s.size END) OVER (PARTITION BY s.source ORDER BY s.rank RANGE UNBOUNDED PRECEDING) AS upto
+  FROM sorted s LEFT JOIN short_quota q ON s.source IS NOT DISTINCT FROM q.source
+  LEFT JOIN chosen c ON is_long AND s.source IS NOT DISTINCT FROM c.source AND s.doc_id IS NOT DISTINCT FROM c.doc_id AND s.size = c.size),
+inside AS (SELECT *, coalesce(CASE WHEN part > 0 THEN CASE WHEN is_long THEN is_chosen ELSE upto <= short_quota END END, false) AS is_in FROM summed),
+gaps AS (SELECT *, short_quota - coalesce(sum(CASE WHEN is_in AND NOT is_long THEN size END) OVER (PARTITION BY source), 0) AS gap FROM inside),
 closing AS (
   SELECT source, doc_id, size FROM (
     SELECT source, doc_id, size, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), rank, doc_id, size) AS k

@@ -50,6 +50,30 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], scratch: Scra
     return joined.withColumn(name, (F.col("_before") + F.col("_local")).cast("long")).drop("_piece", "_local", "_before")
 
 
+# Size of the bit array that tells rows no decision names: 16 MB in all, in bitmaps of 4 KB.
+MARK_BITS, BITMAP_BITS = 1 << 27, 1 << 15
+
+
+def apart(docs: DataFrame, keys: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose ``key`` (a hash) is surely not in ``keys`` (a column ``key``), and the others.
+
+    The keys are set in a bit array of ``MARK_BITS``, and that is sent to the
+    tasks: its size is bounded whatever the tables'. A row whose bit is off is
+    named by no key, so it need not be moved to be compared; of the others a
+    few are there by chance, and the caller compares them exactly.
+    """
+    spot = F.pmod(F.col("key"), F.lit(MARK_BITS)).cast("int")
+    bits = keys.select(F.shiftright(spot, 15).alias("_bucket"), spot.bitwiseAND(BITMAP_BITS - 1).cast("long").alias("at"))
+    bits = bits.groupBy("_bucket").agg(F.bitmap_construct_agg("at").alias("_bits"))
+    mine = F.pmod(key, F.lit(MARK_BITS)).cast("int")
+    marked = docs.select(F.struct(*[docs[n] for n in docs.columns]).alias("_row"), mine.alias("_spot")).withColumn("_own", F.shiftright("_spot", 15))
+    marked = marked.join(F.broadcast(bits), F.col("_own") == F.col("_bucket"), "left")
+    place = F.col("_spot").bitwiseAND(BITMAP_BITS - 1)
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    on = F.coalesce(F.call_function("shiftright", byte, place.bitwiseAND(7)).bitwiseAND(1) == 1, F.lit(False))
+    return tuple(marked.filter(c).select("_row.*") for c in (~on, on))
+
+
 RANK_BITS, LEVEL_BITS = 48, 16
 
 

@@ -125,6 +125,17 @@ def test_mix_meets_its_targets_and_is_repeatable(s, messy):
     assert Counter(r.doc_id for r in mixed.collect()) == +want
 
 
+def test_mix_meets_its_targets_beside_very_long_documents(s):
+    """Three sources of 300 short texts with one of a third of all words each: the long ones do not keep any from its target."""
+    rng = np.random.default_rng(12)
+    for seed in range(2):
+        rows = [doc(1000 * k + i, " ".join(["w"] * (5000 if i == 0 else int(rng.integers(10, 61)))), f"s{k}") for k in range(3) for i in range(300)]
+        got = mixing.mix_sources(s.createDataFrame(rows, SCHEMA), seed=f"seed {seed}").collect()
+        for k in range(3):
+            mine = [r for r in got if r.source == f"s{k}"]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 60
+
+
 def test_mix_of_nothing(empty):
     assert mixing.mix_sources(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
 
@@ -371,6 +382,14 @@ def test_near_duplicates_equal_brute_force(s, messy, empty, monkeypatch):
     assert collected(minhash.near_duplicates(docs, shingle=3, similarity=0.85)) == brute_near(rows, 3, 85)
     kept = minhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns
+    again = s.createDataFrame([doc(1, BASE), doc(13, BASE), doc(13, "a third text found nowhere else"), doc(13, "a third text found nowhere else"), doc(None, BASE), doc(14, "")], SCHEMA)
+    assert sorted((str(r.doc_id), r.text[:3]) for r in minhash.without_near_duplicates(again).collect()) == [("1", "ter"), ("13", "a t"), ("14", ""), ("None", "ter")]
+    # 100 shingles and 80.1 % in common: apart at 0.804, linked at 0.8
+    long = [f"u{i}" for i in range(1000)]
+    pair = s.createDataFrame([doc(1, " ".join(long)), doc(2, " ".join(long[:890] + [f"v{i}" for i in range(110)]))], SCHEMA)
+    shared, union = 890 - 2, 2 * 998 - (890 - 2)
+    assert 0.8 < shared / union < 0.804
+    assert [sum(r.kept for r in minhash.near_duplicates(pair, shingle=3, similarity=x).collect()) for x in (0.8, 0.804)] == [1, 2]
     assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in sorted(brute_near(rows, 5, 80), key=lambda r: r[0]) if r[3]]
     assert minhash.near_duplicates(empty).collect() == []
 
@@ -584,6 +603,31 @@ def test_no_python_in_decontamination(s, messy):
 # --- the pipeline ------------------------------------------------------------------------------------------------------
 
 
+def test_rows_apart_from_keys(s):
+    docs = s.range(3000).select("id", F.lit(1).alias("key"), F.lit("x").alias("_bits"))
+    keys = docs.filter("id % 3 = 0").select(F.xxhash64("id").alias("key"))
+    free, asked = spread.apart(docs, keys, F.xxhash64(docs["id"]))
+    assert free.columns == docs.columns and free.count() + asked.count() == 3000
+    assert free.filter("id % 3 = 0").count() == 0 and asked.count() < 1010
+    free, asked = spread.apart(docs, keys.limit(0), F.xxhash64(docs["id"]))
+    assert free.count() == 3000 and asked.count() == 0
+
+
+@pytest.mark.parametrize("kind", ["messy", "empty"])
+def test_pipeline_stages_on_odd_rows(s, tables, messy, empty, kind):
+    import corpus_pipeline as p
+
+    docs = messy if kind == "messy" else empty
+    columns = docs.columns
+    for name, stage in p.STAGES:
+        before, docs = docs, Scratch(s).write(stage(s, docs, tables.folder))
+        if name != "sharding":
+            assert docs.columns == columns
+    assert docs.count() == before.count()
+    if kind == "messy":
+        assert docs.count() > 0 and {r.doc_id for r in docs.collect()} <= {r[0] for r in MESSY}
+
+
 def test_pipeline_stages_by_brute_force(s, tables):
     import corpus_pipeline as p
 
