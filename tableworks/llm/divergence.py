@@ -25,7 +25,9 @@ SCALE = 1_000_000_000
 # Terms, and terms times sources, that a block of the pair sums holds at most.
 BLOCK_TERMS, BLOCK_CELLS = 4096, 1 << 23
 
+# White space becomes a space and A-Z become a-z, which terms do anyway: fewer chunks differ.
 _FOLD = np.where(SPACES, 32, np.arange(256)).astype(np.uint8)
+_FOLD[65:91] += 32
 
 
 def gathered(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
@@ -98,10 +100,37 @@ _TALLY = "language int, term string, docs long, groups array<int>, times array<l
 _TALLY_ARROW = pa.schema([("language", pa.int32()), ("term", pa.string()), ("docs", pa.int64()), ("groups", pa.list_(pa.int32())), ("times", pa.list_(pa.int64()))])
 
 
+_CELLS = "language int, term string, cells binary"
+_CELLS_ARROW = pa.schema([("language", pa.int32()), ("term", pa.string()), ("cells", pa.binary())])
+
+
+def packed_cells(docs: np.ndarray, sizes: np.ndarray, groups: np.ndarray, times: np.ndarray) -> pa.BinaryArray:
+    """Per row its documents, then a group and its count in turn, as 32-bit integers: a slice's counts fit them."""
+    row = np.repeat(np.arange(len(docs)), sizes)
+    begin = np.concatenate([[0], np.cumsum(1 + 2 * sizes)])
+    out = np.empty(begin[-1], "<u4")
+    out[begin[:-1]] = docs
+    at = 2 * np.arange(len(groups)) + row + 1
+    out[at], out[at + 1] = groups, times
+    return pa.BinaryArray.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer((4 * begin).astype(np.int32)), pa.py_buffer(out)])
+
+
+def _spread_cells(batch: pa.RecordBatch) -> pa.Table:
+    cells = batch.column("cells")
+    begin = np.frombuffer(cells.buffers()[1], np.int32)[cells.offset:cells.offset + len(cells) + 1].astype(np.int64) // 4
+    flat = np.frombuffer(cells.buffers()[2], "<u4").astype(np.int64)[begin[0]:begin[-1]]
+    begin -= begin[0]
+    docs = np.zeros(len(flat), dtype=bool)
+    docs[begin[:-1]] = True
+    pairs = flat[~docs]
+    sizes = (np.diff(begin) - 1) // 2
+    return pa.Table.from_arrays([batch.column("language"), batch.column("term").cast(pa.string()), pa.array(flat[docs]), _lists(pairs[::2], sizes, pa.int32()), _lists(pairs[1::2], sizes, pa.int64())], schema=_TALLY_ARROW)
+
+
 def _tally(terms: pa.Table, slices: pa.Table) -> pa.Table:
     """A slice's terms: distinct documents per language, occurrences per group."""
     if not terms.num_rows or not slices.num_rows:
-        return _TALLY_ARROW.empty_table()
+        return _CELLS_ARROW.empty_table()
     bounds, docs, counts, members = (_unpacked(slices[c][0].as_py()) for c in ("bounds", "docs", "counts", "members"))
     language, group = (np.array(slices[c][0].as_py(), np.int64)[members] for c in ("languages", "numbers"))
     coded = pc.dictionary_encode(terms["term"].combine_chunks())
@@ -121,12 +150,10 @@ def _tally(terms: pa.Table, slices: pa.Table) -> pa.Table:
     cell = _runs((code * (group.max() + 1)) + group[doc])
     times, cell_code, cell_language, cell_group = np.add.reduceat(times, cell), code[cell], language[doc[cell]], group[doc[cell]]
     row = _runs(cell_code * (language.max() + 1) + cell_language)
-    ends = np.append(cell, len(code))
     return pa.Table.from_arrays([
         pa.array(cell_language[row], pa.int32()), coded.dictionary.take(pa.array(cell_code[row])).cast(pa.string()),
-        pa.array(np.diff(np.append(ends[row], len(code))), pa.int64()),
-        _lists(cell_group, np.diff(np.append(row, len(cell))), pa.int32()), _lists(times, np.diff(np.append(row, len(cell))), pa.int64()),
-    ], schema=_TALLY_ARROW)
+        packed_cells(np.diff(np.append(cell[row], len(code))), np.diff(np.append(row, len(cell))), cell_group, times),
+    ], schema=_CELLS_ARROW)
 
 
 def _merged(rows: pa.Table) -> pa.Table:
@@ -163,7 +190,7 @@ def _merge_terms(least_docs: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(pa.Table.from_batches([batch]).cast(_TALLY_ARROW))
+            held.append(_spread_cells(batch))
             waiting += batch.num_rows
             if waiting >= MERGE_ROWS:
                 rows = _merged(pa.concat_tables(held))
@@ -270,7 +297,7 @@ def source_divergence(docs: DataFrame, least_docs: int = 10, top: int = 10) -> D
     local = local.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("k", "language", "group"))).alias("of"))
     local = local.select("slice", F.col("of.language").alias("languages"), F.col("of.group").alias("numbers"))
     counted = slices.select(F.col("slice").alias("of_slice"), "bounds", "docs", "counts", "members").join(local.withColumnRenamed("slice", "of_slice"), "of_slice")
-    tallied = terms.groupBy("slice").cogroup(counted.groupBy("of_slice")).applyInArrow(_tally, _TALLY)
+    tallied = terms.groupBy("slice").cogroup(counted.groupBy("of_slice")).applyInArrow(_tally, _CELLS)
     ordered = tallied.repartition("language", "term").sortWithinPartitions("language", "term")
     kept = scratch.write(ordered.mapInArrow(_merge_terms(least_docs), _TALLY), "terms")
 

@@ -84,7 +84,13 @@ def test_terms_of_many_slices_are_merged_as_they_stream(monkeypatch):
     monkeypatch.setattr(divergence, "MERGE_ROWS", 3)
     rng = random.Random(2)
     rows = sorted((rng.randint(0, 1), rng.choice("abcde"), rng.randint(1, 3), sorted(rng.sample(range(4), 2))) for _ in range(200))
-    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[(la, te, d, g, [d] * 2) for la, te, d, g in rows[k:k + 7]]), divergence._TALLY_ARROW.types)], divergence._TALLY_ARROW.names) for k in range(0, 200, 7)]
+    batches = []
+    for k in range(0, 200, 7):
+        la, te, d, g = zip(*rows[k:k + 7])
+        flat = np.array([x for groups in g for x in groups])
+        times = np.repeat(d, [len(groups) for groups in g])
+        cells = divergence.packed_cells(np.array(d), np.array([len(groups) for groups in g]), flat, times)
+        batches.append(pa.RecordBatch.from_arrays([pa.array(la, pa.int32()), pa.array(te), cells], ["language", "term", "cells"]).slice(0))
     got = [r for b in divergence._merge_terms(40)(iter(batches)) for r in b.to_pylist()]
     want = {}
     for la, te, d, g in rows:
