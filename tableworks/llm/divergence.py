@@ -16,7 +16,7 @@ from .scratch import Scratch, finish
 from .spread import attach, number_rows
 
 # Bytes of text whose chunks are counted together; a longer text is counted alone.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 32 << 20
 # Rows merged at once when the slices' terms come together.
 MERGE_ROWS = 100_000
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -60,14 +60,17 @@ def chunk_counts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u4").tobytes())
+    """Compressed byte planes: the high bytes of small numbers are all zero."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4").astype(np.int64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-_SLICE = "slice long, chunks string, bounds binary, docs binary, counts binary, members binary, langs array<string>, sources array<string>"
+_SLICE = "slice long, chunks string, sizes binary, docs binary, counts binary, members binary, langs array<string>, sources array<string>"
 
 
 def _count_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +83,7 @@ def _count_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         members = [groups.setdefault(g, len(groups)) for g in zip(rows["lang"].to_pylist(), rows["source"].to_pylist())]
         yield pa.RecordBatch.from_pydict({
             "slice": pa.array([first + k], pa.int64()), "chunks": [" ".join(chunks.to_pylist())],
-            "bounds": [_packed(bounds)], "docs": [_packed(docs)], "counts": [_packed(counts)], "members": [_packed(np.array(members))],
+            "sizes": [_packed(np.diff(bounds))], "docs": [_packed(docs)], "counts": [_packed(counts)], "members": [_packed(np.array(members))],
             "langs": pa.array([[g[0] for g in groups]], pa.list_(pa.string())), "sources": pa.array([[g[1] for g in groups]], pa.list_(pa.string())),
         })
 
@@ -131,7 +134,8 @@ def _tally(terms: pa.Table, slices: pa.Table) -> pa.Table:
     """A slice's terms: distinct documents per language, occurrences per group."""
     if not terms.num_rows or not slices.num_rows:
         return _CELLS_ARROW.empty_table()
-    bounds, docs, counts, members = (_unpacked(slices[c][0].as_py()) for c in ("bounds", "docs", "counts", "members"))
+    held, docs, counts, members = (_unpacked(slices[c][0].as_py()) for c in ("sizes", "docs", "counts", "members"))
+    bounds = np.concatenate([[0], np.cumsum(held)])
     language, group = (np.array(slices[c][0].as_py(), np.int64)[members] for c in ("languages", "numbers"))
     coded = pc.dictionary_encode(terms["term"].combine_chunks())
     code, no = coded.indices.to_numpy().astype(np.int64), terms["no"].to_numpy()
@@ -260,7 +264,7 @@ def source_divergence(docs: DataFrame, least_docs: int = 10, top: int = 10) -> D
     the group is above that in the language. A language keeps the terms found in
     at least ``least_docs`` of its documents (rows of ``docs``).
 
-    Whitespace chunks are counted per document in slices of 16 MB of text; each
+    Whitespace chunks are counted per document in slices of 32 MB of text; each
     globally distinct chunk is split into terms once, at its first row in a
     partition by chunk, and its other rows are joined with that one, so the
     terms go back to the slices, where a slice counts a term's distinct documents and its
@@ -296,7 +300,7 @@ def source_divergence(docs: DataFrame, least_docs: int = 10, top: int = 10) -> D
     local = attach(local.select("slice", "k", "of.langs", "of.sources").toDF("slice", "k", "lang", "source"), named, ["lang", "source"])
     local = local.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("k", "language", "group"))).alias("of"))
     local = local.select("slice", F.col("of.language").alias("languages"), F.col("of.group").alias("numbers"))
-    counted = slices.select(F.col("slice").alias("of_slice"), "bounds", "docs", "counts", "members").join(local.withColumnRenamed("slice", "of_slice"), "of_slice")
+    counted = slices.select(F.col("slice").alias("of_slice"), "sizes", "docs", "counts", "members").join(local.withColumnRenamed("slice", "of_slice"), "of_slice")
     tallied = terms.groupBy("slice").cogroup(counted.groupBy("of_slice")).applyInArrow(_tally, _CELLS)
     ordered = tallied.repartition("language", "term").sortWithinPartitions("language", "term")
     kept = scratch.write(ordered.mapInArrow(_merge_terms(least_docs), _TALLY), "terms")
