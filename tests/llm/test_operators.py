@@ -546,25 +546,55 @@ def test_a_table_of_groups_only_keeps_them_whole(s):
     assert len(places) == 1200 and all(len(p) == 1 for p in places.values())
 
 
-def test_packing_fills_every_quota_and_cuts_little():
+def link_groups(s, sizes, shards, seed):
+    """Groups of the given sizes whose documents lie in random shards, as ``propagate`` takes them."""
+    rng, rows = np.random.default_rng(seed), []
+    for g, m in enumerate(sizes):
+        at = Counter(rng.integers(0, shards, m).tolist())
+        rows.append((g.to_bytes(4, "big"), m, sorted(((n, int(rng.integers(100)), k) for k, n in at.items()), reverse=True)))
+    return s.createDataFrame(rows, f"group binary, members long, near {sharding._NEAR}")
+
+
+@pytest.mark.parametrize("high, groups, spare", [(3, 300, 0), (20, 120, 0), (40, 60, 5), (20, 120, 400)])
+def test_labels_propagate_under_quotas(s, high, groups, spare):
+    sizes = np.random.default_rng(high).integers(2, high, groups).tolist()
+    total = sum(sizes) + spare
+    quotas = [total // 10 + (k < total % 10) for k in range(10)]
+    scratch = Scratch(s)
+    moves, rooms = sharding.propagate(link_groups(s, sizes, 10, 3), quotas, scratch)
+    rounds = [m.collect() for m in moves]
+    settled = {int.from_bytes(r.group, "big"): r for rows in rounds for r in rows}
+    assert len(settled) == sum(map(len, rounds)) and all(r.members == sizes[g] for g, r in settled.items())
+    taken = Counter()
+    for r in settled.values():
+        taken[r.shard] += r.members
+    assert rooms == [q - taken[k] for k, q in enumerate(quotas)] and min(rooms) >= 0
+    # no group stays apart that would fit a shard whole, and every round joins links that were cut
+    assert all(sizes[g] > max(rooms) for g in range(groups) if g not in settled)
+    assert all(sum(r.members - r.near[0].n for r in rows) > 0 for rows in rounds)
+    if spare == 400:
+        at_home = sum(r.shard == r.near[0].label for r in settled.values())
+        assert len(settled) == groups and at_home >= 0.9 * groups
+    scratch.close()
+
+
+def test_every_cut_of_a_shard_fills_it(s):
     rng = np.random.default_rng(9)
-    for turn in range(300):
-        shards, high = int(rng.integers(1, 41)), int(rng.choice([4, 20, 300]))
-        classes = sorted(Counter(rng.integers(1, high, int(rng.integers(0, 400))).tolist()).items(), reverse=True)
-        total = sum(m * n for m, n in classes)
-        quotas = [total // shards + (k < total % shards) for k in range(shards)]
-        runs = sorted(sharding.pack(classes, quotas), key=lambda r: r[1])
-        owner = [k for _, _, n, k in runs for _ in range(n)]
-        assert [p for _, p, _, _ in runs] == [sum(r[2] for r in runs[:i]) for i in range(len(runs))]
-        assert [Counter(owner)[k] for k in range(shards)] == quotas
-        at = extra = 0
-        for m, n in classes:
-            for _ in range(n):
-                extra += len(set(owner[at:at + m])) - -(-m // max(quotas))
-                at += m
-        assert at == total and 0 <= extra < shards
-    # 3, 3, 2, 2 in each shard, though three threes fit first
-    assert sum(n % m > 0 for m, _, n, _ in sharding.pack([(3, 80), (2, 80)], [10] * 40)) == 0
+    for shards, high, hot in ((7, 30, 0), (13, 9, 150), (40, 6, 1)):
+        sizes = rng.integers(1, high, 60).tolist() + [hot] * (hot > 1)
+        rows = [doc(i, f"group {g}") for i, g in enumerate(g for g, m in enumerate(sizes) for _ in range(m))]
+        got = sharding.shard_documents(s.createDataFrame(rows, SCHEMA), shards=shards).collect()
+        count = Counter(r.shard for r in got)
+        assert sorted(r.doc_id for r in got) == list(range(len(rows))) and len(count) == shards and max(count.values()) - min(count.values()) <= 1
+        places = defaultdict(set)
+        for r in got:
+            places[rows[r.doc_id][1]].add(r.shard)
+        assert sum(len(p) - 1 for p in places.values()) < shards
+
+
+def test_fewer_rows_than_shards_and_null_texts(s):
+    got = sharding.shard_documents(s.createDataFrame([doc(1, "a"), doc(2, "a"), doc(None, None), doc(None, None)], SCHEMA), shards=6).collect()
+    assert Counter(r.shard for r in got) == Counter(range(4)) and {(r.size, r.text_crc32) for r in got if r.doc_id is None} == {(16, None)}
 
 
 # --- op10 --------------------------------------------------------------------------------------------------------------
