@@ -27,9 +27,18 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SEED = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]")
-# What a text must hold to be looked at by Python at all.
-HINT = r"[0-9@]|[\[(]at[\])]"
+
+
+
+def _any_case(*words: str) -> str:
+    """Pattern of the words in any case; spelt out, as the flag for it differs between Spark and Python."""
+    return "(?:" + "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in words) + ")"
+
+
+# What an entity of the field must hold, and a text to be looked at by Python at all: one pattern for both.
+_ASSIGNED = _any_case("password", "passwd", "secret", "token", "key") + r"[\x22']?[ \t]{0,3}[=:][ \t]{0,3}[\x22']?[0-9A-Za-z]{12}"
+HINT = rf"[0-9@]|[\[(]{_any_case('at', 'dot')}[\])]|{_ASSIGNED}"
+_SEED = re.compile(HINT)
 
 Span = tuple[str, int, int]
 
@@ -79,6 +88,7 @@ REACH = 64  # characters kept on either side of a seed in a longer piece without
 LONG_SPAN = 400  # characters; features of longer segments are not cached
 _TRIM = ".,;:!?\"'()[]{}<>"
 _WORD = re.compile(r"\S+")
+_NAMED = re.compile(_ASSIGNED)
 # Letters that are not Latin, in runs (hyphens of U+2010 to U+2015 stay with their neighbours); and all else.
 _SCRIPT = re.compile("[\u0250-\u1dff\u1f00-\u200f\u2016-\U0010ffff]+|[^\u0250-\u1dff\u1f00-\u200f\u2016-\U0010ffff]+")
 _PIECE = re.compile(r"[^\"'`{}<>|;,&?\\]+")
@@ -104,7 +114,7 @@ def span_features(span: str, before: str, words: int) -> tuple[int, ...]:
         f"upper{len(core) >= 12 and bool(digits) and core.isascii() and core.isalnum() and core.upper() == core}",
         f"assigned{'=' in core and len(core.split('=')[-1]) >= 8}", f"luhn{len(digits) >= 12 and luhn(digits)}",
         f"quad{len(parts) == 4 and all(p.isdigit() and len(p) <= 3 for p in parts)}",
-        f"word{any(w in core for w in ('[at]', '(at)', '[dot]', '(dot)'))}",
+        f"word{any(w in core.lower() for w in ('[at]', '(at)', '[dot]', '(dot)'))}", f"named{_NAMED.search(core) is not None}",
         f"before={re.sub('[^a-z=:]', '', before.lower())[-10:]}", f"seed{_SEED.search(core) is not None}",
     ]
     return tuple(_bucket(n) for n in names)
@@ -226,7 +236,15 @@ def pieces(text: str) -> Iterator[tuple[int, int]]:
 def windows(text: str) -> Iterator[list[tuple[int, int]]]:
     """Runs of words (as offsets) around those that may be part of an entity."""
     words = list(pieces(text))
-    seeds = [i for i, (a, b) in enumerate(words) if _SEED.search(text, a, b)]
+    seeds, at = [], 0
+    for seed in _SEED.finditer(text):  # one may reach over several words
+        while at < len(words) and words[at][1] <= seed.start():
+            at += 1
+        last = at
+        while last < len(words) and words[last][0] < seed.end():
+            if not seeds or seeds[-1] < last:
+                seeds.append(last)
+            last += 1
     low = 0
     while seeds:
         start = max(low, seeds[0] - AROUND)
@@ -241,7 +259,7 @@ def windows(text: str) -> Iterator[list[tuple[int, int]]]:
         low = end
 
 
-_SECRET = re.compile(r"AKIA[0-9A-Z]{16}|(?:password|token|secret|key)\s*[=:]\s*\"?[0-9A-Za-z]{12,}\"?")
+_SECRET = re.compile(rf"AKIA[0-9A-Z]{{16}}|{_ASSIGNED}[0-9A-Za-z]*")
 
 
 def _training_window(text: str, words: list[tuple[int, int]]) -> tuple[list[str], list[tuple[int, int, int]]]:
@@ -251,7 +269,6 @@ def _training_window(text: str, words: list[tuple[int, int]]) -> tuple[list[str]
     gold, held = [], [text[a:b] for a, b in words]
     for kind, x, y in base:
         at = [i for i, (a, b) in enumerate(words) if a < y and x < b]
-        at = [i for i in at if _SEED.search(held[i])] if kind == "secret" else at
         if at and at[-1] - at[0] < LONGEST and not any(g[0] <= at[-1] and at[0] < g[1] for g in gold):
             gold.append((at[0], at[-1] + 1, LABELS.index(kind if kind == "secret" else f"soft_{kind}")))
     return held, gold
@@ -264,10 +281,14 @@ def _spoken(rng: np.random.Generator) -> tuple[list[str], int]:
     host = "".join(rng.choice(list("abcdefghijklmnoprstuvw"), 5))
     forms = [
         ([f"{name}[at]{host}[dot]com"], 1), ([f"{name}(at){host}.org"], 1), ([name, "[at]", f"{host}.com"], 1), ([f"{name}@{host}"], 1),
+        ([f"{name[:3]}[dot]{name[3:]}(at){host}[dot]com"], 1), ([f"{name}[AT]{host}[DOT]com".upper()], 1),
+        ([f"{name[:3]}[dot]{name[3:]}", "at", f"{host}[dot]com"], 1), ([f"{name}", "at", f"{host}(dot)org"], 1),
         ([f"{d(2)}[dot]{d(2)}[dot]{d(2)}[dot]{d(2)}"], 2),
         ([f"4{d(3)}.{d(4)}.{d(4)}.{d(4)}"], 3), ([f"4{d(3)}/{d(4)}/{d(4)}/{d(4)}"], 3),
         ([f"({d(3)})", f"555-{d(4)}"], 4), ([f"{d(3)}-555-{d(4)}"], 4), ([f"{d(3)}.555.{d(4)}"], 4), (["00" + d(2), d(3), d(7)], 4),
         ([f"sk-{''.join(rng.choice(list('0123456789abcdef'), 24))}"], 5), ([f"secret:{''.join(rng.choice(list('0123456789abcdef'), 20))}"], 5),
+        ([f"{rng.choice(['password', 'token', 'secret', 'API_KEY'])}={''.join(rng.choice(list('abcdefghijklmnopqrstuvwxyz'), 16))}"], 5),
+        (["password:", "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 16))], 5),
     ]
     return forms[int(rng.integers(len(forms)))]
 
@@ -281,7 +302,7 @@ def train_field(texts: list[str], seed: int = 8, epochs: int = 4, most_windows:
             examples.append(_training_window(text, words))
     examples = [examples[i] for i in rng.permutation(len(examples))[:most_windows]]
     pick = lambda n: [plain[i] for i in rng.integers(0, len(plain), n)]
-    for _ in range(260):
+    for _ in range(340):
         entity, y = _spoken(rng)
         left = pick(int(rng.integers(1, 4)))
         examples.append((left + entity + pick(int(rng.integers(1, 4))), [(len(left), len(left) + len(entity), y)]))
@@ -289,6 +310,9 @@ def train_field(texts: list[str], seed: int = 8, epochs: int = 4, most_windows:
         number = str(rng.choice(["2.0.", "3.", f"{rng.integers(1900, 2100)}", f"{rng.integers(1, 999)},", f"{rng.integers(1, 99)}.{rng.integers(1, 99)}", f"{rng.integers(1000, 99999)}", f"{rng.integers(1, 28)}/{rng.integers(1, 12)}/{rng.integers(1990, 2030)}", f"10:{rng.integers(10, 59)}"]))
         left = pick(int(rng.integers(1, 4)))
         examples.append((left + [number] + pick(2), []))
+    for name in ("key:", "token:", "Secret:"):  # a name before a long word assigns nothing
+        for _ in range(12):
+            examples.append((pick(2) + [name, "".join(pick(4))[:20].ljust(12, "e")] + pick(2), []))
     field = Field()
     for epoch in range(epochs):
         for i in rng.permutation(len(examples)):
@@ -316,21 +340,23 @@ def find_pii(docs: DataFrame, train_rows: int = 1_500, train_bytes: int = 16 <<
     """Personal data of every whole text: doc_id, base, spans (both arrays of kind, start, end).
 
     ``base`` holds the matches of the exact patterns. The field scores candidate
-    segments of up to four words around digits, ``@`` and ``[at]`` with features
+    segments of up to four words around digits, ``@``, ``[at]`` and ``[dot]`` (in
+    round or square marks and any case) and names like ``password`` that are
+    given a value of 12 or more letters and digits, with features
     of the whole segment, and dynamic programming picks boundaries and types
     together; its segments that touch no base span are added to ``spans`` as
     ``soft_email``, ``soft_ip``, ``soft_card``, ``soft_phone`` and ``secret``,
     so the four base kinds count exactly what the patterns find. Words are cut
     where the script changes, and those above ``LONG_WORD`` characters at quotes,
     commas and other marks; where there are none, ``REACH`` characters around
-    every digit, ``@`` or ``[at]`` are looked at. It is trained on
+    every such place are looked at. It is trained on
     the driver on at most ``train_rows`` texts with a hint of personal data
     (the smallest hashes of the id, ``train_bytes`` of text; a text that does not
     fit is passed over), of these on ``most_windows`` random windows labelled by
     the base patterns, and on generated unusual spellings among the first 60
     words of 200 of the texts.
 
-    Null and empty texts, and texts without any digit or ``@``, have no spans.
+    Null and empty texts, and texts without any such place, have no spans.
     Rows that repeat are handled each. A null id is kept. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)

@@ -470,6 +470,26 @@ def test_field_looks_into_long_unbroken_runs(tables):
         assert all(any(a <= m.start() and m.end() <= b for a, b in cut) for m in pii._SEED.finditer(text))
 
 
+def test_every_spelling_is_seen_without_an_unrelated_digit(s, tables):
+    cases = [
+        ("please write to john[dot]doe at example[dot]com", "soft_email", "john[dot]doe at example[dot]com"),
+        ("please write to JOHN[AT]EXAMPLE[DOT]COM or call", "soft_email", "JOHN[AT]EXAMPLE[DOT]COM"),
+        ("please write to john[dot]doe(at)example[dot]com or call", "soft_email", "john[dot]doe(at)example[dot]com"),
+        ("then set password=abcdefghijklmnop in the file", "secret", "password=abcdefghijklmnop"),
+        ("then set Token=qwertyzuiopasdfg in the file", "secret", "Token=qwertyzuiopasdfg"),
+    ]
+    clean = ["The key: understanding how tables grow", "a token of thanks and a secret = never told", "no dot at all here"]
+    texts = [t for t, _, _ in cases] + clean
+    rows = [doc(i, t) for i, t in enumerate(texts)] + [doc(100 + i, t + " , and so on until line 7 ends") for i, t in enumerate(texts)]
+    docs = s.createDataFrame(rows, SCHEMA).select("doc_id", "text").unionByName(tables.documents.select((F.col("doc_id") + 1000).alias("doc_id"), "text"))
+    got = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans] for r in pii.find_pii(docs).filter("doc_id < 1000").collect()}
+    for i, (text, kind, span) in enumerate(cases):
+        assert [(k, text[a:b]) for k, a, b in got[i]] == [(kind, span)], (text, got[i])
+        assert got[100 + i] == got[i]
+    for i in range(len(cases), len(texts)):
+        assert got[i] == [] and got[100 + i] == [], texts[i]
+
+
 def test_field_sample_passes_over_a_text_that_does_not_fit(s, monkeypatch):
     seen = {}
     monkeypatch.setattr(pii, "train_field", lambda texts, seed, most_windows: seen.update(texts=texts, most=most_windows) or pii.Field())
