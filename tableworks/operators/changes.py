@@ -1,7 +1,6 @@
 """Change data: apply, merge, compare, history, and table layout.
 
-Parquet has no merge, so these functions return the new state of a table;
-``sources.tables`` swaps it in.
+Parquet has no merge, so these functions return the new state of a table.
 """
 
 from __future__ import annotations

@@ -14,8 +14,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import merge_batch, read_keyed, replace_keyed
-from .changes import merge_upsert
+from ..sources.tables import BATCH, append_batch, read_log
 from .clean import hash_share
 from .joins import join_asof
 from .windows import latest_per_key
@@ -31,28 +30,44 @@ def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one.select(*keys, guarded.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def write_features(df: DataFrame, path: str, keys: Sequence[str], version: int, ts: str | None = None, mode: str = "merge", buckets: int = 32) -> None:
+WRITTEN = "_written"
+
+
+def write_features(df: DataFrame, path: str, keys: Sequence[str], version: int, ts: str | None = None, mode: str = "merge") -> None:
     """Store features under their primary key (plus time key).
 
-    ``merge`` updates and inserts, and may add columns; ``overwrite`` replaces
-    all rows. ``version`` numbers the write: repeating it is harmless.
+    ``merge`` updates and inserts: the rows are appended to a log with the
+    names of their columns, so a write may add columns and leaves those it
+    lacks as they are. ``overwrite`` replaces all rows. ``version`` numbers the
+    write, later ones higher: repeating it is harmless. A table that is
+    overwritten with rows read from itself is materialised before.
     """
-    full = [*keys, *([ts] if ts else [])]
-    checked = unique_rows(df, full)
+    checked = unique_rows(df, [*keys, *([ts] if ts else [])])
+    marked = checked.withColumn(WRITTEN, F.array(*[F.lit(c) for c in df.columns]))
     if mode == "overwrite":
-        replace_keyed(checked, version, path, full, buckets)
+        marked.withColumn(BATCH, F.lit(version).cast("long")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy(BATCH).parquet(path)
         return
-    merge_batch(checked, version, path, full, lambda cur, new: new if cur is None else merge_upsert(cur, new, full), buckets)
+    append_batch(marked, version, path)
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    return read_keyed(spark, path)
+def read_features(spark: SparkSession, path: str, keys: Sequence[str], ts: str | None = None) -> DataFrame:
+    """The newest value of every feature per key: one aggregate over the log, a column counts only where it was written."""
+    log = read_log(spark, path)
+    full = [*keys, *([ts] if ts else [])]
+    rest = [c for c in log.columns if c not in (*full, WRITTEN, BATCH)]
+    newest = [
+        F.max_by(F.struct(F.col(c)), F.when(F.array_contains(WRITTEN, c), F.col(BATCH))).getField(c).alias(c) for c in rest
+    ]
+    if not rest:
+        return log.select(*full).distinct()
+    return log.groupBy(*full).agg(*newest)
 
 
-def write_features_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, ts: str | None = None, buckets: int = 32) -> None:
+def write_features_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, ts: str | None = None) -> None:
     """Merge a feature stream batch by batch and stop when it is caught up."""
     (
-        stream.writeStream.foreachBatch(lambda b, i: write_features(b, path, keys, i, ts, buckets=buckets))
+        stream.writeStream.foreachBatch(lambda b, i: write_features(b, path, keys, i, ts))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     )
 

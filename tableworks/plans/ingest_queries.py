@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import changes as H
 from ..sources import files as S
 from ..sources import tables as K
 from ..session import scratch_path
@@ -19,16 +18,17 @@ from .core_queries import r
 EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-def replay(df, path, slices=3, fmt="parquet", order="ts"):
-    """Write a table as time-ordered groups of files, oldest first, for a stream to read."""
+def replay(df, path, run, slices=3, fmt="parquet", order="ts"):
+    """Add a table to ``path`` in time-ordered slices, oldest first, and ``run()`` after each.
+
+    A slice keeps the partitions of the table; rows without a time go with the oldest.
+    """
     bounds = df.agg(F.min(F.unix_micros(F.col(order).cast("timestamp"))), F.max(F.unix_micros(F.col(order).cast("timestamp")))).first()
     step = (bounds[1] - bounds[0]) // slices + 1
-    # rows without a time go with the oldest
     at = F.coalesce(F.floor((F.unix_micros(F.col(order).cast("timestamp")) - bounds[0]) / step), F.lit(0))
     for i in range(slices):
-        df.filter(at == i).coalesce(1).write.mode("append").format(fmt).option(
-            "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").save(path)
-    return path
+        df.filter(at == i).write.mode("append").format(fmt).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").save(path)
+        run()
 
 
 def events_ltz(t):
@@ -45,9 +45,12 @@ _EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 @query("ingest_files", _EVENTS)
 def _(t):
     src, out, ckpt = (scratch_path(t.spark, n) for n in ("json", "bronze", "ckpt"))
-    replay(events_ltz(t), src, 2, "json")
-    for _ in range(2):  # the second run finds nothing new
-        S.ingest_files(t.spark, src, "json", EVENT_SCHEMA, ckpt, out, max_files=1)
+
+    def load():
+        S.ingest_files(t.spark, src, "json", EVENT_SCHEMA, ckpt, out)
+
+    replay(events_ltz(t), src, load, 2, "json")
+    load()  # finds nothing new
     return ntz(t.spark.read.parquet(out), "ts")
 
 
@@ -223,12 +226,11 @@ def _(t):
 @query("foreach_batch_sink", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
 def _(t):
     src, out, ckpt = (scratch_path(t.spark, n) for n in ("src", "out", "ckpt"))
-    replay(events_ltz(t), src)
 
     def totals(batch, batch_id):
         batch.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    S.foreach_batch_sink(R.stream_files(t.spark, src, EVENT_SCHEMA, max_files=1), totals, ckpt)
+    replay(events_ltz(t), src, lambda: S.foreach_batch_sink(R.stream_files(t.spark, src, EVENT_SCHEMA), totals, ckpt))
     return t.spark.read.parquet(out).groupBy("user_id").agg(F.sum("n").alias("n"))
 
 
@@ -257,13 +259,13 @@ def _(t):
 
 # ---- streams --------------------------------------------------------------
 
-def _stream(t, slices=3, repeat=False):
+def _replayed(t, run, slices=3, repeat=False):
+    """Events in time slices; ``run`` gets the stream after each and goes on from its checkpoint."""
     src = scratch_path(t.spark, "events")
     e = events_ltz(t)
     if repeat:  # every tenth event arrives twice
         e = e.unionByName(e.filter("event_id % 10 = 0"))
-    replay(e, src, slices)
-    return R.stream_files(t.spark, src, EVENT_SCHEMA, max_files=1)
+    replay(e, src, lambda: run(R.stream_files(t.spark, src, EVENT_SCHEMA)), slices)
 
 
 def _out(t):
@@ -273,7 +275,7 @@ def _out(t):
 @query("dedup_stream", "SELECT event_id, ts FROM events")
 def _(t):
     out, ckpt = _out(t)
-    R.run_to_files(R.dedup_stream(_stream(t, repeat=True), ["event_id"], "ts", "1 hour").select("event_id", "ts"), out, ckpt)
+    _replayed(t, lambda s: R.run_to_files(R.dedup_stream(s, ["event_id"], "ts", "1 hour").select("event_id", "ts"), out, ckpt), repeat=True)
     return ntz(t.spark.read.parquet(out), "ts")
 
 
@@ -282,14 +284,15 @@ def _(t):
     GROUP BY 1, 2 HAVING window_start + INTERVAL 10 SECOND <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MINUTE FROM events)""")
 def _(t):
     out, ckpt = _out(t)
-    R.run_to_files(R.tumbling_counts(_stream(t), "ts", "10 seconds", ["event_type"]), out, ckpt)
+    _replayed(t, lambda s: R.run_to_files(R.tumbling_counts(s, "ts", "10 seconds", ["event_type"]), out, ckpt))
     return ntz(t.spark.read.parquet(out), "window_start").drop("window_end")
 
 
 @query("running_aggregate", "SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1")
 def _(t):
     out, ckpt = _out(t)
-    R.keep_latest_result(R.running_aggregate(_stream(t), ["event_type"], {"n": F.count(F.lit(1)), "mean": F.avg("value")}), out, ckpt)
+    aggs = {"n": F.count(F.lit(1)), "mean": F.avg("value")}
+    _replayed(t, lambda s: R.keep_latest_result(R.running_aggregate(s, ["event_type"], aggs), out, ckpt))
     return t.spark.read.parquet(out).withColumn("mean", r("mean"))
 
 
@@ -305,14 +308,14 @@ _CLOSED = f"""SELECT user_id, start, "end", click_count FROM ({_SESSIONS})
 @query("sessionize_window", _CLOSED)
 def _(t):
     out, ckpt = _out(t)
-    R.run_to_files(R.sessionize_window(_stream(t), "user_id", "ts", _GAP), out, ckpt)
+    _replayed(t, lambda s: R.run_to_files(R.sessionize_window(s, "user_id", "ts", _GAP), out, ckpt))
     return ntz(t.spark.read.parquet(out), "start", "end").drop("status")
 
 
 @query("sessionize_stateful", _CLOSED)
 def _(t):
     out, ckpt = _out(t)
-    R.run_to_files(R.sessionize_stateful(_stream(t), "user_id", "ts", _GAP), out, ckpt)
+    _replayed(t, lambda s: R.run_to_files(R.sessionize_stateful(s, "user_id", "ts", _GAP), out, ckpt))
     return ntz(t.spark.read.parquet(out), "start", "end").drop("status")
 
 
@@ -321,17 +324,20 @@ def _(t):
       THEN 'offline' ELSE 'online' END AS status FROM ({_SESSIONS}) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY start DESC) = 1""")
 def _(t):
     out, ckpt = _out(t)
-    sessions = R.sessionize_stateful(_stream(t), "user_id", "ts", _GAP, report_online=True)
-    R.upsert_stream(sessions, out, ["user_id"], ckpt, order="end")
-    return ntz(K.read_keyed(t.spark, out), "start", "end")
+    _replayed(t, lambda s: R.upsert_stream(R.sessionize_stateful(s, "user_id", "ts", _GAP, report_online=True), out, ckpt))
+    return ntz(K.latest_rows(t.spark, out, ["user_id"], ["end"]), "start", "end")
 
 
 @query("stream_from_table", "SELECT event_id, value FROM events WHERE value > 20")
 def _(t):
     bronze, ckpt = _out(t)
-    R.run_to_files(_stream(t), bronze, ckpt)
     silver, ckpt2 = _out(t)
-    R.run_to_files(R.stream_files(t.spark, bronze, EVENT_SCHEMA).filter("value > 20").select("event_id", "value"), silver, ckpt2)
+
+    def run(events):
+        R.run_to_files(events, bronze, ckpt)
+        R.run_to_files(R.stream_files(t.spark, bronze, EVENT_SCHEMA).filter("value > 20").select("event_id", "value"), silver, ckpt2)
+
+    _replayed(t, run)
     return t.spark.read.parquet(silver)
 
 
@@ -339,8 +345,9 @@ def _(t):
     SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def _(t):
     out, ckpt = _out(t)
-    R.stream_rollup(_stream(t), "ts", ["event_type"], {"n": F.count(F.lit(1)), "total": F.sum("value")}, out, ckpt)
-    return ntz(K.read_keyed(t.spark, out), "window_start").withColumn("total", r("total", 4))
+    aggs = {"n": F.count(F.lit(1)), "total": F.sum("value")}
+    _replayed(t, lambda s: R.stream_rollup(s, "ts", ["event_type"], aggs, out, ckpt))
+    return ntz(K.latest_rows(t.spark, out, ["window_start", "event_type"]), "window_start").withColumn("total", r("total", 4))
 
 
 @query("join_stream_static", """
@@ -348,7 +355,7 @@ def _(t):
 def _(t):
     out, ckpt = _out(t)
     users = t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    R.run_to_files(R.join_stream_static(_stream(t), users, ["user_id"]).select("event_id", "c_mktsegment"), out, ckpt)
+    _replayed(t, lambda s: R.run_to_files(R.join_stream_static(s, users, ["user_id"]).select("event_id", "c_mktsegment"), out, ckpt))
     return t.spark.read.parquet(out)
 
 
@@ -357,9 +364,13 @@ def _(t):
     AND c.ts >= v.ts - INTERVAL 2 HOUR AND c.ts <= v.ts + INTERVAL 2 HOUR WHERE v.event_type = 'view' AND c.event_type = 'click'""")
 def _(t):
     out, ckpt = _out(t)
-    views = _stream(t).filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
-    clicks = _stream(t).filter("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
-    R.run_to_files(R.join_stream_stream(views, clicks, ["user_id"], "view_ts", "click_ts", "3 hours", "2 HOURS").select("view_id", "click_id"), out, ckpt)
+
+    def run(events):
+        views = events.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+        clicks = events.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
+        R.run_to_files(R.join_stream_stream(views, clicks, ["user_id"], "view_ts", "click_ts", "3 hours", "2 HOURS").select("view_id", "click_id"), out, ckpt)
+
+    _replayed(t, run)
     return t.spark.read.parquet(out)
 
 
@@ -382,14 +393,10 @@ def _(t):
     def sync(name):
         schema = raw[name].schema
         S.ingest_files(t.spark, f"{base}/raw/{name}", "json", schema, f"{base}/ckpt/{name}", f"{base}/bronze/{name}")
-        stream = R.stream_files(t.spark, f"{base}/bronze/{name}", schema)
-
-        def merge(current, batch):
-            return H.apply_changes_scd1(current, batch, ["id"], "seq",
-                                        "operation = 'DELETE'", ["operation"])
-
-        S.foreach_batch_sink(stream, lambda b, i: K.merge_batch(b, i, f"{base}/silver/{name}", ["id"], merge, 8), f"{base}/ckpt2/{name}")
-        return H.live_rows(K.read_keyed(t.spark, f"{base}/silver/{name}"))
+        changes = R.stream_files(t.spark, f"{base}/bronze/{name}", schema)
+        feed = R.changes_from_state(changes, ["id"], F.col("seq"), "operation = 'DELETE'", ["operation", "seq"])
+        R.run_to_files(feed, f"{base}/silver/{name}", f"{base}/ckpt2/{name}")
+        return R.current_rows(t.spark.read.parquet(f"{base}/silver/{name}"), ["id"])
 
     done = S.fan_out(raw, sync, workers=2)
     return done["transactions"].join(done["customers"], "id", "left").select("id", "amount", "name")

@@ -229,14 +229,55 @@ def _(t):
     return shown.fillna(0).select("part", "location", F.col("n").cast("bigint").alias("n"), "amount")
 
 
+def _cdc(t):
+    """The job over two drops of change files, the second with late rows, updates and deletes, then once more with nothing new."""
+    base, raw = scratch_path(t.spark, "cdc"), scratch_path(t.spark, "raw")
+    log = _log(t).drop("changed")
+
+    def load():
+        return jobs.cdc_sync(t.spark, raw, base, "id bigint, seq bigint, priority string, amount double, operation string", ["id"], "seq", F.col("seq"))
+
+    log.filter("seq % 3 > 0").write.json(f"{raw}/changes")
+    load()
+    log.filter("seq % 3 = 0").write.mode("append").json(f"{raw}/changes")
+    load()
+    return load()
+
+
+_CDC = """(SELECT o_custkey AS id, o_orderkey AS seq, o_orderpriority AS priority, o_totalprice AS amount, o_orderkey % 17 = 0 AS gone FROM orders)"""
+
+
 @query("cdc_sync", """
     SELECT o_custkey AS id, o_orderpriority AS priority, o_totalprice AS amount FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1 AND o_orderkey % 17 <> 0""")
 def _(t):
-    raw = land(t, {"changes": _log(t).drop("changed")})
-    schema = "id bigint, seq bigint, priority string, amount double, operation string"
-    base = scratch_path(t.spark, "cdc")
-    return jobs.cdc_sync(t.spark, raw, base, schema, ["id"], "seq", F.col("seq"))["gold"]
+    return _cdc(t)["gold"].select("id", "priority", "amount")
+
+
+@query("cdc_sync_tables", f"""
+    WITH newest AS (SELECT * FROM {_CDC} QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1),
+    old AS (SELECT * FROM (SELECT * FROM {_CDC} WHERE seq % 3 > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1) WHERE NOT gone),
+    new AS (SELECT * FROM newest WHERE NOT gone),
+    steps AS (SELECT *, lag(CASE WHEN gone THEN 'gone' ELSE 'row ' || coalesce(priority, '') || amount END) OVER (PARTITION BY id ORDER BY seq) AS prev FROM {_CDC}),
+    spans AS (SELECT *, lead(seq) OVER (PARTITION BY id ORDER BY seq) AS nxt FROM steps
+              WHERE prev IS NULL OR prev <> CASE WHEN gone THEN 'gone' ELSE 'row ' || coalesce(priority, '') || amount END)
+    SELECT 'current' AS part, id, priority, amount, 0 AS start, 0 AS stop FROM new
+    UNION ALL SELECT 'history', id, priority, amount, seq, coalesce(nxt, 0) FROM spans WHERE NOT gone
+    UNION ALL SELECT 'insert', id, priority, amount, 1, 0 FROM old
+    UNION ALL SELECT 'insert', n.id, n.priority, n.amount, 1, 0 FROM new n ANTI JOIN old o USING (id)
+    UNION ALL SELECT 'delete', o.id, o.priority, o.amount, 2, 0 FROM old o ANTI JOIN new n USING (id)
+    UNION ALL SELECT 'update_preimage', o.id, o.priority, o.amount, 2, 0 FROM old o JOIN new n USING (id) WHERE (o.priority, o.amount) IS DISTINCT FROM (n.priority, n.amount)
+    UNION ALL SELECT 'update_postimage', n.id, n.priority, n.amount, 2, 0 FROM old o JOIN new n USING (id) WHERE (o.priority, o.amount) IS DISTINCT FROM (n.priority, n.amount)""")
+def _(t):
+    """Current rows, history spans and the feed of all loads (``start`` is the version there) in one frame."""
+    out = _cdc(t)
+    zero = F.lit(0).cast("bigint")
+    parts = [
+        out["current"].select(F.lit("current").alias("part"), "id", "priority", "amount", zero.alias("start"), zero.alias("stop")),
+        out["history"].select(F.lit("history").alias("part"), "id", "priority", "amount", F.col("__START_AT").alias("start"), F.coalesce("__END_AT", zero).alias("stop")),
+        out["feed"].select(F.col("_change_type").alias("part"), "id", "priority", "amount", F.col("_commit_version").alias("start"), zero.alias("stop")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("clickstream_sessions", f"""
@@ -254,11 +295,11 @@ def _(t):
     raw = scratch_path(t.spark, "messages")
     stamp = F.unix_micros(F.col("ts").cast("timestamp"))
     bounds = lines.agg(F.min(stamp), F.max(stamp)).first()
+    base = scratch_path(t.spark, "clicks")
     for i in range(2):
         half = F.floor((stamp - bounds[0]) / ((bounds[1] - bounds[0]) // 2 + 1)) == i
-        lines.filter(half).select("value").coalesce(1).write.mode("append").text(raw)
-    out = jobs.clickstream_sessions(t.spark, raw, scratch_path(t.spark, "clicks"),
-                                    '{"event_id": 1, "user_id": 1, "action": "view", "event_date": 1700000000}', _GAP, max_files=1)
+        lines.filter(half).select("value").write.mode("append").text(raw)
+        out = jobs.clickstream_sessions(t.spark, raw, base, '{"event_id": 1, "user_id": 1, "action": "view", "event_date": 1700000000}', _GAP)
     return ntz(out["sessions"].select("user_id", "start", "end", "click_count"), "start", "end")
 
 

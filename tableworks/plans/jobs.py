@@ -67,7 +67,7 @@ def customer_360(bronze: Frames, base: str, asof: str, weights: Mapping[str, flo
                                "transaction_date", "amount", "date", "event_id", "session_id", "platform", asof)
     path = f"{base}/features/customers"
     K.write_features(profile, path, ["user_id"], version)
-    stored = K.read_features(profile.sparkSession, path)
+    stored = K.read_features(profile.sparkSession, path, ["user_id"])
     register_linear_model(profile.sparkSession, "tw_churn", weights, intercept)
     scored = stored.withColumn("churn_score", F.expr(f"tw_churn({', '.join(weights)})"))
     counts = None
@@ -139,7 +139,7 @@ def credit_features(customers: DataFrame, accounts: DataFrame, transfers: DataFr
     out = out.withColumn("sent_ratio_3m_12m", F.coalesce(F.try_divide("sent_amt_3m", "sent_amt_12m"), F.lit(0.0)))
     path = f"{base}/features/credit"
     K.write_features(out, path, ["cust_id"], version)
-    return K.read_features(out.sparkSession, path)
+    return K.read_features(out.sparkSession, path, ["cust_id"])
 
 
 def fraud_gold(transactions: DataFrame, reports: DataFrame, countries: DataFrame, customers: DataFrame, top: int = 20) -> Frames:
@@ -199,30 +199,39 @@ def loan_quality(new_loans: DataFrame, old_loans: DataFrame, treatments: DataFra
 
 
 def cdc_sync(spark: SparkSession, raw: str, base: str, schema: str, keys: Sequence[str], sequence_by: str, along: Column) -> Frames:
-    """Change files, loaded incrementally, to a current table, a history table
-    and the change feed from an empty table, merged downstream."""
+    """Change files, loaded incrementally, to a change feed, the current table, a
+    history table, and the feed merged downstream.
+
+    Every run takes the files that are new: bronze and the feed are streams
+    with checkpoints, and the newest row per key is the state of the second.
+    Only the history is built from the whole log, as a late change may split
+    an old span.
+    """
     bronze = load_bronze(spark, raw, base, {"changes": schema})["changes"]
-    good = Q.expect(bronze, [Rule("has_key", f"{keys[0]} IS NOT NULL", "drop"), Rule("known_operation", "operation IN ('APPEND', 'UPDATE', 'DELETE')", "drop")])
-    args = dict(keys=list(keys), sequence_by=sequence_by, delete_when="operation = 'DELETE'", except_columns=["operation"])
-    before = H.live_rows(H.apply_changes_scd1(None, good.limit(0), **args))
-    state = H.apply_changes_scd1(None, good, **args)
-    current = H.live_rows(state)
-    history = H.apply_changes_scd2(good, along=along, **args)
-    feed = H.change_feed(before, current, keys, version=1)
-    return {"current": current, "history": history, "feed": feed, "gold": H.consume_feed(feed, before, keys)}
+    rules = [Rule("has_key", f"{keys[0]} IS NOT NULL", "drop"), Rule("known_operation", "operation IN ('APPEND', 'UPDATE', 'DELETE')", "drop")]
+    args = dict(delete_when="operation = 'DELETE'", except_columns=["operation"])
+    changes = Q.expect(R.stream_files(spark, f"{base}/bronze/changes", bronze.schema), rules)
+    valued = dict(args, except_columns=["operation", sequence_by])
+    R.run_to_files(R.changes_from_state(changes, keys, along, **valued), f"{base}/feed", f"{base}/checkpoints/feed")
+    feed = spark.read.parquet(f"{base}/feed")
+    history = H.apply_changes_scd2(Q.expect(bronze, rules), list(keys), sequence_by, along, **args)
+    nothing = feed.drop(R.CHANGE, R.VERSION).filter(F.lit(False))
+    return {"current": R.current_rows(feed, keys), "history": history, "feed": feed, "gold": H.consume_feed(feed, nothing, keys)}
 
 
 def clickstream_sessions(spark: SparkSession, raw: str, base: str, example: str, gap_seconds: int,
                          max_files: int | None = None) -> Frames:
-    """JSON messages to clean events to sessions: three chained streams with their own checkpoints."""
+    """JSON messages to clean events to closed sessions: chained streams with their own checkpoints.
+
+    Another call with the same ``base`` goes on where the last one stopped.
+    """
     messages = R.stream_files(spark, raw, "value string", "text", max_files=max_files)
     typed = S.parse_messages(messages, example, ["event_date"], required=["event_id"])
     R.run_to_files(R.dedup_stream(typed, ["event_id"], "event_date", "1 hour"), f"{base}/silver", f"{base}/ckpt/silver")
     silver = R.stream_files(spark, f"{base}/silver", spark.read.parquet(f"{base}/silver").schema)
-    R.upsert_stream(
-        R.sessionize_window(silver, "user_id", "event_date", gap_seconds).withColumnRenamed("start", "session_start"),
-        f"{base}/gold", ["user_id", "session_start"], f"{base}/ckpt/gold", mode="append")
-    sessions = T.read_keyed(spark, f"{base}/gold").withColumnRenamed("session_start", "start")
+    # a closed session never changes, so the append-only sink is enough
+    R.run_to_files(R.sessionize_window(silver, "user_id", "event_date", gap_seconds), f"{base}/gold", f"{base}/ckpt/gold")
+    sessions = spark.read.parquet(f"{base}/gold")
     return {"silver": spark.read.parquet(f"{base}/silver"), "sessions": sessions, "durations": R.session_durations(sessions)}
 
 

@@ -24,17 +24,16 @@ def _(t):
     wider = t.customer.filter("c_custkey % 2 = 0").select(
         F.col("c_custkey").alias("id"), (F.col("c_acctbal") * 2).alias("balance"), F.col("c_mktsegment").alias("segment"))
     K.write_features(wider, path, ["id"], 1)
-    return K.read_features(t.spark, path)
+    return K.read_features(t.spark, path, ["id"])
 
 
 @query("write_features_stream", "SELECT user_id, ts, max_by(value, event_id) AS value FROM events GROUP BY 1, 2")
 def _(t):
     src, path, ckpt = (scratch_path(t.spark, n) for n in ("src", "features", "ckpt"))
     one = events_ltz(t).groupBy("user_id", "ts").agg(F.max_by("value", "event_id").alias("value"))
-    replay(one, src, 2)
-    stream = R.stream_files(t.spark, src, "user_id bigint, ts timestamp, value double", max_files=1)
-    K.write_features_stream(stream, path, ["user_id"], ckpt, ts="ts", buckets=8)
-    return ntz(K.read_features(t.spark, path), "ts")
+    schema = "user_id bigint, ts timestamp, value double"
+    replay(one, src, lambda: K.write_features_stream(R.stream_files(t.spark, src, schema), path, ["user_id"], ckpt, ts="ts"), 2)
+    return ntz(K.read_features(t.spark, path, ["user_id"], "ts"), "ts")
 
 
 @query("training_set", f"""

@@ -1,13 +1,15 @@
-"""Parquet tables: plain writes, and keyed tables that micro-batches merge into."""
+"""Parquet tables: plain writes, logs of row versions that micro-batches append to, and copies."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.windows import latest_per_key
+
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (),
                 merge_schema: bool = False, replace_partitions: bool = False) -> None:
@@ -38,104 +40,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
-
-
-# A keyed table is a folder of writes, ``version=N/bucket=B``. A batch rewrites
-# only the buckets its keys fall into, under its own number; a bucket is read
-# from its newest finished write. ``full=N`` replaces everything before it. A
-# batch that is run again writes the same folder. A bucket that a batch leaves
-# without rows gets a mark instead of files, so that no older one is read for it.
-
-EMPTIED = "_emptied"
-
-
-def _newest_buckets(spark: SparkSession, path: str, before: int | None) -> dict[int, str]:
-    writes = []
-    for name in _children(spark, path):
-        kind, _, number = name.partition("=")
-        if kind in ("version", "full") and (before is None or int(number) < before):
-            writes.append((int(number), kind, name))
-    place: dict[int, str] = {}
-    for _, kind, name in sorted(writes):
-        inside = _children(spark, f"{path}/{name}")
-        if "_SUCCESS" not in inside:
-            continue
-        if kind == "full":
-            place = {}
-        for child in inside:
-            if child.startswith("bucket="):
-                bucket, folder = int(child.split("=")[1]), f"{path}/{name}/{child}"
-                if EMPTIED in _children(spark, folder):
-                    place.pop(bucket, None)
-                else:
-                    place[bucket] = folder
-    return place
+# A log table holds every version of its rows; ``write_no`` says which write a row came with.
+# The current table is an aggregate over it, so nothing is rewritten when a key changes.
 
+BATCH = "write_no"
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
+def append_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """Add rows to a log table under the number of their write.
 
-def replace_keyed(df: DataFrame, version: int, path: str, keys: Sequence[str], buckets: int = 32) -> None:
-    """Write ``df`` as the whole new content of a keyed table."""
-    df.withColumn("bucket", bucket_of(keys, buckets)).repartition(buckets, "bucket").write.mode(
-        "overwrite").partitionBy("bucket").parquet(f"{path}/full={version}")
+    The number is a partition column and only that partition is overwritten: a
+    micro-batch that is run again replaces itself. Columns may be added later.
+    """
+    if BATCH in df.columns:
+        raise ValueError(f"{BATCH} is the column of the write's number")
+    df.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
 
 
-def read_keyed(spark: SparkSession, path: str, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
-    """The current rows (or those of some buckets); None when nothing is there."""
-    place = _newest_buckets(spark, path, before)
-    folders = [p for b, p in place.items() if buckets is None or b in buckets]
-    if not folders:
-        return None
-    return spark.read.option("mergeSchema", "true").parquet(*folders)
+def latest_rows(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The current rows of a log table: per key the row with the largest ``order``, of equals the one written last.
 
+    One aggregate with map-side combine over the log, so a key with most of the
+    versions costs each task one row.
+    """
+    return latest_per_key(read_log(spark, path), keys, [*order, BATCH]).drop(BATCH)
 
-def merge_batch(
-    batch: DataFrame, batch_id: int, path: str, keys: Sequence[str],
-    merge: Callable[[DataFrame | None, DataFrame], DataFrame], buckets: int = 32,
-) -> None:
-    """Apply one micro-batch to a keyed table; only touched buckets are read and written.
 
-    ``merge(current, batch)`` returns the new rows; ``current`` is None for
-    buckets without rows yet. Safe to repeat for the same ``batch_id``.
-    """
-    spark = batch.sparkSession
-    bucket = bucket_of(keys, buckets)
-    batch = batch.persist()  # read twice, and a streaming plan should run once
-    try:
-        touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
-        if not touched:
-            return
-        current = read_keyed(spark, path, before=batch_id, buckets=touched)
-        merged = merge(current, batch).withColumn("bucket", bucket)
-        (
-            merged.repartition(min(buckets, len(touched)), "bucket")
-            .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
-        )
-        written = set(_children(spark, f"{path}/version={batch_id}"))
-        for b in touched:
-            if f"bucket={b}" not in written:
-                mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={batch_id}/bucket={b}/{EMPTIED}")
-                mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark).close()
-    finally:
-        batch.unpersist()
-
-
-def compact_keyed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 32) -> None:
-    """Rewrite a keyed table as one full write, so that readers list few folders.
-
-    Run it between streams. It takes the number of the newest write, whose
-    buckets it repeats, so the next batch goes on as before.
-    """
-    numbers = [int(n.partition("=")[2]) for n in _children(spark, path) if n.startswith(("version=", "full="))]
-    current = read_keyed(spark, path)
-    if current is not None:
-        replace_keyed(current, max(numbers), path, keys, buckets)
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    log = read_table(spark, path, merge_schema=True)
+    return log.withColumn(BATCH, F.col(BATCH).cast("long"))
 
 
 def copy_tables(spark: SparkSession, source: str, target: str, incremental_by: dict[str, str] | None = None) -> list[str]:

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.changes import merge_upsert
+from ..operators.windows import latest_per_key
 from ..session import stream_width
-from ..sources.tables import merge_batch
+from ..sources.tables import append_batch
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -184,40 +184,112 @@ def sessionize_stateful(df: DataFrame, key: str, ts: str, gap_seconds: int, dela
         F.when(F.col("closed"), "offline").otherwise("online").alias("status"))
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, order: str | None = None,
-                  mode: str = "update", buckets: int = 16) -> None:
-    """Update-or-insert every micro-batch into a keyed table, created by the first one.
+def upsert_stream(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> None:
+    """Append every micro-batch of changed rows to a log table, each under its number.
 
-    With ``order`` the row with the largest value counts, stored or new; on a
-    tie the new one.
+    ``sources.tables.latest_rows`` gives the current table. A batch that is run
+    again after a failure replaces itself.
     """
-
-    def newest(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-        both = batch.withColumn("_new", F.lit(1))
-        if current is not None:
-            both = both.unionByName(current.withColumn("_new", F.lit(0)))
-        rest = [c for c in batch.columns if c not in keys]
-        return both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "_new")).alias("r")).select(*keys, "r.*")
-
-    def replace(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return batch if current is None else merge_upsert(current, batch, keys)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, path, keys, newest if order else replace, buckets)
-
     with stream_width(stream.sparkSession):
-        query = stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
-            availableNow=True).start()
+        query = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, i: append_batch(batch, i, path)).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
 def stream_rollup(df: DataFrame, ts: str, keys: Sequence[str], aggs: Mapping[str, Column], path: str, checkpoint: str,
                   width: str = "1 hour", delay: str = "3 hours") -> None:
-    """Windowed totals that stay open for ``delay`` and are upserted as they change."""
+    """Windowed totals that stay open for ``delay``; each change of one is a row of the log (``latest_rows`` by window and keys)."""
     rolled = df.withWatermark(ts, delay).groupBy(F.window(ts, width).alias("w"), *keys).agg(
         *[c.alias(n) for n, c in aggs.items()])
     flat = rolled.select(F.col("w.start").alias("window_start"), *keys, *aggs)
-    upsert_stream(flat, path, ["window_start", *keys], checkpoint)
+    upsert_stream(flat, path, checkpoint)
+
+
+# ---- changes from state -----------------------------------------------------
+
+# text form of stored rows: exact to the microsecond, nulls kept
+_ROW_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+             "ignoreNullFields": "false"}
+CHANGE, VERSION = "_change_type", "_commit_version"
+
+
+def _newest_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per key of each Arrow batch, so that a key with most of the changes sends few."""
+    for pdf in batches:
+        if len(pdf):
+            yield pdf.sort_values(["at", "gone", "body"], kind="stable").drop_duplicates("k", keep="last")
+
+
+class ChangeProcessor(StatefulProcessor):
+    """Keeps the newest change of a key, a delete as a tombstone, and emits what a batch did to the row.
+
+    Of equal sequences a delete counts, else the larger row: the outcome does
+    not depend on the order of arrival.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "at bigint, gone boolean, body string, version bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.last.get() if self.last.exists() else None
+        before = None if stored is None else (int(stored[0]), bool(stored[1]), stored[2])
+        newest = before
+        for pdf in rows:
+            for change in zip(pdf["at"].tolist(), pdf["gone"].tolist(), pdf["body"].tolist()):
+                if newest is None or change > newest:
+                    newest = change
+        if newest == before:
+            return
+        old = None if before is None or before[1] else before[2]
+        new = None if newest[1] else newest[2]
+        version = (0 if stored is None else int(stored[3])) + (old != new)
+        self.last.update((*newest, version))
+        if old == new:
+            return
+        if old is None:
+            events = [("insert", new)]
+        elif new is None:
+            events = [("delete", old)]
+        else:
+            events = [("update_preimage", old), ("update_postimage", new)]
+        yield pd.DataFrame({"k": [key[0]] * len(events), "body": [b for _, b in events],
+                            "change": [c for c, _ in events], "version": [version] * len(events)})
+
+    def close(self) -> None:
+        pass
+
+
+def changes_from_state(df: DataFrame, keys: Sequence[str], sequence: Column, delete_when: str, except_columns: Sequence[str] = ()) -> DataFrame:
+    """A stream of change rows to the feed of what they do to the table.
+
+    The state holds the newest row per key with its ``sequence`` (a whole
+    number, null lowest). Per micro-batch and key the net change comes out as
+    ``insert``, ``update_preimage`` and ``update_postimage``, or ``delete``, in
+    ``_change_type``; ``_commit_version`` counts the changes of the key. Late,
+    repeated and ineffective changes give no row. The output is append-only:
+    ``current_rows`` reduces it to the table. Null keys are keys like others.
+    """
+    use_rocksdb(df.sparkSession)
+    values = [c for c in df.columns if c not in (*keys, *except_columns)]
+    row_type = {f.name: f.dataType.simpleString() for f in df.schema}
+    spelled = lambda names: ", ".join(f"`{c}` {row_type[c]}" for c in names)
+    packed = df.select(
+        F.to_json(F.struct(*keys), _ROW_JSON).alias("k"),
+        F.coalesce(sequence.cast("long"), F.lit(-(2**63))).alias("at"),
+        F.coalesce(F.expr(delete_when), F.lit(False)).alias("gone"),
+        F.to_json(F.struct(*values), _ROW_JSON).alias("body"))
+    reduced = packed.mapInPandas(_newest_per_batch, packed.schema)
+    out = reduced.groupBy("k").transformWithStateInPandas(
+        ChangeProcessor(), "k string, body string, change string, version bigint", "Append", "None")
+    opened = out.select(F.from_json("k", spelled(keys), _ROW_JSON).alias("k"), F.from_json("body", spelled(values), _ROW_JSON).alias("r"),
+                        F.col("change").alias(CHANGE), F.col("version").alias(VERSION))
+    return opened.select("k.*", "r.*", CHANGE, VERSION)
+
+
+def current_rows(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The table that a change feed leads to."""
+    after = latest_per_key(feed.filter(F.col(CHANGE) != "update_preimage"), keys, [VERSION])
+    return after.filter(F.col(CHANGE) != "delete").drop(CHANGE, VERSION)
 
 
 def join_stream_static(stream: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

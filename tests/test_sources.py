@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from tableworks.operators import clean, quality
-from tableworks.operators.changes import merge_upsert
 from tableworks.sources import files, tables
 
 # crafted input: a string id, a missing id and id 0 must not survive
@@ -150,65 +149,32 @@ def test_fan_out_raises():
         files.fan_out(["a", "b"], lambda n: 1 / 0)
 
 
-# ---- keyed tables ---------------------------------------------------------
-
-def _merge(cur, new):
-    return new if cur is None else merge_upsert(cur, new, ["id"])
-
-
-def test_keyed_table_replays_and_ignores_unfinished_writes(spark, tmp_path):
-    path = str(tmp_path / "keyed")
-    a = spark.range(20).select("id", F.lit("a").alias("v"))
-    b = spark.range(10, 30).select("id", F.lit("b").alias("v"))
-    tables.merge_batch(a, 0, path, ["id"], _merge, 4)
-    tables.merge_batch(b, 1, path, ["id"], _merge, 4)
-    tables.merge_batch(b, 1, path, ["id"], _merge, 4)  # the same batch again
-    want = [(i, "a" if i < 10 else "b") for i in range(30)]
-    assert rows(tables.read_keyed(spark, path), "id", "v") == rows(spark.createDataFrame(want, "id long, v string"))
-    # a write that never finished does not count
-    spark.range(1).select("id", F.lit("broken").alias("v"), F.lit(0).alias("bucket")).write.partitionBy("bucket").parquet(f"{path}/version=2")
-    (tmp_path / "keyed" / "version=2" / "_SUCCESS").unlink()
-    assert tables.read_keyed(spark, path).filter("v = 'broken'").count() == 0
-
-
-def test_keyed_table_rewrites_only_touched_buckets(spark, tmp_path):
-    path = tmp_path / "keyed"
-    tables.merge_batch(spark.range(1000).select("id", F.lit(0).alias("v")), 0, str(path), ["id"], _merge, 16)
-    tables.merge_batch(spark.range(1).select("id", F.lit(1).alias("v")), 1, str(path), ["id"], _merge, 16)
-    assert len(list((path / "version=1").glob("bucket=*"))) == 1
-    assert tables.read_keyed(spark, str(path)).agg(F.count("*"), F.sum("v")).first() == (1000, 1)
-
-
-def test_keyed_table_keeps_deleted_rows_deleted(spark, tmp_path):
-    path = str(tmp_path / "gone")
-
-    def without(current, batch):
-        return current.join(batch, "id", "left_anti") if current is not None else batch
-
-    tables.merge_batch(spark.range(1, 4), 0, path, ["id"], without, 4)
-    tables.merge_batch(spark.range(1, 4), 1, path, ["id"], without, 4)
-    left = tables.read_keyed(spark, path)
-    assert left is None or left.count() == 0
-    tables.merge_batch(spark.range(2, 3), 2, path, ["id"], without, 4)
-    assert [r.id for r in tables.read_keyed(spark, path).collect()] == [2]
-
-
-def test_keyed_table_replace(spark, tmp_path):
-    path = str(tmp_path / "keyed")
-    tables.merge_batch(spark.range(50), 0, path, ["id"], _merge, 8)
-    tables.replace_keyed(spark.range(2), 1, path, ["id"], 8)
-    assert sorted(r.id for r in tables.read_keyed(spark, path).collect()) == [0, 1]
-
-
-def test_keyed_table_compacts(spark, tmp_path):
-    path = str(tmp_path / "keyed")
-    for i in range(3):
-        tables.merge_batch(spark.range(i * 5, i * 5 + 10).select("id", F.lit(i).alias("v")), i, path, ["id"], _merge, 4)
-    want = rows(tables.read_keyed(spark, path), "id", "v")
-    tables.compact_keyed(spark, path, ["id"], 4)
-    assert rows(tables.read_keyed(spark, path), "id", "v") == want
-    tables.merge_batch(spark.range(1).select("id", F.lit(9).alias("v")), 3, path, ["id"], _merge, 4)
-    assert tables.read_keyed(spark, path).filter("v = 9").count() == 1
+# ---- logs of row versions --------------------------------------------------
+
+def test_log_table_replays_and_keeps_the_newest(spark, tmp_path):
+    path = str(tmp_path / "log")
+    a = spark.range(20).select("id", F.lit("a").alias("v"), F.lit(5).alias("at"))
+    b = spark.range(10, 30).select("id", F.lit("b").alias("v"), F.when(F.col("id") == 10, 1).otherwise(5).alias("at"))
+    tables.append_batch(a, 0, path)
+    tables.append_batch(b, 1, path)
+    tables.append_batch(b, 1, path)  # the same batch again
+    assert spark.read.parquet(path).count() == 40
+    want = [(i, "a" if i <= 10 else "b") for i in range(30)]
+    got = tables.latest_rows(spark, path, ["id"], ["at"])
+    assert sorted((r.id, r.v) for r in got.collect()) == want
+    # without an order the later write counts
+    assert tables.latest_rows(spark, path, ["id"]).filter("id = 10").first().v == "b"
+
+
+def test_log_table_takes_new_columns_and_null_keys(spark, tmp_path):
+    path = str(tmp_path / "log")
+    tables.append_batch(spark.createDataFrame([(1, "x"), (None, "y")], "id long, v string"), 0, path)
+    tables.append_batch(spark.createDataFrame([(None, "z", 3)], "id long, v string, w int"), 11, path)
+    tables.append_batch(spark.createDataFrame([], "id long, v string, w int"), 12, path)
+    got = {r.id: (r.v, r.w) for r in tables.latest_rows(spark, path, ["id"]).collect()}
+    assert got == {1: ("x", None), None: ("z", 3)}
+    with pytest.raises(ValueError):
+        tables.append_batch(spark.range(1).withColumn(tables.BATCH, F.lit(1)), 13, path)
 
 
 def test_write_table_guards_schema(spark, tmp_path):

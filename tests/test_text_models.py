@@ -161,7 +161,17 @@ def test_features_overwrite(spark, tmp_path):
     path = str(tmp_path / "f")
     features.write_features(spark.createDataFrame([(1, 2), (2, 3)], "id int, v int"), path, ["id"], 0)
     features.write_features(spark.createDataFrame([(2, 9)], "id int, v int"), path, ["id"], 1, mode="overwrite")
-    assert rows(features.read_features(spark, path), "id", "v") == [(2, 9)]
+    assert rows(features.read_features(spark, path, ["id"]), "id", "v") == [(2, 9)]
+
+
+def test_features_keep_columns_a_write_lacks(spark, tmp_path):
+    path = str(tmp_path / "f")
+    features.write_features(spark.createDataFrame([(1, 2, 3), (2, 3, 4)], "id int, v int, w int"), path, ["id"], 0)
+    features.write_features(spark.createDataFrame([(2, None), (3, 7)], "id int, v int"), path, ["id"], 1)
+    features.write_features(spark.createDataFrame([(2, None), (3, 7)], "id int, v int"), path, ["id"], 1)  # again
+    features.write_features(spark.createDataFrame([(3, "x")], "id int, u string"), path, ["id"], 2)
+    got = {r.id: (r.v, r.w, r.u) for r in features.read_features(spark, path, ["id"]).collect()}
+    assert got == {1: (2, 3, None), 2: (None, 4, None), 3: (7, None, "x")}
 
 
 def test_linear_model_as_function_equals_pipeline(spark):
