@@ -155,18 +155,72 @@ def chunk_by_heading(df: DataFrame, text: str, max_tokens: int = 500, min_tokens
     sections = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), f"(?m)(?=^{re.escape(heading)})"), words_of)
     sections = F.filter(sections, lambda w: F.size(w) > 0)
 
-    def pack(done: Column, section: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        fits = (F.size(done) > 0) & (F.size(last) + F.size(section) <= max_tokens)
-        return F.when(fits, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(last, section)))).otherwise(F.concat(done, F.array(section)))
-
-    packed = F.aggregate(sections, F.array().cast("array<array<string>>"), pack)
+    cut = df.withColumn("_sections", sections)
+    packed = F.transform(_packed_spans("_sections", max_tokens, repeat_last=False), lambda x: _units_of("_sections", x))
     step = max_tokens - overlap
     starts = lambda w: F.sequence(F.lit(0), F.greatest(F.ceil((F.size(w) - max_tokens) / F.lit(float(step))), F.lit(0)).cast("int"))
     pieces = F.flatten(F.transform(packed, lambda w: F.transform(starts(w), lambda i: F.slice(w, i * step + 1, max_tokens))))
     chunks = F.transform(F.filter(pieces, lambda w: F.size(w) >= min_tokens), lambda w: F.array_join(w, " "))
     rest = [F.col(c) for c in df.columns if c != text]
-    return df.select(*rest, F.posexplode(chunks).alias(position, out))
+    return cut.select(*rest, F.posexplode(chunks).alias(position, out))
+
+
+def _packed_spans(units: str, size: int, repeat_last: bool) -> Column:
+    """First and last place of the runs that units (lists of words) are packed into, in order, up to ``size`` words each.
+
+    The fold carries numbers only and appends where a run ends. With
+    ``repeat_last`` a run begins with the last unit of the one before where
+    that and the next one fit together.
+    """
+    counted = F.transform(units, lambda u, i: F.struct(F.size(u).alias("n"), i.alias("i")))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("total"), F.lit(0).alias("last"),
+                    F.array().cast("array<struct<first:int,final:int>>").alias("spans"))
+
+    def span(first: Column, final: Column) -> Column:
+        return F.array(F.struct(first.alias("first"), final.alias("final")))
+
+    def step(s: Column, x: Column) -> Column:
+        full = (s["total"] > 0) & (s["total"] + x["n"] > size)
+        again = F.lit(repeat_last) & (s["last"] + x["n"] <= size)
+        return F.struct(
+            F.when(~full, s["at"]).when(again, x["i"] - 1).otherwise(x["i"]).alias("at"),
+            F.when(~full, s["total"] + x["n"]).when(again, s["last"] + x["n"]).otherwise(x["n"]).alias("total"),
+            x["n"].alias("last"),
+            F.when(full, F.concat(s["spans"], span(s["at"], x["i"] - 1))).otherwise(s["spans"]).alias("spans"))
+
+    spans = F.aggregate(counted, zero, step, lambda s: F.concat(s["spans"], span(s["at"], F.size(units) - 1)))
+    return F.when(F.size(units) > 0, spans).otherwise(F.array().cast("array<struct<first:int,final:int>>"))
+
+
+def _units_of(units: str, span: Column) -> Column:
+    return F.flatten(F.slice(units, span["first"] + 1, span["final"] - span["first"] + 1))
+
+
+# fixed values: words whose full stop does not end a sentence
+ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "St", "vs", "etc", "e.g", "i.e", "No", "Fig", "approx", "bzw", "z.B", "Sr", "Sra")
+
+
+def chunk_sentences(df: DataFrame, text: str, size: int = 500, out: str = "chunk", position: str = "chunk_no",
+                    abbreviations: Sequence[str] = ABBREVIATIONS) -> DataFrame:
+    """Chunks of whole sentences of at most ``size`` words, each beginning with the last sentence of the one before where it fits.
+
+    A sentence ends after ``.``, ``!`` or ``?`` (a closing quote or bracket may
+    follow) before white space, unless the word is an abbreviation, and after
+    a CJK mark. A sentence longer than ``size`` is cut into pieces of ``size``
+    words. White space within a chunk becomes one blank. A null text, or one
+    without words, is one row with a null chunk and status ``error``.
+    """
+    short = "|".join(re.escape(a) for a in abbreviations)
+    ends = r"(?<=[.!?]|[.!?][\"')\]])" + (rf"(?<!\b(?:{short})\.)" if short else "") + r"\s+|(?<=[。！？])\s*"
+    words_of = lambda t: F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    pieces = lambda w: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(w) - 1) / F.lit(size)).cast("int")), lambda i: F.slice(w, i * size + 1, size))
+    sentences = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), ends), words_of), lambda w: F.size(w) > 0)
+    cut = df.withColumn("_sentences", F.flatten(F.transform(sentences, pieces)))
+    chunks = F.transform(_packed_spans("_sentences", size, repeat_last=True), lambda x: F.array_join(_units_of("_sentences", x), " "))
+    rest = [F.col(c) for c in df.columns if c != text]
+    found = cut.select(*rest, F.posexplode_outer(chunks).alias(position, out))
+    return found.withColumn("status", F.when(F.col(out).isNull(), "error").otherwise("ok")).withColumn(position, F.coalesce(position, F.lit(0)))
 
 
 def chunk_fixed(df: DataFrame, text: str, size: int = 500, overlap: int = 50, out: str = "chunk", position: str = "chunk_no") -> DataFrame:
@@ -236,6 +290,47 @@ def text_similarity(a: str, b: str, kind: str = "jaccard") -> Column:
     raise ValueError(f"unknown kind {kind!r}")
 
 
+def inverse_frequencies(df: DataFrame, text: str) -> DataFrame:
+    """``term`` and ``idf`` = ln((1 + rows) / (1 + rows with the term)) + 1 over all rows; map-side combined counts."""
+    counted = df.select(F.explode(token_set(F.coalesce(F.col(text), F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    return counted.join(df.agg(F.count(F.lit(1)).alias("_n"))).select("term", (F.log((F.col("_n") + 1) / (F.col("_df") + 1)) + 1).alias("idf"))
+
+
+def _weights(df: DataFrame, key: Sequence[str], text: str, idf: DataFrame) -> DataFrame:
+    """Sparse vector of a text, a row per term: ``tf`` times ``idf`` as ``w``; words outside the table of frequencies have none."""
+    terms = df.select(*key, F.explode(word_list(text)).alias("term")).filter("term <> ''")
+    return terms.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("_tf")).join(idf, "term").select(*key, "term", (F.col("_tf") * F.col("idf")).alias("w"))
+
+
+def text_cosine(df: DataFrame, keys: Sequence[str], a: str, b: str, idf: DataFrame, out: str = "cosine") -> DataFrame:
+    """Cosine of the weighted word vectors of two texts of a row, null where one has no weight.
+
+    Both texts go through one exchange by key and term and one by key; nothing
+    is paired. ``keys`` identify a row.
+    """
+    sides = df.select(*keys, F.lit("a").alias("_side"), F.col(a).alias("_t")).unionByName(df.select(*keys, F.lit("b").alias("_side"), F.col(b).alias("_t")))
+    weights = _weights(sides, [*keys, "_side"], "_t", idf)
+    both = weights.groupBy(*keys, "term").agg(*[F.coalesce(F.sum(F.when(F.col("_side") == s, F.col("w"))), F.lit(0.0)).alias(f"_{s}") for s in "ab"])
+    dots = both.groupBy(*keys).agg(F.sum(F.col("_a") * F.col("_b")).alias("_ab"), F.sum(F.col("_a") ** 2).alias("_aa"), F.sum(F.col("_b") ** 2).alias("_bb"))
+    scored = dots.select(*keys, F.try_divide("_ab", F.sqrt(F.col("_aa") * F.col("_bb"))).alias(out))
+    return df.join(scored, list(keys), "left")
+
+
+def nearest_label(df: DataFrame, keys: Sequence[str], text: str, labels: DataFrame, idf: DataFrame, default: str = "other",
+                  out: str = "label") -> DataFrame:
+    """The label whose ``description`` is nearest by cosine (ties: the smaller label), ``default`` where no word is shared.
+
+    ``labels``: label, description. Texts and descriptions meet on their shared terms only.
+    """
+    named = _weights(labels, ["label"], "description", idf)
+    lengths = named.groupBy("label").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("_len"))
+    described = named.join(lengths, "label").select("term", "label", (F.col("w") / F.col("_len")).alias("_lw"))
+    # the length of the text itself is the same for all its labels
+    shared = _weights(df, list(keys), text, idf).join(described, "term").groupBy(*keys, "label").agg(F.round(F.sum(F.col("w") * F.col("_lw")), 9).alias("_s"))
+    best = shared.groupBy(*keys).agg(F.min_by("label", F.struct(-F.col("_s"), "label")).alias(out))
+    return df.join(best, list(keys), "left").withColumn(out, F.coalesce(out, F.lit(default)))
+
+
 def word_list(text: str) -> Column:
     return F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), NOT_WORD)
 

@@ -35,6 +35,32 @@ def _(t):
     return chunks.filter("status = 'ok'").select("doc_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), "chunk")
 
 
+_MARKED = """string_split(regexp_replace(regexp_replace(regexp_replace(text, '([.!?]["'')\\]]?)\\s+', '\\1' || chr(31), 'g'),
+    '\\b(Mr|Mrs|Ms|Dr|Prof|St|vs|etc|e\\.g|i\\.e|No|Fig|approx|bzw|z\\.B|Sr|Sra)\\.' || chr(31), '\\1. ', 'g'), '([。！？])', '\\1' || chr(31), 'g'), chr(31))"""
+
+
+@query("chunk_sentences", f"""
+    WITH RECURSIVE s AS (SELECT doc_id, k, list_filter(string_split_regex(p, '\\s+'), lambda x: x <> '') AS w FROM (
+        SELECT doc_id, unnest(parts) AS p, generate_subscripts(parts, 1) AS k FROM (SELECT doc_id, {_MARKED} AS parts FROM documents WHERE text IS NOT NULL))),
+    pieces AS (SELECT doc_id, k, j, w[j * 120 + 1 : j * 120 + 120] AS w FROM (SELECT *, unnest(range((len(w) + 119) // 120)) AS j FROM s)),
+    units AS (SELECT doc_id, list(w ORDER BY k, j) AS us FROM pieces GROUP BY 1),
+    fold(doc_id, us, i, since, total, prev, closed_from, closed_to) AS (
+      SELECT doc_id, us, 0, 0, 0, 0, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM units
+      UNION ALL SELECT doc_id, us, i + 1,
+        CASE WHEN total = 0 OR total + len(us[i + 1]) <= 120 THEN since WHEN prev + len(us[i + 1]) <= 120 THEN i - 1 ELSE i END,
+        CASE WHEN total = 0 OR total + len(us[i + 1]) <= 120 THEN total + len(us[i + 1]) WHEN prev + len(us[i + 1]) <= 120 THEN prev + len(us[i + 1]) ELSE len(us[i + 1]) END,
+        len(us[i + 1]),
+        CASE WHEN total > 0 AND total + len(us[i + 1]) > 120 THEN since END, CASE WHEN total > 0 AND total + len(us[i + 1]) > 120 THEN i - 1 END
+      FROM fold WHERE i < len(us)),
+    spans AS (SELECT doc_id, us, closed_from AS a, closed_to AS z FROM fold WHERE closed_to IS NOT NULL
+              UNION ALL SELECT doc_id, us, since, i - 1 FROM fold WHERE i = len(us))
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY z) - 1 AS chunk_no, array_to_string(flatten(us[a + 1 : z + 1]), ' ') AS chunk, 'ok' AS status FROM spans
+    UNION ALL SELECT doc_id, 0, NULL, 'error' FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM units)""")
+def _(t):
+    chunks = X.chunk_sentences(t.documents.select("doc_id", "text"), "text", 120)
+    return chunks.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
+
+
 @query("truncate_tokens", r"""
     SELECT doc_id, array_to_string(string_split(regexp_replace(text, '\n\s*\n+', chr(10) || chr(10), 'g'), ' ')[1:50], ' ') AS text FROM documents""")
 def _(t):
@@ -144,6 +170,38 @@ _LANGS = {"english": ["the", "and", "of", "that"], "german": ["der", "und", "die
           "french": ["le", "de", "et", "la"], "spanish": ["que", "el", "en", "los"]}
 
 
+_TERMS = r"list_filter(regexp_split_to_array(lower(coalesce({c}, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+_IDF = f"""idf AS (SELECT term, ln((1 + (SELECT count(*) FROM conversations)) / (1.0 + count(*))) + 1 AS idf FROM (
+    SELECT unnest(list_distinct({_TERMS.format(c='text')})) AS term FROM conversations) GROUP BY 1)"""
+
+
+@query("text_cosine", f"""
+    WITH {_PAIRS}, {_IDF},
+    w AS (SELECT conv_id, turn, side, term, count(*) * any_value(idf) AS w FROM (
+        SELECT conv_id, turn, 'q' AS side, unnest({_TERMS.format(c='question')}) AS term FROM pairs
+        UNION ALL SELECT conv_id, turn, 'a', unnest({_TERMS.format(c='answer')}) FROM pairs) JOIN idf USING (term) GROUP BY ALL),
+    n AS (SELECT conv_id, turn, sqrt(sum(w * w) FILTER (side = 'q')) * sqrt(sum(w * w) FILTER (side = 'a')) AS n FROM w GROUP BY 1, 2),
+    d AS (SELECT q.conv_id, q.turn, sum(q.w * a.w) AS d FROM w q JOIN w a USING (conv_id, turn, term) WHERE q.side = 'q' AND a.side = 'a' GROUP BY 1, 2)
+    SELECT conv_id, turn, round(CASE WHEN n > 0 THEN coalesce(d, 0) / n END, 6) AS cosine FROM pairs LEFT JOIN n USING (conv_id, turn) LEFT JOIN d USING (conv_id, turn)""")
+def _(t):
+    idf = X.inverse_frequencies(t.conversations, "text")
+    return X.text_cosine(_pairs(t), ["conv_id", "turn"], "question", "answer", idf).select("conv_id", "turn", r("cosine").alias("cosine"))
+
+
+@query("nearest_label", f"""
+    WITH {_PAIRS}, {_IDF}, l AS (SELECT label, term, count(*) * any_value(idf) AS w FROM (
+        SELECT label, unnest({_TERMS.format(c='description')}) AS term FROM (VALUES {', '.join(f"('{k}', '{' '.join(v)}')" for k, v in _LANGS.items())}) v(label, description)) JOIN idf USING (term) GROUP BY 1, 2),
+    u AS (SELECT label, term, w / sqrt(sum(w * w) OVER (PARTITION BY label)) AS w FROM l),
+    q AS (SELECT conv_id, turn, term, count(*) * any_value(idf) AS w FROM (SELECT conv_id, turn, unnest({_TERMS.format(c='question')}) AS term FROM pairs) JOIN idf USING (term) GROUP BY ALL),
+    s AS (SELECT conv_id, turn, label, round(sum(q.w * u.w), 9) AS s FROM q JOIN u USING (term) GROUP BY ALL),
+    b AS (SELECT conv_id, turn, label FROM s QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY s DESC, label) = 1)
+    SELECT conv_id, turn, coalesce(label, 'other') AS label FROM pairs LEFT JOIN b USING (conv_id, turn)""")
+def _(t):
+    labels = t.spark.createDataFrame([(k, " ".join(v)) for k, v in _LANGS.items()], "label string, description string")
+    idf = X.inverse_frequencies(t.conversations, "text")
+    return X.nearest_label(_pairs(t), ["conv_id", "turn"], "question", labels, idf).select("conv_id", "turn", "label")
+
+
 def _hits_sql(keys):
     return "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{k}'" for k in keys) + ")))"
 

@@ -202,3 +202,16 @@ def test_short_series_are_returned(spark):
     assert got.filter("k = 'a' AND yhat <> y").count() == 0
     table = forecast.assemble_forecast(got, ["k"])
     assert table.filter("is_prediction").count() == 10 and table.filter("lower < 0").count() == 0
+
+
+def test_sentence_chunks(spark):
+    body = 'Dr. Lee said "no." Then e.g. nothing! 你好。再见！ok'
+    long = " ".join(f"w{i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, body), (2, None), (3, " \n"), (4, long), (5, "a b. c d. e f g.")], "id int, t string")
+    got = {}
+    for r in text.chunk_sentences(df, "t", 5).orderBy("id", "chunk_no").collect():
+        got.setdefault(r.id, []).append((r.chunk, r.status))
+    assert got[1] == [('Dr. Lee said "no."', "ok"), ("Then e.g. nothing! 你好。 再见！", "ok"), ("再见！ ok", "ok")]
+    assert got[2] == got[3] == [(None, "error")]
+    assert len(got[4]) == 4_000 and " ".join(c for c, _ in got[4]) == long
+    assert [c for c, _ in got[5]] == ["a b. c d.", "c d. e f g."]
