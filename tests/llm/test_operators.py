@@ -222,6 +222,21 @@ def test_toxicity_sample_passes_over_a_text_that_does_not_fit(s, monkeypatch):
     assert sorted(seen) == sorted(f"word{i}" for i in ids if i in fit and i != first)
 
 
+def test_toxicity_learns_rows_outside_the_sample(s):
+    rng = np.random.default_rng(1)
+    plain = [f"{a}{b}" for a in ("ta", "mo", "ri", "se", "lu") for b in ("na", "ko", "ver", "dim", "pol", "gra")]
+    docs = s.createDataFrame([doc(i, " ".join([*rng.choice(plain, 20), "vexalo" if i % 4 == 0 else "plain"])) for i in range(400)], SCHEMA)
+    labels = s.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.score_toxicity(docs, labels, sample_bytes=0, passes=20).filter("held_out").collect()
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in got) >= 0.95 * len(got)
+
+
+def test_toxicity_thresholds_count_every_check_row(s):
+    bins = s.createDataFrame([("en", 300, 40, 0), ("en", 100, 10, 5), ("en", -200, 2, 900), ("de", 5, 3, 900)], "lang string, bin int, up long, down long")
+    got = toxicity.thresholds_by(bins, (1.0, 0.0)).collect()
+    assert [r.lang for r in got] == ["en"] and np.isclose(got[0].threshold, 1 / (1 + np.exp(50 / toxicity.BINS)))
+
+
 def test_convolution_by_look_up_equals_the_direct_form():
     model = toxicity.Model.fresh(1)
     texts = ["alpha beta gamma delta", "", "one", None]
