@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .blocks import running
 from .clean import hash_share
 
@@ -396,19 +397,32 @@ def concat_capped(df: DataFrame, keys: Sequence[str], order: Sequence[str], alon
                   separator: str = " ", out: str = "joined") -> DataFrame:
     """Texts of a group joined in order, cut after ``cap`` characters.
 
-    Only rows that begin before the cap are collected (a running length tells
-    which), so a group never gathers more than the result needs.
+    Lengths are summed first, without the texts: only rows that begin before the
+    cap are then looked up, cut and collected, so a group never moves or gathers
+    more than the result needs.
     """
     clean = df.filter(F.col(text).isNotNull())
-    placed = running(clean, keys, [F.col(c) for c in order], along,
-                     {"_at": ("sum", F.length(text) + len(separator))}, include_current=False)
-    placed = placed.filter(F.coalesce("_at", F.lit(0)) < cap)
-    piece = F.struct(*order, F.substring(text, 1, cap).alias("_t"))
-    joined = placed.groupBy(*keys).agg(F.array_sort(F.collect_list(piece)).alias("_p"))
+    named = list(dict.fromkeys([*keys, *order]))
+    placed = _begins(clean.select(*named, along.alias("_place"), F.length(text).alias("_n")), keys, order, F.col("_n"), cap, separator)
+    # stored, so that the join knows how small it is
+    kept = materialise(placed.select(*[F.col(c).alias(f"_k_{c}") for c in named]), "kept")
+    same = F.lit(True)
+    for c in named:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    few = clean.select(*named, along.alias("_place"), F.substring(text, 1, cap).alias("_t")).join(kept, same, "left_semi")
+    # rows of equal order came along: the same again for the few
+    few = _begins(materialise(few, "few"), keys, order, F.length("_t"), cap, separator)
+    joined = few.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, "_t"))).alias("_p"))
     whole = F.array_join(F.transform("_p", lambda p: p["_t"]), separator)
     return joined.select(*keys, F.substring(whole, 1, cap).alias(out))
 
 
+def _begins(df: DataFrame, keys: Sequence[str], order: Sequence[str], length: Column, cap: int, separator: str) -> DataFrame:
+    """Rows that begin before the cap when the texts of a group are joined in order."""
+    placed = running(df, keys, [F.col(c) for c in order], F.col("_place"), {"_at": ("sum", length + len(separator))}, include_current=False)
+    return placed.filter(F.coalesce("_at", F.lit(0)) < cap)
+
+
 def qa_dataset(documents: DataFrame, questions: DataFrame, answers: DataFrame, doc: str, question: str) -> DataFrame:
     """Question rows (a list per document is exploded first) with answer and source text."""
     asked = questions

@@ -63,6 +63,21 @@ def test_concat_capped_is_bounded(spark):
     assert got == "abcd-abcd-ab"
 
 
+def test_concat_capped_moves_no_texts_to_sum_lengths(spark, monkeypatch):
+    seen, plain = [], text.running
+
+    def running(df, *args, **kwargs):
+        seen.append(df.columns)
+        return plain(df, *args, **kwargs)
+
+    monkeypatch.setattr(text, "running", running)
+    data = [("g", 1, "a" * 30), ("g", 1, "a" * 30), ("g", None, "b"), ("g", 2, "c"), (None, 1, ""), (None, 2, "d"), ("g", 0, None)]
+    df = spark.createDataFrame(data, "k string, id int, t string")
+    got = {r.k: r.joined for r in text.concat_capped(df, ["k"], ["id"], F.col("id"), "t", 40, "-").collect()}
+    assert got == {"g": ("b-" + "a" * 30 + "-" + "a" * 30)[:40], None: "-d"}
+    assert "t" not in seen[0] and "_t" not in seen[0]
+
+
 # ---- vectors --------------------------------------------------------------
 
 @pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
