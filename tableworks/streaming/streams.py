@@ -16,6 +16,13 @@ from ..operators.windows import latest_per_key
 from ..session import stream_width
 from ..sources.tables import append_batch
 
+# text form of keys and stored rows: exact to the microsecond, nulls kept
+_ROW_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+             "ignoreNullFields": "false"}
+# Keys of a stateful Python operator share this many states: a call of Python and of the state store then serves many
+# keys of a large table, and still few of a small batch. It may not change while checkpoints exist.
+STATES = 1 << 12
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -42,6 +49,11 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _state_of(key: str) -> Column:
+    """The number of the state that a key's rows meet in."""
+    return F.pmod(F.xxhash64(key), F.lit(STATES)).cast("int").alias("state_no")
+
+
 def dedup_stream(df: DataFrame, ids: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Repeats inside the watermark dropped; state expires with the watermark."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(ids))
@@ -102,9 +114,9 @@ def _partial_sessions(gap_us: int) -> Callable[[Iterator[pd.DataFrame]], Iterato
 
 
 class SessionProcessor(StatefulProcessor):
-    """Open sessions of one key; a timer closes each when the watermark passes its end plus the gap.
+    """Open sessions of the keys of one state; a timer closes each when the watermark passes its end plus the gap.
 
-    Several sessions can be open at once, because events may arrive out of
+    Several sessions of a key can be open at once, because events may arrive out of
     order within the watermark: a late event can extend or join them.
     """
 
@@ -114,46 +126,68 @@ class SessionProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "first_us bigint, last_us bigint, clicks bigint")
+        self.open = handle.getValueState(
+            "open", "k array<string>, first_us array<bigint>, last_us array<bigint>, clicks array<bigint>, due bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        spans = [tuple(int(v) for v in s) for s in self.open.get()] if self.open.exists() else []
+        spans, due = self._stored()
+        fresh: dict[str, list[tuple]] = {}
         for pdf in rows:
-            spans += list(zip(pdf["first_us"].tolist(), pdf["last_us"].tolist(), pdf["clicks"].tolist()))
-        merged: list[list[int]] = []
-        for first, last, clicks in sorted(spans):
-            if merged and first - merged[-1][1] <= self.gap_us:
-                merged[-1][1] = max(merged[-1][1], last)
-                merged[-1][2] += clicks
-            else:
-                merged.append([first, last, clicks])
-        self.open.put([tuple(m) for m in merged])
-        # one timer, for the session due first; a timer that turns out too early closes nothing
-        self.handle.registerTimer(min(map(self._expiry, merged)))
+            for k, *span in zip(pdf["k"].tolist(), pdf["first_us"].tolist(), pdf["last_us"].tolist(), pdf["clicks"].tolist()):
+                fresh.setdefault(k, []).append(tuple(span))
+        for k, more in fresh.items():
+            merged: list[list[int]] = []
+            for first, last, clicks in sorted(spans.get(k, []) + more):
+                if merged and first - merged[-1][1] <= self.gap_us:
+                    merged[-1][1] = max(merged[-1][1], last)
+                    merged[-1][2] += clicks
+                else:
+                    merged.append([first, last, clicks])
+            spans[k] = [tuple(m) for m in merged]
+        self._store(spans, due)
         if self.report_online:
-            yield self._frame(key, merged[-1:], closed=False)
+            yield self._frame([(k, spans[k][-1]) for k in fresh], closed=False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        spans = [tuple(int(v) for v in s) for s in self.open.get()]
-        closed = [s for s in spans if self._expiry(s) <= now]
-        kept = [s for s in spans if self._expiry(s) > now]
-        if kept:
-            self.open.put(kept)
-            self.handle.registerTimer(min(map(self._expiry, kept)))
+        spans, due = self._stored()
+        closed = [(k, s) for k, held in spans.items() for s in held if self._expiry(s) <= now]
+        kept = {k: [s for s in held if self._expiry(s) > now] for k, held in spans.items()}
+        self._store({k: held for k, held in kept.items() if held}, None if due is None or due <= now else due)
+        if closed:
+            yield self._frame(closed, closed=True)
+
+    def _stored(self) -> tuple[dict[str, list[tuple]], int | None]:
+        spans: dict[str, list[tuple]] = {}
+        held = self.open.get()
+        if held is None:
+            return spans, None
+        for k, *span in zip(*held[:4]):
+            spans.setdefault(k, []).append(tuple(int(v) for v in span))
+        return spans, held[4]
+
+    def _store(self, spans: dict[str, list[tuple]], due: int | None) -> None:
+        """Keep the spans and one timer, for the session due first."""
+        rows = [(k, *s) for k, held in spans.items() for s in held]
+        first = min((self._expiry(r[1:]) for r in rows), default=None)
+        if first != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if first is not None:
+                self.handle.registerTimer(first)
+        if rows:
+            self.open.update((*map(list, zip(*rows)), first))
         else:
             self.open.clear()
-        if closed:
-            yield self._frame(key, closed, closed=True)
 
     def _expiry(self, span) -> int:
         # rounded up to the millisecond, so that nothing closes early
         return -(-(span[1] + self.gap_us) // 1000)
 
-    def _frame(self, key, spans, closed: bool) -> pd.DataFrame:
+    def _frame(self, spans, closed: bool) -> pd.DataFrame:
         return pd.DataFrame({
-            "k": [key[0]] * len(spans), "click_count": [s[2] for s in spans],
-            "first_us": [s[0] for s in spans], "last_us": [s[1] for s in spans], "closed": [closed] * len(spans),
+            "k": [k for k, _ in spans], "click_count": [s[2] for _, s in spans],
+            "first_us": [s[0] for _, s in spans], "last_us": [s[1] for _, s in spans], "closed": [closed] * len(spans),
         })
 
     def close(self) -> None:
@@ -170,16 +204,17 @@ def sessionize_stateful(df: DataFrame, key: str, ts: str, gap_seconds: int, dela
     use_rocksdb(df.sparkSession)
     gap_us = gap_seconds * 1_000_000
     kind = df.schema[key].dataType.simpleString()
-    events = df.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
-    partial = events.mapInPandas(_partial_sessions(gap_us), f"k {kind}, first_us bigint, last_us bigint, clicks bigint")
-    marked = partial.withColumn("seen", F.timestamp_micros("last_us")).withWatermark("seen", delay)
-    out = marked.groupBy("k").transformWithStateInPandas(
+    named = F.to_json(F.struct(F.col(key).alias("k")), _ROW_JSON)
+    events = df.select(named.alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
+    partial = events.mapInPandas(_partial_sessions(gap_us), "k string, first_us bigint, last_us bigint, clicks bigint")
+    marked = partial.withColumns({"seen": F.timestamp_micros("last_us"), "state_no": _state_of("k")}).withWatermark("seen", delay)
+    out = marked.groupBy("state_no").transformWithStateInPandas(
         SessionProcessor(gap_us, report_online),
-        f"k {kind}, click_count bigint, first_us bigint, last_us bigint, closed boolean",
+        "k string, click_count bigint, first_us bigint, last_us bigint, closed boolean",
         "Update" if report_online else "Append", "EventTime",
     )
     return out.select(
-        F.col("k").alias(key), "click_count", F.timestamp_micros("first_us").alias("start"),
+        F.from_json("k", f"k {kind}", _ROW_JSON)["k"].alias(key), "click_count", F.timestamp_micros("first_us").alias("start"),
         F.timestamp_micros("last_us").alias("end"),
         F.when(F.col("closed"), "offline").otherwise("online").alias("status"))
 
@@ -207,9 +242,6 @@ def stream_rollup(df: DataFrame, ts: str, keys: Sequence[str], aggs: Mapping[str
 
 # ---- changes from state -----------------------------------------------------
 
-# text form of stored rows: exact to the microsecond, nulls kept
-_ROW_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-             "ignoreNullFields": "false"}
 CHANGE, VERSION = "_change_type", "_commit_version"
 
 
@@ -221,39 +253,47 @@ def _newest_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 
 class ChangeProcessor(StatefulProcessor):
-    """Keeps the newest change of a key, a delete as a tombstone, and emits what a batch did to the row.
+    """Keeps the newest change of each key of one state, a delete as a tombstone, and emits what a batch did to its row.
 
     Of equal sequences a delete counts, else the larger row: the outcome does
     not depend on the order of arrival.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "at bigint, gone boolean, body string, version bigint")
+        self.last = handle.getValueState(
+            "last", "k array<string>, at array<bigint>, gone array<boolean>, body array<string>, version array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.last.get() if self.last.exists() else None
-        before = None if stored is None else (int(stored[0]), bool(stored[1]), stored[2])
-        newest = before
+        held = self.last.get()
+        stored = {} if held is None else {k: (int(at), bool(gone), body, int(n)) for k, at, gone, body, n in zip(*held)}
+        newest: dict[str, tuple] = {}
         for pdf in rows:
-            for change in zip(pdf["at"].tolist(), pdf["gone"].tolist(), pdf["body"].tolist()):
-                if newest is None or change > newest:
-                    newest = change
-        if newest == before:
-            return
-        old = None if before is None or before[1] else before[2]
-        new = None if newest[1] else newest[2]
-        version = (0 if stored is None else int(stored[3])) + (old != new)
-        self.last.update((*newest, version))
-        if old == new:
-            return
-        if old is None:
-            events = [("insert", new)]
-        elif new is None:
-            events = [("delete", old)]
-        else:
-            events = [("update_preimage", old), ("update_postimage", new)]
-        yield pd.DataFrame({"k": [key[0]] * len(events), "body": [b for _, b in events],
-                            "change": [c for c, _ in events], "version": [version] * len(events)})
+            for k, *change in zip(pdf["k"].tolist(), pdf["at"].tolist(), pdf["gone"].tolist(), pdf["body"].tolist()):
+                change = tuple(change)
+                if k not in newest or change > newest[k]:
+                    newest[k] = change
+        events, touched = [], False
+        for k, change in newest.items():
+            before = stored.get(k)
+            if before is not None and change <= before[:3]:
+                continue
+            touched = True
+            old = None if before is None or before[1] else before[2]
+            new = None if change[1] else change[2]
+            version = (0 if before is None else before[3]) + (old != new)
+            stored[k] = (*change, version)
+            if old == new:
+                continue
+            if old is None:
+                events.append((k, new, "insert", version))
+            elif new is None:
+                events.append((k, old, "delete", version))
+            else:
+                events += [(k, old, "update_preimage", version), (k, new, "update_postimage", version)]
+        if touched:
+            self.last.update(tuple(map(list, zip(*((k, *row) for k, row in stored.items())))))
+        if events:
+            yield pd.DataFrame(events, columns=["k", "body", "change", "version"])
 
     def close(self) -> None:
         pass
@@ -278,8 +318,8 @@ def changes_from_state(df: DataFrame, keys: Sequence[str], sequence: Column, del
         F.coalesce(sequence.cast("long"), F.lit(-(2**63))).alias("at"),
         F.coalesce(F.expr(delete_when), F.lit(False)).alias("gone"),
         F.to_json(F.struct(*values), _ROW_JSON).alias("body"))
-    reduced = packed.mapInPandas(_newest_per_batch, packed.schema)
-    out = reduced.groupBy("k").transformWithStateInPandas(
+    reduced = packed.mapInPandas(_newest_per_batch, packed.schema).withColumn("state_no", _state_of("k"))
+    out = reduced.groupBy("state_no").transformWithStateInPandas(
         ChangeProcessor(), "k string, body string, change string, version bigint", "Append", "None")
     opened = out.select(F.from_json("k", spelled(keys), _ROW_JSON).alias("k"), F.from_json("body", spelled(values), _ROW_JSON).alias("r"),
                         F.col("change").alias(CHANGE), F.col("version").alias(VERSION))

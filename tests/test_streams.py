@@ -118,3 +118,70 @@ def test_hot_key_sends_one_row_per_arrow_batch():
     pdf = pd.DataFrame({"k": ["a"] * 1000 + ["b"], "at": [*range(1000), 1], "gone": False, "body": "{}"})
     out = next(streams._newest_per_batch(iter([pdf])))
     assert sorted(zip(out["k"], out["at"])) == [("a", 999), ("b", 1)]
+
+
+class _Held:
+    """A value state, and how often it was written."""
+
+    def __init__(self):
+        self.value, self.written = None, 0
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.written = value, self.written + 1
+
+    def clear(self):
+        self.value = None
+
+
+class _Handle:
+    def __init__(self):
+        self.held, self.timers = _Held(), []
+
+    def getValueState(self, name, schema):
+        return self.held
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_many_keys_share_one_call_of_the_change_state():
+    import pandas as pd
+
+    handle, made = _Handle(), streams.ChangeProcessor()
+    made.init(handle)
+    rows_of = lambda at: pd.DataFrame({"k": [f"k{i}" for i in range(500)], "at": at, "gone": False, "body": f"b{at}"})
+    first = list(made.handleInputRows((0,), iter([rows_of(1)]), None))
+    second = list(made.handleInputRows((0,), iter([rows_of(2), rows_of(1)]), None))
+    assert handle.held.written == 2 and len(first) == len(second) == 1
+    assert (first[0]["change"] == "insert").all() and len(second[0]) == 1000 and set(second[0]["version"]) == {2}
+
+
+def test_many_keys_share_one_session_state_and_timer():
+    import pandas as pd
+
+    handle, made = _Handle(), streams.SessionProcessor(10_000, False)
+    made.init(handle)
+    list(made.handleInputRows((0,), iter([pd.DataFrame({"k": ["a", "b", "a"], "first_us": [0, 5_000, 30_000], "last_us": [0, 5_000, 30_000], "clicks": 1})]), None))
+    assert handle.held.written == 1 and handle.timers == [10]
+
+    class Now:
+        def getCurrentWatermarkInMs(self):
+            return 15
+
+    handle.timers.clear()  # it fired
+    out = list(made.handleExpiredTimer((0,), Now(), None))
+    assert sorted(out[0]["k"]) == ["a", "b"] and handle.timers == [40]
+
+
+def test_null_and_large_session_keys_are_kept(spark, tmp_path):
+    big = 2**53 + 1
+    stream = _feed(spark, str(tmp_path / "src"), [(big, 1000), (None, 1000), (big, 1050)], [(1, 9000)])
+    out = str(tmp_path / "out")
+    streams.run_to_files(streams.sessionize_stateful(stream, "u", "t", 100, "400 seconds"), out, str(tmp_path / "ckpt"))
+    assert {(r.u, r.click_count) for r in spark.read.parquet(out).collect()} == {(big, 2), (None, 1)}
