@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from ..session import materialise
 from .windows import top_k_per_group
 
-# queries multiplied at once inside a task
-QUERY_ROWS = 512
+# queries multiplied at once inside a task: with a full tile their scores take 8 MB
+QUERY_ROWS = 64
 # rows of a cell, and queries at a cell, that meet in one task
 CELL_ROWS, CELL_QUERIES = 16_384, 4_096
 
@@ -87,11 +87,16 @@ def _scan(queries: DataFrame, base: DataFrame, query_id: str, base_id: str, vect
     return picked.mapInPandas(scan, schema)
 
 
-def _scores(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
+def _scores(q: np.ndarray, x: np.ndarray, metric: str, squares: np.ndarray | None = None) -> np.ndarray:
+    """All scores of ``q`` and ``x``, in one array of their size; ``squares`` are the squared lengths of ``x`` if they are known."""
+    out = q @ x.T
     if metric != "l2":
-        return q @ x.T
-    d2 = (q**2).sum(1)[:, None] - 2 * (q @ x.T) + (x**2).sum(1)[None, :]
-    return -np.sqrt(np.maximum(d2, 0.0))
+        return out
+    out *= -2
+    out += (q**2).sum(1)[:, None]
+    out += ((x**2).sum(1) if squares is None else squares)[None, :]
+    np.maximum(out, 0.0, out=out)
+    return np.negative(np.sqrt(out, out=out), out=out)
 
 
 def _merge_top(best: tuple[np.ndarray, np.ndarray], scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +123,7 @@ def _ranked(found: DataFrame, query_id: str, base_id: str, k: int) -> DataFrame:
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     column = column.combine_chunks()
-    return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy().astype(np.float64, copy=False).reshape(len(column), -1)
 
 
 def _meet(queries: DataFrame, base: DataFrame, k: int, metric: str) -> DataFrame:
@@ -150,9 +155,10 @@ def _meet(queries: DataFrame, base: DataFrame, k: int, metric: str) -> DataFrame
         if metric == "cosine":
             x, y = _unit(x), _unit(y)
         keys = np.array(held["b"].to_pylist())
+        squares = (y**2).sum(1)
         at, ids, scores = [], [], []
         for start in range(0, len(x), QUERY_ROWS):
-            for i, row in enumerate(_scores(x[start:start + QUERY_ROWS], y, metric), start):
+            for i, row in enumerate(_scores(x[start:start + QUERY_ROWS], y, metric, squares), start):
                 s, found = _merge_top((np.empty(0), keys[:0]), row, keys, k)
                 at.append(np.full(len(s), i))
                 ids.append(found)

@@ -230,3 +230,19 @@ def test_sentence_chunks(spark):
     assert got[2] == got[3] == [(None, "error")]
     assert len(got[4]) == 4_000 and " ".join(c for c, _ in got[4]) == long
     assert [c for c, _ in got[5]] == ["a b. c d.", "c d. e f g."]
+
+
+def test_scores_of_a_full_tile_need_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    q, x = rng.normal(size=(vectors.QUERY_ROWS, 8)), rng.normal(size=(vectors.CELL_ROWS, 8))
+    want = -np.sqrt(np.maximum(((q[:, None, :] - x[None, :500, :]) ** 2).sum(2), 0))
+    squares = (x**2).sum(1)
+    tracemalloc.start()
+    got = vectors._scores(q, x, "l2", squares)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got[:, :500], want) and peak < 10 << 20
