@@ -58,6 +58,10 @@ def attach_scalars(df: DataFrame, aggregate: DataFrame) -> DataFrame:
     return df.select("*", *[aggregate.select(c).scalar().alias(c) for c in aggregate.columns])
 
 
+# shorter intervals of a key that may share a bucket of the most frequent level
+CROWD = 8
+
+
 def _level(length: Column) -> Column:
     """Bits of an interval's length, made even: 2**level is above the length and at most four times as much."""
     bits = F.length(F.bin(length))
@@ -68,6 +72,31 @@ def _at_level(micros: Column, level: Column) -> Column:
     return F.call_function("shiftright", micros, level)
 
 
+def _common_levels(intervals: DataFrame, keys: Sequence[str]) -> dict[int, int]:
+    """The level that the intervals of each level are joined at, few in all, as every fact is looked for at each.
+
+    Longer intervals go down to the most frequent level while that adds no more
+    rows than there are intervals; shorter ones go up to it if they stay few per
+    key and bucket there (``CROWD``), so that no fact meets many in vain.
+    """
+    counts = {r["_level"]: r["count"] for r in intervals.groupBy("_level").count().collect()}  # a row per level, 33 at most
+    to = {level: level for level in counts}
+    if len(counts) < 2:
+        return to
+    main = max(counts, key=lambda level: (counts[level], level))
+    room = sum(counts.values())
+    for level in sorted(level for level in counts if level > main):
+        room -= counts[level] * 2 ** (level - main)
+        if room < 0:
+            break
+        to[level] = main
+    shorter = intervals.filter(F.col("_level") < main)
+    crowd = shorter.groupBy(*keys, _at_level(F.col("_begins"), F.lit(main)).alias("_bucket")).count().agg(F.max("count")).first()[0]
+    if crowd is not None and crowd <= CROWD:
+        to.update({level: main for level in counts if level < main})
+    return to
+
+
 def join_range(
     facts: DataFrame, intervals: DataFrame, keys: Sequence[str], point: str, start: str, stop: str,
     how: str = "inner", closed: bool = False,
@@ -75,8 +104,9 @@ def join_range(
     """Facts whose ``point`` lies in ``[start, stop)`` (``closed``: ``[start, stop]``).
 
     Every interval goes to the level of its own length, where buckets are wider
-    than it, so it lies in one or two of them; a fact is looked for in one
-    bucket of each level that occurs. Minutes and decades can share a table: an
+    than it, so it lies in one or two of them, or, where that is cheap, to the level
+    of most intervals (``_common_levels``); a fact is looked for in one
+    bucket of each level that is left. Minutes and decades can share a table: an
     interval meets only facts within a few times its own length, and a hot key
     is spread over its buckets. Exact bounds are checked afterwards. A null
     ``stop`` is still open, and lasts to the end of the latest interval or
@@ -93,10 +123,12 @@ def join_range(
     ceiling = right.agg((F.max(F.greatest("_begins", "_ends")) + 1).alias("c")).scalar()
     right = right.withColumn("_ends", F.coalesce("_ends", ceiling)).filter("_begins <= _ends")
     right = right.withColumn("_level", _level(F.col("_ends") - F.col("_begins")))
-    levels = right.agg(F.collect_set("_level").alias("l")).scalar()
+    to = _common_levels(right, keys)
+    if any(a != b for a, b in to.items()):
+        right = right.replace(to, subset=["_level"])
     first, last = (_at_level(F.col(c), F.col("_level")) for c in ("_begins", "_ends"))
-    right = right.withColumn("_bucket", F.explode(F.array_distinct(F.array(first, last)))).drop("_begins", "_ends")
-    left = facts.withColumn("_level", F.explode(levels))
+    right = right.withColumn("_bucket", F.explode(F.sequence(first, last))).drop("_begins", "_ends")
+    left = facts.withColumn("_level", F.explode(F.array(*map(F.lit, sorted(set(to.values())))).cast("array<int>")))
     left = left.withColumn("_bucket", _at_level(F.least(epoch_micros(point), ceiling), F.col("_level")))
     joined = [*keys, "_level", "_bucket"]
     right = right.withColumnsRenamed({c: f"_r_{c}" for c in joined})

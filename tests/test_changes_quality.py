@@ -313,3 +313,14 @@ def test_row_filters(spark):
     assert governance.filter_rows(df, []).count() == 0
     assert [r.v for r in governance.filter_rows(df, ["analyst_us"], group_prefix="analyst_", column="country").collect()] == [2]
     assert governance.mask_columns(df, {"country": "full"}, ["hr"], "hr") is df
+
+
+def test_range_join_looks_at_one_level_where_that_is_cheap(spark):
+    day = 86_400_000_000
+    spans = spark.range(400).select((F.col("id") % 40).alias("k"), (F.floor(F.col("id") / 40) * 90 * day).alias("_begins"), F.lit(90 * day).alias("n"))
+    spans = spans.withColumn("_ends", F.col("_begins") + F.when(F.col("_begins") == 9 * 90 * day, 3 * day).when((F.col("_begins") == 0) & (F.col("k") == 1), 900 * day).otherwise(F.col("n")))
+    spans = spans.withColumn("_level", joins._level(F.col("_ends") - F.col("_begins")))
+    assert len(joins._common_levels(spans, ["k"])) == 3 and len(set(joins._common_levels(spans, ["k"]).values())) == 1
+    # many short ones in a bucket keep their level
+    crowd = spark.range(100).select(F.lit(1).cast("long").alias("k"), (F.col("id") * 1000).alias("_begins"), F.lit(0).cast("long").alias("n"), (F.col("id") * 1000 + 900).alias("_ends"), F.lit(10).alias("_level"))
+    assert 10 in joins._common_levels(spans.unionByName(crowd), ["k"]).values()
