@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .kernel import mix, runs, shingle_sets, slices, words
 from .links import local_roots, tile_pairs
 from .scratch import Scratch, finish
-from .spread import apart, components, wide
+from .spread import apart, attach, by_key, components, wide
 
 # Shingles of one tile: about so many are compared with as many in one task.
 TILE_SHINGLES = 400_000
@@ -55,8 +55,12 @@ def minhashes(flat: np.ndarray, starts: np.ndarray, mul: np.ndarray, add: np.nda
 
 @contextmanager
 def _bloom(spark: SparkSession):
-    """Spark's own runtime filter for joins at any size; the filter itself is bounded (8 MB by default)."""
+    """Spark's own runtime filter for joins at any size; the filter itself is bounded (8 MB by default).
+
+    Spark makes none for a join with a side that it takes for small enough to be broadcast, so no side is.
+    """
     names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in (("applicationSideScanSizeThreshold", "0"), ("creationSideThreshold", "1g"))}
+    names["spark.sql.autoBroadcastJoinThreshold"] = "-1"
     before = {n: spark.conf.get(n) for n in names}
     for n, v in names.items():
         spark.conf.set(n, v)
@@ -134,15 +138,16 @@ def near_duplicates(
     sides = spread_out.select("cid", F.posexplode(F.slice("values", 1, m)).alias("a", "x"), F.slice("values", m + 1, m).alias("second"))
     keys = sides.select("cid", "a", "x", F.posexplode("second").alias("b", "y")).select("cid", key.alias("key"))
     hubs = keys.groupBy(F.col("key").alias("h_key")).agg(F.min("cid").alias("hub"))
-    pairs = keys.join(hubs, F.col("key") == F.col("h_key")).filter("cid <> hub").select("cid", "hub").distinct()
+    pairs = keys.join(by_key(hubs), F.col("key") == F.col("h_key")).filter("cid <> hub").select("cid", "hub").distinct()
     pairs = scratch.write(pairs, "pairs")
 
     seats = scratch.write(pairs.unionByName(pairs.select(F.col("hub").alias("cid"), "hub").distinct()), "seats")
-    sized = seats.join(classes.select(F.col("cid").alias("c_id"), "n"), F.col("cid") == F.col("c_id"))
+    sized = seats.join(by_key(classes.select(F.col("cid").alias("c_id"), "n")), F.col("cid") == F.col("c_id"))
     cells = sized.groupBy("hub").agg(
         F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int").alias("tiles"))
     cells = scratch.write(cells, "cells")
-    seated = seats.join(cells.withColumnRenamed("hub", "c_hub"), F.col("hub") == F.col("c_hub"))
+    # as above: a seat becomes one per tile
+    seated = attach(seats, cells, ["hub"]).repartition(wide(seats), "cid")
     own = F.pmod(F.xxhash64("cid", F.lit(2)), F.col("tiles")).cast("int")
     hub_row = F.col("cid") == F.col("hub")
     # the hub sits in every tile pair: each task finds out who is linked to it
@@ -151,7 +156,7 @@ def near_duplicates(
     asked = seated.groupBy("cid").agg(F.collect_list(F.struct("hub", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own")).alias("seats"))
     asked = scratch.write(asked, "asked")
     # every class has a seat; Spark makes the filter only from a side with a condition
-    sent = base.join(asked.filter("size(seats) > 0"), F.col("doc_id") == F.col("cid")).select("cid", "text", "seats")
+    sent = base.join(by_key(asked.filter("size(seats) > 0")), F.col("doc_id") == F.col("cid")).select("cid", "text", "seats")
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -193,9 +198,9 @@ def near_duplicates(
     with _bloom(docs.sparkSession):
         edges = scratch.write(tabled.mapInArrow(verify, "a long, b long"), "links")
     roots = scratch.write(components(edges, scratch), "roots")
-    named = classes.select(F.col("digest").alias("c_digest"), F.col("n").alias("c_n"), "cid").join(roots, F.col("cid") == F.col("node"), "left")
+    named = classes.select(F.col("digest").alias("c_digest"), F.col("n").alias("c_n"), "cid").join(by_key(roots), F.col("cid") == F.col("node"), "left")
     named = named.select("c_digest", "c_n", F.coalesce("root", "cid").alias("component"))
-    joined = signed.select("doc_id", "n", "digest", *extra).join(named, (F.col("digest") == F.col("c_digest")) & (F.col("n") == F.col("c_n")), "left")
+    joined = signed.select("doc_id", "n", "digest", *extra).join(by_key(named), (F.col("digest") == F.col("c_digest")) & (F.col("n") == F.col("c_n")), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     out = joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), *extra)
     return finish(scratch, out, "near-duplicates")

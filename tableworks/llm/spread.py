@@ -16,7 +16,7 @@ def attach(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -
     few = small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
     right = small.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in small.columns if c not in on])
     same = [df[c].eqNullSafe(right[f"_r_{c}"]) for c in on]
-    joined = df.join(F.broadcast(right) if few else right, _all(same), how)
+    joined = df.join(F.broadcast(right) if few else by_key(right), _all(same), how)
     return joined.drop(*[f"_r_{c}" for c in on])
 
 
@@ -27,6 +27,17 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """``df`` for a join by key, at any size: for tables that grow with the documents.
+
+    Spark sizes a stored table by its compressed files and an exploded one as if
+    no list had more than an entry, and a broadcast once planned is not taken
+    back: what it takes for less than its threshold may be a hundred times that
+    on the driver.
+    """
+    return df.hint("merge")
+
+
 def wide(df: DataFrame) -> int:
     """Pieces for a range partitioning that is to stay even after a hash by piece."""
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -119,10 +130,10 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(by_key(least), F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.write(large, "edges")
         least = large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-        small = large.join(least, F.col("u") == F.col("k")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(by_key(least), F.col("u") == F.col("k")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
         previous, e = e, scratch.write(small, "edges")
         scratch.drop(previous, large)

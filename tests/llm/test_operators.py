@@ -409,6 +409,39 @@ def test_near_duplicates_equal_brute_force(s, messy, empty, monkeypatch):
     assert minhash.near_duplicates(empty).collect() == []
 
 
+@pytest.fixture
+def plans(monkeypatch):
+    """Spark's first plan of every table that is written while a test runs, by its label: a broadcast in it is never taken back."""
+    seen, write = defaultdict(list), Scratch.write
+
+    def noted(self, df, label="step"):
+        seen[label].append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, label)
+
+    monkeypatch.setattr(Scratch, "write", noted)
+    return seen
+
+
+def test_near_duplicates_broadcast_no_table_that_grows(s, messy, plans):
+    assert s.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    minhash.near_duplicates(messy, shingle=3, similarity=0.85)
+    assert s.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    # 81 keys of a class, a seat for each of a cell's tiles, rows of ids that files hold in a few bytes
+    joined = [label for label, of in plans.items() if any("Join" in p for p in of)]
+    assert {"pairs", "cells", "links", "edges", "near-duplicates"} <= set(joined)
+    # cells are broadcast where they are counted and few
+    assert [label for label in joined if any("Broadcast" in p for p in plans[label])] == ["asked"]
+    assert "might_contain" in plans["links"][0]
+
+
+def test_a_counted_table_is_broadcast_only_where_it_is_small(s, monkeypatch):
+    small = Scratch(s).write(s.range(10).select("id", (F.col("id") * 2).alias("twice")))
+    plan = lambda: spread.attach(s.range(30), small, ["id"], "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    monkeypatch.setattr(spread, "SMALL_ROWS", 9)
+    assert "SortMergeJoin" in plan()
+
+
 def test_tensor_size_keeps_the_promise():
     for similarity, rows in ((0.85, 2), (0.8, 2), (0.8, 3)):
         m = minhash.collections_for(similarity, rows, 2e-5)
