@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, finish
-from .spread import apart
+from .spread import apart, attach, by_key
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Everything below 0x80 that is neither a digit nor a lower-case letter separates words.
@@ -53,7 +53,8 @@ def find_contamination(
     2. Shingles are ordered by rarity: their count over all documents. A window
        whose shingles do not all occur cannot occur itself and goes. As the
        whole window must be contained, its prefix is the one rarest shingle.
-    3. Prefix shingles are joined to the places; the place of the shingle in
+    3. Prefix shingles are joined to the places (broadcast where they are
+       counted and few, by shingle otherwise); the place of the shingle in
        the window fixes where the window starts, and starts outside the
        document (positional bound) or past its end (length bound) go.
     4. The words around the place are compared with the window's words.
@@ -99,7 +100,7 @@ def find_contamination(
     prefix = prefix.filter("least > 0").select("win", F.col("p.gram").alias("gram"), F.col("p.at").alias("offset"))
     prefix = scratch.write(prefix.join(wins.select("win", "words"), "win"), "prefix")
     start = F.col("at") - F.col("offset")
-    tried = found.join(prefix, "gram").withColumn("start", start).filter("start >= low")
+    tried = attach(found, prefix, ["gram"]).withColumn("start", start).filter("start >= low")
     tried = tried.filter(F.size("around") - (F.col("start") - F.col("low")) >= F.size("words"))
     true = tried.filter(F.slice("around", F.col("start") - F.col("low") + 1, F.size("words")) == F.col("words"))
     true = scratch.write(true.select("doc_id", "content", "win", "start", F.size("words").alias("length")), "true")
@@ -116,7 +117,7 @@ def find_contamination(
     both = hits.join(named, reduce(Column.__and__, [F.col("h_id").eqNullSafe(F.col("i_id")), F.col("h_content").eqNullSafe(F.col("i_content"))]), "left")
     both = scratch.write(both.drop("i_id", "i_content"), "hits")
 
-    out = counted.join(both, F.col("doc_id").eqNullSafe(F.col("h_id")) & F.col("content").eqNullSafe(F.col("h_content")), "left")
+    out = counted.join(by_key(both), F.col("doc_id").eqNullSafe(F.col("h_id")) & F.col("content").eqNullSafe(F.col("h_content")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     out = out.select("doc_id", "content", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
@@ -137,4 +138,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("content").alias("_bad_content")).distinct()
     free, asked = apart(docs, bad.select(F.xxhash64("_bad_id", "_bad_content").alias("key")), F.xxhash64(docs[doc_id], F.xxhash64(docs[text])))
     same = asked[doc_id].eqNullSafe(bad["_bad_id"]) & F.xxhash64(asked[text]).eqNullSafe(bad["_bad_content"])
-    return free.unionByName(asked.join(bad, same, "left_anti"))
+    return free.unionByName(asked.join(by_key(bad), same, "left_anti"))

@@ -271,7 +271,7 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
     named = judged.groupBy(F.col("doc_id").alias("_near_id"), F.col("content").alias("_near_content")).agg(F.min("kept").alias("_near_kept"), F.count(F.lit(1)).alias("_near_n"))
     named = named.filter("NOT _near_kept OR _near_n > 1")
     free, asked = apart(docs, named.select(F.xxhash64("_near_id", "_near_content").alias("key")), F.xxhash64(docs[doc_id].cast("long"), F.xxhash64(docs[text])))
-    asked = asked.join(named, (asked[doc_id].cast("long") == F.col("_near_id")) & (F.xxhash64(asked[text]) == F.col("_near_content")), "left")
+    asked = asked.join(by_key(named), (asked[doc_id].cast("long") == F.col("_near_id")) & (F.xxhash64(asked[text]) == F.col("_near_content")), "left")
     asked = asked.filter("_near_kept IS NULL OR _near_kept")
     once = asked.filter("_near_n IS NULL").unionByName(asked.filter("_near_n > 1").dropDuplicates(["_near_id", "_near_content"]))
     return free.unionByName(once.select(*docs.columns))

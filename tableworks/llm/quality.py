@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .kernel import mix, slices, words
 from .scratch import Scratch, finish
-from .spread import apart, quota_cut
+from .spread import apart, by_key, quota_cut
 
 BUCKETS = 1 << 14
 TARGET_ROWS = 20_000
@@ -118,7 +118,7 @@ def importance_resample(
     kind = docs.schema[doc_id].dataType.simpleString()
     scored = base.withColumn("hash", F.xxhash64("doc_id")).mapInArrow(score, f"doc_id {kind}, log_weight double, draw double, rank long")
     scored = scratch.write(scored, "scored")
-    known = scored.join(good, F.col("doc_id") == F.col("l_id"))
+    known = scored.join(by_key(good), F.col("doc_id") == F.col("l_id"))
     cut = known.agg(F.percentile_approx("log_weight", lose, 10_000).alias("c")).first().c
     if cut is None:
         return finish(scratch, scored.select("doc_id", "log_weight", "draw", F.lit(True).alias("kept")), "quality")
@@ -142,4 +142,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", *
     drawn = importance_resample(docs, labels, doc_id=doc_id, **settings)
     gone = drawn.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
     free, asked = apart(docs, gone.select(F.xxhash64("_gone").alias("key")), F.xxhash64(docs[doc_id]))
-    return free.unionByName(asked.join(gone, asked[doc_id].eqNullSafe(gone["_gone"]), "left_anti"))
+    return free.unionByName(asked.join(by_key(gone), asked[doc_id].eqNullSafe(gone["_gone"]), "left_anti"))

@@ -726,6 +726,22 @@ def test_pipeline_stages_on_odd_rows(s, tables, messy, empty, kind):
         assert docs.count() > 0 and {r.doc_id for r in docs.collect()} <= {r[0] for r in MESSY}
 
 
+def test_pipeline_stages_broadcast_no_table_that_grows(s, tables, messy, plans, monkeypatch):
+    import corpus_pipeline as p
+
+    # a prefix shingle is a row of the benchmark, and broadcast only where those are counted and few
+    monkeypatch.setattr(spread, "SMALL_ROWS", -1)
+    for _, stage in p.STAGES[:3]:
+        plans.clear()
+        Scratch(s).write(stage(s, messy, tables.folder), "stage")
+        # the kept rows are told apart by a bit map, whose size is set, and then compared by id
+        (last,) = plans.pop("stage")
+        kinds = set(re.findall(r"(\w+Join) \[(_own)?", last))
+        assert kinds == {("BroadcastHashJoin", "_own"), ("SortMergeJoin", "")}
+        if "true" in plans:
+            assert "SortMergeJoin" in plans["true"][0] and "Broadcast" not in plans["true"][0] + plans["contamination"][0]
+
+
 def test_pipeline_stages_by_brute_force(s, tables):
     import corpus_pipeline as p
 
